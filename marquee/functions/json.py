@@ -43,11 +43,16 @@ def merge_objects(base_json: Column | str, override_json: Column | str) -> Colum
     return F.to_json(F.map_concat(kept, over))
 
 
+# Timestamps travel with microseconds (the default JSON format keeps millis).
+TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def pack_json_array(*cols: Column | str) -> Column:
     """Aggregate: the group's rows as one JSON array of objects."""
-    return F.to_json(F.collect_list(F.struct(*[col_of(c) for c in cols])))
+    return F.to_json(F.collect_list(F.struct(*[col_of(c) for c in cols])), TS_OPTIONS)
 
 
 def unpack_json_array(c: Column | str, element_ddl: str) -> Column:
     """JSON array text -> array<struct<...>> (``inline`` it to get rows)."""
-    return F.from_json(col_of(c), f"array<struct<{element_ddl}>>")
+    return F.from_json(col_of(c), f"array<struct<{element_ddl}>>", TS_OPTIONS)

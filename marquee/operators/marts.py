@@ -109,3 +109,20 @@ def build_marts(stg: DataFrame, docs: DataFrame, calendar: DataFrame) -> dict[st
         "dim_distributor": dists,
         "fact_daily_revenue": fact_daily_revenue(stg, movies, dists),
     }
+
+
+def materialize(spark, tables: dict[str, DataFrame], root: str | None = None) -> dict[str, DataFrame]:
+    """Write each table once (parquet, shared checkpoint folder) and read it back.
+
+    Cuts the lineage: checks and reports that read several marts scan the
+    written tables instead of re-running the whole build per consumer, and a
+    lost executor re-reads files instead of recomputing the star.
+    """
+    from ..session import scratch_path
+    base = root or scratch_path(spark, "marts")
+    out = {}
+    for name, df in tables.items():
+        path = f"{base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out

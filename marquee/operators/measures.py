@@ -87,9 +87,9 @@ def kpi_cards(fact: DataFrame, movies: DataFrame) -> DataFrame:
         total.cast("bigint").alias("total_revenue"),
         F.try_divide(total, F.lit(1000000)).cast("double").alias("total_revenue_m"),
         films.alias("films_count"),
-        F.round(F.avg("revenue").cast("double"), 6).alias("avg_daily_revenue"),
+        F.round(exact_mean("revenue"), 6).alias("avg_daily_revenue"),
         F.count_distinct("imdb_id").alias("films_enriched"),
-        F.round(F.avg("imdb_rating").cast("double"), 6).alias("avg_imdb_rating"),
+        F.round(exact_mean("imdb_rating"), 6).alias("avg_imdb_rating"),
     )
 
 
@@ -109,8 +109,17 @@ def top_film(fact: DataFrame, movies: DataFrame) -> DataFrame:
     return winners.agg(F.expr("listagg(title, '') WITHIN GROUP (ORDER BY title)").alias("top_film"))
 
 
+def exact_mean(c: str) -> Column:
+    """Mean as (exact decimal sum) / count, in double.
+
+    A decimal ``avg`` is rounded to the input scale + 4 digits; dividing the
+    exact sum keeps full double precision and is independent of row order.
+    """
+    return F.sum(c).cast("double") / F.count(c)
+
+
 def avg_rating(movies: DataFrame) -> DataFrame:
-    return movies.agg(F.round(F.avg("imdb_rating").cast("double"), 6).alias("avg_imdb_rating"))
+    return movies.agg(F.round(exact_mean("imdb_rating"), 6).alias("avg_imdb_rating"))
 
 
 def last_refresh(refreshes: DataFrame, ts: str = "refreshed_at") -> DataFrame:

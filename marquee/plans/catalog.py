@@ -89,3 +89,247 @@ def q_fact(spark, sf_dir):
 def q_revenue_by_director(spark, sf_dir):
     s = star(spark, sf_dir)
     return measures.revenue_by_director(s["fact_daily_revenue"], s["dim_movie"])
+
+
+@query("revenue_by_distributor")
+def q_revenue_by_distributor(spark, sf_dir):
+    """Ranking from the dimension's lifetime revenue."""
+    return measures.revenue_by_distributor(star(spark, sf_dir)["dim_distributor"])
+
+
+@query("film_table")
+def q_film_table(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return measures.film_table(s["fact_daily_revenue"], s["dim_movie"])
+
+
+@query("kpi_cards")
+def q_kpi_cards(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return measures.kpi_cards(s["fact_daily_revenue"], s["dim_movie"])
+
+
+@query("date_range_text")
+def q_date_range_text(spark, sf_dir):
+    return measures.date_range_text(star(spark, sf_dir)["fact_daily_revenue"])
+
+
+@query("top_film")
+def q_top_film(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return measures.top_film(s["fact_daily_revenue"], s["dim_movie"])
+
+
+@query("last_refresh")
+def q_last_refresh(spark, sf_dir):
+    """D17 over the call times (stand-in for the refresh history)."""
+    log = S.call_log(spark, sf_dir)
+    return measures.last_refresh(log.select(F.col("call_at").alias("refreshed_at")))
+
+
+@query("revenue_drill")
+def q_revenue_drill(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return measures.revenue_drill(s["fact_daily_revenue"], s["dim_date"])
+
+
+# Fixed values of the report-filter stand-ins.
+FILTER_DIRECTORS = ("Brand#13", "Brand#22")
+FILTER_GENRE = "Standard"
+SELECTED_DISTRIBUTOR = "Supplier#000000002"
+
+
+@query("filtered_kpi")
+def q_filtered_kpi(spark, sf_dir):
+    """KPI cards under filters on the movie dimension."""
+    s = star(spark, sf_dir)
+    movies = measures.filter_movies(s["dim_movie"], director=list(FILTER_DIRECTORS),
+                                    genres=FILTER_GENRE)
+    fact = measures.restrict_fact(s["fact_daily_revenue"], movies=movies)
+    return measures.kpi_cards(fact, movies)
+
+
+@query("cross_filter_star")
+def q_cross_filter_star(spark, sf_dir):
+    """B10 + C9: a distributor picked in one visual filters the director chart."""
+    s = star(spark, sf_dir)
+    picked = s["dim_distributor"].where(F.col("distributor_name") == SELECTED_DISTRIBUTOR)
+    fact = measures.restrict_fact(s["fact_daily_revenue"], distributors=picked)
+    movies = measures.cross_filter_dim(s["dim_movie"], "imdb_id", fact, "movie_key")
+    return measures.revenue_by_director(fact, movies)
+
+
+@query("default_sums")
+def q_default_sums(spark, sf_dir):
+    from ..sources.tables import read_table
+    li = read_table(spark, sf_dir, "lineitem", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return measures.default_sums(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@query("dim_date_build")
+def q_dim_date(spark, sf_dir):
+    """Calendar padded to whole years of the revenue dates."""
+    from ..functions import dates as D
+    return marts.dim_date_from(D.year_padded_bounds(S.raw_revenues(spark, sf_dir), "revenue_date"))
+
+
+# --- enrichment queue ----------------------------------------------------------------
+
+QUEUE_LIMIT = 50
+CACHE_CUTOFF = "2024-01-02 00:00:00"
+
+
+def _queue(spark, sf_dir):
+    from ..operators import queue as Q
+    from ..sources.tables import read_table
+    orders = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    entities = Q.entity_keys(
+        orders.select(F.col("o_custkey").alias("lookup_key"),
+                      F.to_date("o_orderdate").alias("revenue_date"),
+                      F.col("o_totalprice").cast("decimal(15,2)").alias("revenue")),
+        key="lookup_key", normalize=False)
+    ev = read_table(spark, sf_dir, "events", "user_id", "event_type", "ts")
+    cached = ev.where((F.col("event_type") == "purchase")
+                      & (F.col("ts") < F.to_timestamp_ntz(F.lit(CACHE_CUTOFF)))) \
+        .select(F.col("user_id").alias("lookup_key"))
+    log = S.call_log(spark, sf_dir)
+    errored = Q.errored_on(log, S.AS_OF, ["lookup_key"])
+    return Q, log, Q.fetch_queue(entities, cached, errored, [("lookup_key", "lookup_key")])
+
+
+@query("queue_top_n")
+def q_queue_top_n(spark, sf_dir):
+    """Priority queue cut at min(requested, quota)."""
+    Q, log, queue = _queue(spark, sf_dir)
+    n = Q.effective_limit(log, S.AS_OF, QUEUE_LIMIT)
+    return Q.take(queue, n, "lookup_key")
+
+
+@query("queue_preview")
+def q_queue_preview(spark, sf_dir):
+    """dry-run preview, first rows of the queue."""
+    Q, _log, queue = _queue(spark, sf_dir)
+    return Q.preview(queue, "lookup_key")
+
+
+@query("quota_remaining")
+def q_quota_remaining(spark, sf_dir):
+    from ..operators import queue as Q
+    return Q.quota(S.call_log(spark, sf_dir), S.AS_OF, Q.DEFAULT_LIMIT)
+
+
+# --- call log ------------------------------------------------------------------------
+
+@query("log_batch_append")
+def q_log_batch_append(spark, sf_dir):
+    """Log rows shipped as JSON arrays of 50 and unpacked."""
+    from ..sources import json_docs
+    log = S.call_log(spark, sf_dir).drop("value")
+    return json_docs.unpack_log_batches(json_docs.pack_log_batches(log))
+
+
+WRITE_FAIL_FROM = 450.0
+
+
+@query("outcome_counts")
+def q_outcome_counts(spark, sf_dir):
+    """Outcomes per call after the sink-failure remap."""
+    from ..functions import outcome as O
+    log = S.call_log(spark, sf_dir)
+    write_ok = F.col("value") < WRITE_FAIL_FROM
+    o, _m = O.remap_failed_write("outcome", "error_message", write_ok, F.lit("disk full"))
+    return log.groupBy(o.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("failure_breakdown")
+def q_failure_breakdown(spark, sf_dir):
+    """Failed calls per outcome and status."""
+    log = S.call_log(spark, sf_dir)
+    return (log.where(F.col("outcome").startswith("error"))
+            .groupBy("outcome", "http_status").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("step_profile")
+def q_step_profile(spark, sf_dir):
+    """Latency profile; event types stand for pipeline steps."""
+    from ..operators import latency
+    from ..sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events", "event_type", "value")
+    step = (F.when(F.col("event_type") == "view", "api").when(F.col("event_type") == "click", "s3")
+            .when(F.col("event_type") == "signup", "log").when(F.col("event_type") == "error", "total"))
+    samples = ev.select(step.alias("step"), "value").where(F.col("step").isNotNull())
+    return latency.step_profile(samples)
+
+
+# --- text / json functions ---------------------------------------------------------------
+
+@query("title_normalise")
+def q_title_normalise(spark, sf_dir):
+    from ..functions import text as T
+    from ..sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return d.select("doc_id", T.normalize_ws("text").alias("text_norm"))
+
+
+@query("events_json_field")
+def q_events_json_field(spark, sf_dir):
+    from ..functions import json as J
+    from ..sources.tables import read_table
+    e = read_table(spark, sf_dir, "events", "event_id", "user_id", "props")
+    return e.select("event_id", "user_id", J.vget(J.parse("props"), "$.k", "int").alias("k"))
+
+
+@query("ratings_pivot")
+def q_ratings_pivot(spark, sf_dir):
+    """One small document per event, score = max per id over all its docs."""
+    from ..functions import json as J
+    from ..sources.tables import read_table
+    e = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    rating = F.struct(F.col("event_type").alias("Source"),
+                      F.concat(F.floor("value").cast("string"), F.lit("%")).alias("Value"))
+    body = F.to_json(F.struct(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("imdbID"),
+        F.when(F.col("event_type") != "signup", F.array(rating)).alias("Ratings")))
+    docs = e.select("event_id", J.parse(body).alias("response")).select(
+        "event_id", J.vget("response", "$.imdbID").alias("imdb_id"), "response")
+    score = staging.ratings_score(docs, source="purchase").withColumnRenamed(
+        "rotten_tomatoes_score", "score")
+    return docs.select("event_id", "imdb_id").join(score, "imdb_id", "left")
+
+
+@query("record_id")
+def q_record_id(spark, sf_dir):
+    """Natural id or 'notfound_' + sha1 prefix; object path of the day."""
+    from ..functions import keys as K
+    from ..sources.tables import read_table
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    natural = F.when(F.col("lang") == "en",
+                     F.concat(F.lit("tt"), F.lpad(F.col("doc_id").cast("string"), 7, "0")))
+    rid = K.record_id(natural, "text", "n_chars")
+    return d.select("doc_id", rid.alias("record_id")).select(
+        "doc_id", "record_id",
+        K.doc_object_path(F.to_timestamp_ntz(F.lit(S.AS_OF_TS)), "record_id").alias("object_path"))
+
+
+# --- checks --------------------------------------------------------------------------
+
+@query("checks_summary")
+def q_checks_summary(spark, sf_dir):
+    from ..operators import quality
+    stg = S.stg(spark, sf_dir)
+    docs = staging.stg_docs(S.docs(spark, sf_dir, stg))
+    from ..functions import dates as D
+    calendar = marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date"))
+    built = marts.build_marts(stg, docs, calendar)
+    built["stg_revenues"] = stg
+    m = marts.materialize(spark, built)
+    return quality.summary(quality.star_checks(m, m["stg_revenues"], S.AS_OF))
+
+
+@query("freshness")
+def q_freshness(spark, sf_dir):
+    from ..operators import quality
+    raw = S.raw_revenues(spark, sf_dir)
+    docs = S.docs(spark, sf_dir)
+    return quality.freshness("raw.revenues", raw, "_loaded_at", S.AS_OF_TS).unionByName(
+        quality.freshness("raw.omdb", docs, "_fetched_at", S.AS_OF_TS))

@@ -159,3 +159,240 @@ ORACLE: dict[str, str] = {
            FROM fact f LEFT JOIN dim_movie m ON f.movie_key = m.imdb_id
            GROUP BY m.director""", "fact", "dim_movie"),
 }
+
+# --- calendar -----------------------------------------------------------------------
+CAL_COLS = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, left(monthname(d), 3) AS month_name,
+       CAST(day(d) AS INTEGER) AS day, CAST(dayofweek(d) AS INTEGER) AS day_of_week,
+       left(dayname(d), 3) AS day_name, dayofweek(d) IN (0, 6) AS is_weekend"""
+
+cte("dim_date_rev", f"""
+  SELECT {CAL_COLS}
+  FROM (SELECT CAST(t.ts AS DATE) AS d
+        FROM (SELECT make_date(year(min(revenue_date)), 1, 1) AS lo,
+                     make_date(year(max(revenue_date)), 12, 31) AS hi FROM stg) b,
+             range(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP) + INTERVAL 1 DAY,
+                   INTERVAL 1 DAY) t(ts))""", ("stg",))
+
+# --- call log stand-in ----------------------------------------------------------------
+cte("log", r"""
+  SELECT event_id, ts AS call_at, user_id AS lookup_key,
+    CASE WHEN event_type = 'error' AND value < 20 THEN 'error_timeout'
+         WHEN event_type = 'error' AND value < 40 THEN 'error_other'
+         WHEN event_type = 'error' AND value < 120 THEN 'error_429'
+         WHEN event_type = 'error' AND value < 250 THEN 'error_5xx'
+         WHEN event_type = 'error' THEN 'error_other'
+         WHEN event_type = 'view' THEN 'not_found'
+         WHEN event_type = 'signup' THEN 'error_other'
+         ELSE 'found' END AS outcome,
+    CAST(CASE WHEN event_type = 'error' AND value < 40 THEN NULL
+              WHEN event_type = 'error' AND value < 120 THEN 429
+              WHEN event_type = 'error' AND value < 250 THEN 503
+              WHEN event_type = 'error' THEN 404
+              ELSE 200 END AS INTEGER) AS http_status,
+    CASE WHEN event_type = 'error' AND value < 20 THEN 'request timed out'
+         WHEN event_type = 'error' AND value < 40 THEN 'connection reset by peer'
+         WHEN event_type = 'error' AND value < 120 THEN 'rate limit'
+         WHEN event_type = 'error' AND value < 250 THEN 'Service Unavailable'
+         WHEN event_type = 'error' THEN 'Not Found'
+         WHEN event_type = 'view' THEN 'Movie not found!'
+         WHEN event_type = 'signup' THEN 'unexpected response shape'
+         END AS error_message,
+    value
+  FROM events""")
+
+cte("quota", r"""
+  SELECT count(*) AS calls_today,
+         greatest(0, 1000 - 50 - count(*)) AS remaining
+  FROM log WHERE CAST(call_at AS DATE) = DATE '2024-01-30'""", ("log",))
+
+cte("queue", r"""
+  SELECT f.lookup_key, f.release_year, f.lifetime_rev
+  FROM (SELECT o_custkey AS lookup_key, CAST(min(year(o_orderdate)) AS INTEGER) AS release_year,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DOUBLE) AS lifetime_rev
+        FROM orders GROUP BY o_custkey) f
+  LEFT JOIN (SELECT user_id AS lookup_key FROM events
+             WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-02 00:00:00') c
+    ON f.lookup_key = c.lookup_key
+  LEFT JOIN (SELECT lookup_key FROM log
+             WHERE outcome LIKE 'error%' AND CAST(call_at AS DATE) = DATE '2024-01-30'
+             GROUP BY lookup_key) e
+    ON f.lookup_key = e.lookup_key
+  WHERE c.lookup_key IS NULL AND e.lookup_key IS NULL""", ("log",))
+
+cte("mf", r"""
+  SELECT * FROM dim_movie WHERE director IN ('Brand#13', 'Brand#22') AND genres = 'Standard'""",
+    ("dim_movie",))
+cte("ff", r"""
+  SELECT * FROM fact WHERE movie_key IN (SELECT imdb_id FROM mf)""", ("fact", "mf"))
+
+ORACLE.update({
+    "revenue_by_distributor": sql(
+        """SELECT distributor_name, CAST(sum(lifetime_revenue) AS BIGINT) AS lifetime_revenue
+           FROM dim_distributor GROUP BY distributor_name""", "dim_distributor"),
+    "film_table": sql(
+        """SELECT m.title, m.director, m.genres, m.imdb_rating, m.rotten_tomatoes_score,
+                  CAST(sum(f.revenue) AS BIGINT) AS revenue
+           FROM fact f JOIN dim_movie m ON f.movie_key = m.imdb_id
+           GROUP BY m.title, m.director, m.genres, m.imdb_rating, m.rotten_tomatoes_score
+           HAVING sum(f.revenue) IS NOT NULL""", "fact", "dim_movie"),
+    "kpi_cards": sql(
+        """SELECT (SELECT CAST(sum(revenue) AS BIGINT) FROM fact) AS total_revenue,
+                  (SELECT CAST(sum(revenue) AS DOUBLE) / 1000000 FROM fact) AS total_revenue_m,
+                  (SELECT count(DISTINCT movie_key) + max(CASE WHEN movie_key IS NULL THEN 1 ELSE 0 END)
+                   FROM fact) AS films_count,
+                  (SELECT round(CAST(sum(revenue) AS DOUBLE) / count(revenue), 6) FROM fact) AS avg_daily_revenue,
+                  (SELECT count(DISTINCT imdb_id) FROM dim_movie) AS films_enriched,
+                  (SELECT round(CAST(sum(imdb_rating) AS DOUBLE) / count(imdb_rating), 6) FROM dim_movie)
+                    AS avg_imdb_rating""", "fact", "dim_movie"),
+    "date_range_text": sql(
+        """SELECT strftime(min(revenue_date), '%Y-%m-%d') || '  →  ' ||
+                  strftime(max(revenue_date), '%Y-%m-%d') AS date_range FROM fact""", "fact"),
+    "top_film": sql(
+        """SELECT string_agg(title, '' ORDER BY title) AS top_film
+           FROM (SELECT m.title, sum(f.revenue) AS rev
+                 FROM fact f JOIN dim_movie m ON f.movie_key = m.imdb_id GROUP BY m.title) t
+           WHERE rev = (SELECT max(rev) FROM (SELECT m.title, sum(f.revenue) AS rev
+                 FROM fact f JOIN dim_movie m ON f.movie_key = m.imdb_id GROUP BY m.title) u)""",
+        "fact", "dim_movie"),
+    "last_refresh": sql(
+        """SELECT lr AS last_refresh, strftime(lr, '%Y-%m-%d %H:%M') AS last_refresh_text
+           FROM (SELECT min(call_at) + CASE WHEN month(min(call_at)) BETWEEN 4 AND 10
+                                            THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS lr
+                 FROM log) t""", "log"),
+    "revenue_drill": sql(
+        """SELECT year, quarter_no,
+                  CASE WHEN quarter_no IS NOT NULL THEN 'Qtr ' || CAST(quarter_no AS VARCHAR) END AS quarter,
+                  month_no,
+                  CASE WHEN month_no IS NOT NULL THEN monthname(make_date(2000, month_no, 1)) END AS month,
+                  day, CAST(grouping(year, quarter_no, month_no, day) AS BIGINT) AS level,
+                  CAST(sum(revenue) AS BIGINT) AS revenue
+           FROM (SELECT CAST(year(revenue_date) AS INTEGER) AS year,
+                        CAST(quarter(revenue_date) AS INTEGER) AS quarter_no,
+                        CAST(month(revenue_date) AS INTEGER) AS month_no,
+                        CAST(day(revenue_date) AS INTEGER) AS day, revenue FROM fact) t
+           GROUP BY ROLLUP (year, quarter_no, month_no, day)""", "fact"),
+    "filtered_kpi": sql(
+        """SELECT (SELECT CAST(sum(revenue) AS BIGINT) FROM ff) AS total_revenue,
+                  (SELECT CAST(sum(revenue) AS DOUBLE) / 1000000 FROM ff) AS total_revenue_m,
+                  (SELECT count(DISTINCT movie_key) + max(CASE WHEN movie_key IS NULL THEN 1 ELSE 0 END)
+                   FROM ff) AS films_count,
+                  (SELECT round(CAST(sum(revenue) AS DOUBLE) / count(revenue), 6) FROM ff) AS avg_daily_revenue,
+                  (SELECT count(DISTINCT imdb_id) FROM mf) AS films_enriched,
+                  (SELECT round(CAST(sum(imdb_rating) AS DOUBLE) / count(imdb_rating), 6) FROM mf)
+                    AS avg_imdb_rating""", "ff", "mf"),
+    "cross_filter_star": sql(
+        """SELECT m.director, CAST(sum(f.revenue) AS BIGINT) AS revenue
+           FROM fact f
+           JOIN dim_distributor d ON f.distributor_key = d.distributor_key
+                                 AND d.distributor_name = 'Supplier#000000002'
+           LEFT JOIN dim_movie m ON f.movie_key = m.imdb_id
+           GROUP BY m.director""", "fact", "dim_movie", "dim_distributor"),
+    "default_sums": """SELECT CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_l_quantity,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_l_extendedprice,
+           CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS sum_l_discount,
+           CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS sum_l_tax FROM lineitem""",
+    "dim_date_build": sql(
+        f"""SELECT {CAL_COLS}
+            FROM (SELECT CAST(t.ts AS DATE) AS d
+                  FROM (SELECT make_date(year(min(revenue_date)), 1, 1) AS lo,
+                               make_date(year(max(revenue_date)), 12, 31) AS hi FROM raw_rev) b,
+                       range(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP) + INTERVAL 1 DAY,
+                             INTERVAL 1 DAY) t(ts))""", "raw_rev"),
+    "queue_top_n": sql(
+        """SELECT lookup_key, release_year, lifetime_rev FROM queue
+           QUALIFY row_number() OVER (ORDER BY lifetime_rev DESC NULLS LAST, lookup_key)
+                   <= (SELECT least(50, remaining) FROM quota)""", "queue", "quota"),
+    "queue_preview": sql(
+        """SELECT lookup_key, release_year, lifetime_rev FROM queue
+           ORDER BY lifetime_rev DESC NULLS LAST, lookup_key LIMIT 5""", "queue"),
+    "quota_remaining": sql(
+        """SELECT calls_today, remaining, least(25, remaining) AS effective_limit FROM quota""",
+        "quota"),
+    "log_batch_append": sql(
+        """SELECT event_id, call_at, lookup_key, outcome, http_status, error_message FROM log""", "log"),
+    "outcome_counts": sql(
+        """SELECT CASE WHEN outcome IN ('found', 'not_found') AND value >= 450 THEN 'error_other'
+                       ELSE outcome END AS outcome, count(*) AS n
+           FROM log GROUP BY 1""", "log"),
+    "failure_breakdown": sql(
+        """SELECT outcome, http_status, count(*) AS n FROM log
+           WHERE outcome LIKE 'error%' GROUP BY outcome, http_status""", "log"),
+    "step_profile": r"""
+WITH s AS (
+  SELECT CASE event_type WHEN 'view' THEN 'api' WHEN 'click' THEN 's3'
+                         WHEN 'signup' THEN 'log' WHEN 'error' THEN 'total' END AS step, value
+  FROM events WHERE event_type IN ('view', 'click', 'signup', 'error')),
+r AS (
+  SELECT step, value, row_number() OVER (PARTITION BY step ORDER BY value) - 1 AS idx,
+         count(*) OVER (PARTITION BY step) AS n
+  FROM s),
+a AS (
+  SELECT step, max(n) AS n, sum(value) AS total, max(value) AS mx,
+         max(CASE WHEN idx = n // 2 THEN value END) AS p50,
+         max(CASE WHEN idx = least(CAST(floor(n * CAST(0.95 AS DOUBLE)) AS BIGINT), n - 1)
+                  THEN value END) AS p95
+  FROM r GROUP BY step),
+d AS (SELECT sum(total) AS denom FROM a WHERE step IN ('api', 's3', 'log'))
+SELECT step, n, round(total / n * 1000, 3) AS mean_ms, p50 * 1000 AS p50_ms, p95 * 1000 AS p95_ms,
+       mx * 1000 AS max_ms, round(total, 6) AS total_s,
+       CASE WHEN step = 'total' THEN 100.0 WHEN denom > 0 THEN round(total / denom * 100, 3)
+            ELSE 0.0 END AS pct
+FROM a, d""",
+    "title_normalise": r"""SELECT doc_id, regexp_replace(trim(text), '\s+', ' ', 'g') AS text_norm
+                            FROM documents""",
+    "events_json_field": """SELECT event_id, user_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+                            FROM events""",
+    "ratings_pivot": """SELECT event_id, 'u' || CAST(user_id AS VARCHAR) AS imdb_id,
+                               max(CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) END)
+                                 OVER (PARTITION BY user_id) AS score
+                        FROM events""",
+    "record_id": """SELECT doc_id, rid AS record_id,
+                           'raw/omdb/yyyy=2024/mm=01/dd=30/' || rid || '.json' AS object_path
+                    FROM (SELECT doc_id,
+                                 coalesce(CASE WHEN lang = 'en' THEN 'tt' || lpad(CAST(doc_id AS VARCHAR), 7, '0') END,
+                                          'notfound_' || substr(sha1(text || '|' || CAST(n_chars AS VARCHAR)), 1, 12)) AS rid
+                          FROM documents) t""",
+    "freshness": sql(
+        """SELECT source, max_loaded_at, age_hours,
+                  CASE WHEN age_hours > e THEN 'error' WHEN age_hours > w THEN 'warn' ELSE 'pass' END AS status
+           FROM (
+             SELECT 'raw.revenues' AS source, max(_loaded_at) AS max_loaded_at,
+                    round((epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(max(_loaded_at))) / 3600000000.0, 6)
+                      AS age_hours, 36 AS w, 72 AS e
+             FROM raw_rev
+             UNION ALL
+             SELECT 'raw.omdb', max(TIMESTAMP '2024-01-01 06:00:00' + (p_size - 1) * INTERVAL 1 DAY),
+                    round((epoch_us(TIMESTAMP '2024-01-30 12:00:00')
+                           - epoch_us(max(TIMESTAMP '2024-01-01 06:00:00' + (p_size - 1) * INTERVAL 1 DAY)))
+                          / 3600000000.0, 6), 168, 336
+             FROM films f JOIN first_part p ON f.title = p.title) t""",
+        "raw_rev", "films", "first_part"),
+})
+
+
+CHECKS_SQL = """SELECT check_name, failures,
+       CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (
+  SELECT 'not_null_dim_movie_imdb_id' AS check_name, (SELECT count(*) FROM dim_movie WHERE imdb_id IS NULL) AS failures
+  UNION ALL SELECT 'unique_dim_movie_imdb_id' AS check_name, (SELECT count(*) FROM (SELECT imdb_id FROM dim_movie WHERE imdb_id IS NOT NULL GROUP BY imdb_id HAVING count(*) > 1) t) AS failures
+  UNION ALL SELECT 'accepted_range_dim_movie_imdb_rating' AS check_name, (SELECT count(*) FROM dim_movie WHERE NOT (imdb_rating >= 1.0 AND imdb_rating <= 10.0)) AS failures
+  UNION ALL SELECT 'not_null_dim_date_date_key' AS check_name, (SELECT count(*) FROM dim_date_rev WHERE date_key IS NULL) AS failures
+  UNION ALL SELECT 'unique_dim_date_date_key' AS check_name, (SELECT count(*) FROM (SELECT date_key FROM dim_date_rev WHERE date_key IS NOT NULL GROUP BY date_key HAVING count(*) > 1) t) AS failures
+  UNION ALL SELECT 'not_null_dim_distributor_distributor_key' AS check_name, (SELECT count(*) FROM dim_distributor WHERE distributor_key IS NULL) AS failures
+  UNION ALL SELECT 'unique_dim_distributor_distributor_key' AS check_name, (SELECT count(*) FROM (SELECT distributor_key FROM dim_distributor WHERE distributor_key IS NOT NULL GROUP BY distributor_key HAVING count(*) > 1) t) AS failures
+  UNION ALL SELECT 'not_null_fact_source_row_id' AS check_name, (SELECT count(*) FROM fact WHERE source_row_id IS NULL) AS failures
+  UNION ALL SELECT 'unique_fact_source_row_id' AS check_name, (SELECT count(*) FROM (SELECT source_row_id FROM fact WHERE source_row_id IS NOT NULL GROUP BY source_row_id HAVING count(*) > 1) t) AS failures
+  UNION ALL SELECT 'not_null_fact_movie_key' AS check_name, (SELECT count(*) FROM fact WHERE movie_key IS NULL) AS failures
+  UNION ALL SELECT 'relationships_fact_movie_key' AS check_name, (SELECT count(*) FROM fact c LEFT JOIN dim_movie p ON c.movie_key = p.imdb_id WHERE c.movie_key IS NOT NULL AND p.imdb_id IS NULL) AS failures
+  UNION ALL SELECT 'not_null_fact_date_key' AS check_name, (SELECT count(*) FROM fact WHERE date_key IS NULL) AS failures
+  UNION ALL SELECT 'relationships_fact_date_key' AS check_name, (SELECT count(*) FROM fact c LEFT JOIN dim_date_rev p ON c.date_key = p.date_key WHERE c.date_key IS NOT NULL AND p.date_key IS NULL) AS failures
+  UNION ALL SELECT 'not_null_fact_distributor_key' AS check_name, (SELECT count(*) FROM fact WHERE distributor_key IS NULL) AS failures
+  UNION ALL SELECT 'relationships_fact_distributor_key' AS check_name, (SELECT count(*) FROM fact c LEFT JOIN dim_distributor p ON c.distributor_key = p.distributor_key WHERE c.distributor_key IS NOT NULL AND p.distributor_key IS NULL) AS failures
+  UNION ALL SELECT 'expression_is_true_fact_revenue' AS check_name, (SELECT count(*) FROM fact WHERE NOT (revenue >= 0)) AS failures
+  UNION ALL SELECT 'unique_combination_stg_revenues' AS check_name, (SELECT count(*) FROM (SELECT revenue_date, title, distributor FROM stg GROUP BY revenue_date, title, distributor HAVING count(*) > 1) t) AS failures
+  UNION ALL SELECT 'no_future_revenue_dates' AS check_name, (SELECT count(*) FROM fact WHERE revenue_date > DATE '2024-01-30') AS failures
+) t"""
+
+ORACLE["checks_summary"] = sql(CHECKS_SQL, "dim_movie", "dim_date_rev", "dim_distributor", "fact", "stg")
