@@ -126,3 +126,18 @@ def materialize(spark, tables: dict[str, DataFrame], root: str | None = None) ->
         df.write.mode("overwrite").parquet(path)
         out[name] = spark.read.parquet(path)
     return out
+
+
+def publish(spark, views: dict[str, DataFrame], tables: dict[str, DataFrame], root: str,
+            prefix: str = "") -> dict[str, DataFrame]:
+    """Staging as views, marts as tables (external, below ``root``).
+
+    Returns every object re-read by name through the catalog, the way a
+    downstream model or the reporting layer references it.
+    """
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    for name, df in tables.items():
+        (df.write.mode("overwrite").option("path", f"{root}/{name}")
+         .saveAsTable(prefix + name))
+    return {n: spark.table(prefix + n) for n in [*views, *tables]}

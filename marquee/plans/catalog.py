@@ -333,3 +333,86 @@ def q_freshness(spark, sf_dir):
     docs = S.docs(spark, sf_dir)
     return quality.freshness("raw.revenues", raw, "_loaded_at", S.AS_OF_TS).unionByName(
         quality.freshness("raw.omdb", docs, "_fetched_at", S.AS_OF_TS))
+
+
+# --- sources, sinks and incremental ingest (write below the shared folder) ------------
+
+ORDERS_COLUMNS = (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                  ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
+                  ("o_orderpriority", "string"))
+ORDER_NAMES = [n for n, _ in ORDERS_COLUMNS]
+
+
+def _orders(spark, sf_dir):
+    from ..sources.tables import read_table
+    return read_table(spark, sf_dir, "orders", *ORDER_NAMES)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Export per (year, quarter) gz CSV, load it back typed."""
+    from ..session import scratch_path
+    from ..sources import csv_drops
+    root = scratch_path(spark, "csv-roundtrip")
+    o = _orders(spark, sf_dir)
+    csv_drops.export_drops(o.withColumn("year", F.year("o_orderdate"))
+                           .withColumn("quarter", F.quarter("o_orderdate")),
+                           f"{root}/inbox", ["year", "quarter"])
+    csv_drops.load_file(spark, f"{root}/inbox", f"{root}/raw", ORDERS_COLUMNS)
+    return spark.read.parquet(f"{root}/raw").select(*ORDER_NAMES)
+
+
+@query("json_partition_roundtrip")
+def q_json_partition_roundtrip(spark, sf_dir):
+    """Envelopes written per fetch day, read in place as VARIANT, flattened."""
+    from ..session import scratch_path
+    from ..sources import json_docs
+    root = scratch_path(spark, "omdb")
+    json_docs.write_documents(S.doc_envelopes(spark, sf_dir), root)
+    json_docs.refresh_cache(spark, root)
+    return staging.stg_docs(staging.docs_table(json_docs.read_documents(spark, root)))
+
+
+@query("marts_table_roundtrip")
+def q_marts_table_roundtrip(spark, sf_dir):
+    """Staging published as a view, marts as tables, fact read by name."""
+    import uuid
+
+    from ..session import scratch_path
+    stg = S.stg(spark, sf_dir)
+    docs = staging.stg_docs(S.docs(spark, sf_dir, stg))
+    from ..functions import dates as D
+    built = marts.build_marts(stg, docs, marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date")))
+    prefix = f"m{uuid.uuid4().hex[:8]}_"
+    out = marts.publish(spark, {"stg_revenues": stg}, {"fact_daily_revenue": built["fact_daily_revenue"]},
+                        scratch_path(spark, "warehouse"), prefix)
+    return out["fact_daily_revenue"]
+
+
+@query("incremental_ingest")
+def q_incremental_ingest(spark, sf_dir):
+    """Drops streamed in once each, a re-delivery resolved latest-wins."""
+    from ..session import scratch_path
+    from ..sources import csv_drops
+    from ..streaming import ingest
+    root = scratch_path(spark, "ingest")
+    inbox, raw, ckpt = f"{root}/inbox", f"{root}/raw", f"{root}/_checkpoint"
+    o = _orders(spark, sf_dir)
+    year = F.year("o_orderdate")
+    drops = {"drop1": o.where(year <= 1996), "drop2": o.where(year.between(1997, 1998)),
+             "drop3": o.where(year >= 1999)}
+
+    def deliver(name, df):
+        (df.write.mode("overwrite").option("header", True).option("compression", "gzip")
+         .csv(f"{inbox}/{name}"))
+
+    deliver("drop1", drops["drop1"])
+    deliver("drop2", drops["drop2"])
+    ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)
+    deliver("drop3", drops["drop3"])
+    ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)
+    ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)  # nothing new
+    deliver("drop3_redelivered", drops["drop3"])
+    ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)
+    payload = [n for n in ORDER_NAMES if n != "o_orderkey"]
+    return ingest.latest_rows(ingest.read_raw(spark, raw), "o_orderkey", payload).select(*ORDER_NAMES)

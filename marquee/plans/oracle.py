@@ -396,3 +396,12 @@ FROM (
 ) t"""
 
 ORACLE["checks_summary"] = sql(CHECKS_SQL, "dim_movie", "dim_date_rev", "dim_distributor", "fact", "stg")
+
+ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders"""
+ORACLE.update({
+    "csv_roundtrip": ORDERS_SQL,
+    "json_partition_roundtrip": sql("SELECT * FROM docs_flat", "docs_flat"),
+    "marts_table_roundtrip": ORACLE["fact_build"],
+    "incremental_ingest": ORDERS_SQL,
+})
