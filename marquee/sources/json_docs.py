@@ -35,10 +35,17 @@ def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
      .write.mode(mode).partitionBy("yyyy", "mm", "dd").text(path))
 
 
-def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Documents in place: VARIANT column ``v`` plus the yyyy/mm/dd partitions."""
-    return (spark.read.option("singleVariantColumn", "v").option("multiLine", multiline)
-            .json(path))
+def read_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    """Documents in place: VARIANT column ``v`` plus the yyyy/mm/dd partitions.
+
+    Read through the text source and ``try_parse_json``: one document per
+    line, or one per file with ``whole_file=True``.  (The JSON source's
+    ``singleVariantColumn`` mode fails in Spark 4.1 as soon as a partition
+    column is filtered, which would forbid pruning by day.)
+    """
+    t = spark.read.option("wholetext", whole_file).text(path)
+    parts = [c for c in t.columns if c != "value"]
+    return t.select(J.parse("value").alias("v"), *parts)
 
 
 def refresh_cache(spark: SparkSession, path: str) -> None:
