@@ -31,12 +31,9 @@ def query(name: str):
 # --- shared plan fragments -----------------------------------------------------------
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy marts over the stand-ins; the calendar spans the revenue years."""
-    stg = S.stg(spark, sf_dir)
-    docs = staging.stg_docs(S.docs(spark, sf_dir, stg))
-    from ..functions import dates as D
-    calendar = marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date"))
-    return marts.build_marts(stg, docs, calendar)
+    """The materialised star of ``sf_dir`` (see ``plans.build``)."""
+    from .build import star as built
+    return built(spark, sf_dir)
 
 
 # --- staging -------------------------------------------------------------------------
@@ -63,14 +60,14 @@ def q_stg_release_year(spark, sf_dir):
 @query("json_flatten_doc")
 def q_json_flatten_doc(spark, sf_dir):
     """Envelopes merged, parsed as VARIANT, flattened."""
-    return staging.stg_docs(S.docs(spark, sf_dir))
+    return staging.stg_docs(S.docs(spark, sf_dir, star(spark, sf_dir)["stg_revenues"]))
 
 
 # --- marts ---------------------------------------------------------------------------
 
 @query("dim_distributor_build")
 def q_dim_distributor(spark, sf_dir):
-    return marts.dim_distributor(S.stg(spark, sf_dir))
+    return star(spark, sf_dir)["dim_distributor"]
 
 
 @query("dim_movie_build")
@@ -316,13 +313,7 @@ def q_record_id(spark, sf_dir):
 @query("checks_summary")
 def q_checks_summary(spark, sf_dir):
     from ..operators import quality
-    stg = S.stg(spark, sf_dir)
-    docs = staging.stg_docs(S.docs(spark, sf_dir, stg))
-    from ..functions import dates as D
-    calendar = marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date"))
-    built = marts.build_marts(stg, docs, calendar)
-    built["stg_revenues"] = stg
-    m = marts.materialize(spark, built)
+    m = star(spark, sf_dir)
     return quality.summary(quality.star_checks(m, m["stg_revenues"], S.AS_OF))
 
 
@@ -330,7 +321,7 @@ def q_checks_summary(spark, sf_dir):
 def q_freshness(spark, sf_dir):
     from ..operators import quality
     raw = S.raw_revenues(spark, sf_dir)
-    docs = S.docs(spark, sf_dir)
+    docs = S.docs(spark, sf_dir, star(spark, sf_dir)["stg_revenues"])
     return quality.freshness("raw.revenues", raw, "_loaded_at", S.AS_OF_TS).unionByName(
         quality.freshness("raw.omdb", docs, "_fetched_at", S.AS_OF_TS))
 
@@ -379,12 +370,10 @@ def q_marts_table_roundtrip(spark, sf_dir):
     import uuid
 
     from ..session import scratch_path
-    stg = S.stg(spark, sf_dir)
-    docs = staging.stg_docs(S.docs(spark, sf_dir, stg))
-    from ..functions import dates as D
-    built = marts.build_marts(stg, docs, marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date")))
+    s = star(spark, sf_dir)
     prefix = f"m{uuid.uuid4().hex[:8]}_"
-    out = marts.publish(spark, {"stg_revenues": stg}, {"fact_daily_revenue": built["fact_daily_revenue"]},
+    out = marts.publish(spark, {"stg_revenues": s["stg_revenues"]},
+                        {"fact_daily_revenue": s["fact_daily_revenue"]},
                         scratch_path(spark, "warehouse"), prefix)
     return out["fact_daily_revenue"]
 

@@ -37,7 +37,7 @@ FETCH_BASE_TS = "2024-01-01 06:00:00"
 
 def raw_revenues(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-                   "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+                   "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", spread=True)
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand")
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     j = l.join(p, l.l_partkey == p.p_partkey).join(s, l.l_suppkey == s.s_suppkey)
@@ -132,7 +132,8 @@ def docs(spark: SparkSession, sf_dir: str, stg_df: DataFrame | None = None) -> D
 
 def api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw API responses, one per event: (error_kind, http_status, reason, body)."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value",
+                   spread=True)
     et, v = F.col("event_type"), F.col("value")
     is_err = et == "error"
     error_kind = (F.when(is_err & (v < 20), F.lit("timeout"))

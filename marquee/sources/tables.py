@@ -17,9 +17,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
+               spread: bool = False) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread_small_scan(spark, df) if spread else df
+
+
+def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Give a scan at least one split per core.
+
+    A large table arrives in thousands of splits and is returned unchanged.
+    A file written as one row group is read by a single task, and every
+    operator pipelined behind the scan (broadcast joins, projections, the
+    map side of aggregates) would run in that one task; such a scan is
+    spread round-robin over the session's cores (one small shuffle).
+    """
+    try:
+        n = df.rdd.getNumPartitions()  # planning only; no job runs
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # pragma: no cover - no RDD API (Connect)
+        return df
+    return df.repartition(cores) if n < cores else df
 
 
 def read_mart(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
