@@ -93,6 +93,18 @@ def kpi_cards(fact: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
+def kpi_cards_text(kpis: DataFrame) -> DataFrame:
+    """The KPI row as the cards display it."""
+    from ..functions import formats as FM
+    return kpis.select(
+        FM.money("total_revenue").alias("total_revenue"),
+        FM.money_millions("total_revenue_m").alias("total_revenue_m"),
+        FM.whole_number("films_count").alias("films_count"),
+        FM.money("avg_daily_revenue").alias("avg_daily_revenue"),
+        FM.whole_number("films_enriched").alias("films_enriched"),
+        FM.one_decimal("avg_imdb_rating").alias("avg_imdb_rating"))
+
+
 def date_range_text(fact: DataFrame) -> DataFrame:
     return fact.agg(F.concat(F.date_format(F.min("revenue_date"), DATE_FMT),
                              F.lit(DATE_RANGE_SEPARATOR),
