@@ -73,3 +73,20 @@ def latest_rows(raw: DataFrame, key: str | Sequence[str], payload: Sequence[str]
     """Latest-wins view: newest load (then newest batch) per key."""
     return dedupe_latest(raw, key, order_desc=["_loaded_at", "_batch_id", *payload],
                          keep=list(payload))
+
+
+def ingest_log_batches(spark: SparkSession, inbox: str, target: str, checkpoint: str,
+                       suffix: str = ".json") -> int:
+    """Append call-log batch files (one JSON array per line) exactly once each.
+
+    Every micro-batch unpacks its arrays with ``from_json`` + ``inline`` and
+    is written into its own ``batch=<id>`` folder of the log table.
+    """
+    from ..sources import json_docs
+    stream = (spark.readStream.option("pathGlobFilter", "*" + suffix)
+              .option("recursiveFileLookup", True).text(inbox))
+    rows = json_docs.unpack_log_batches(stream.withColumnRenamed("value", "batch"))
+    q = (rows.writeStream.foreachBatch(_batch_writer(target))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sum(1 for p in q.recentProgress if p["numInputRows"] > 0)

@@ -111,3 +111,20 @@ def test_log_batches_bounded(spark):
     assert b.count() == 3
     back = json_docs.unpack_log_batches(b)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in log.collect())
+
+
+def test_log_batches_stream_once(spark):
+    import datetime as dt
+    root = scratch_path(spark, "t-logstream")
+    inbox, target, ckpt = f"{root}/inbox", f"{root}/log", f"{root}/ckpt"
+    log = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 30, 1, 0, 0, i), i, "found", 200, None) for i in range(120)],
+        json_docs.LOG_ROW_DDL)
+    batches = json_docs.pack_log_batches(log)
+    batches.where("block < 2").select("batch").write.text(f"{inbox}/run1")
+    assert ingest.ingest_log_batches(spark, inbox, target, ckpt, suffix=".txt") == 1
+    assert ingest.ingest_log_batches(spark, inbox, target, ckpt, suffix=".txt") == 0
+    batches.where("block = 2").select("batch").write.text(f"{inbox}/run2")
+    assert ingest.ingest_log_batches(spark, inbox, target, ckpt, suffix=".txt") == 1
+    got = spark.read.parquet(target).select(*log.columns)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in log.collect())
