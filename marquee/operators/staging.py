@@ -2,9 +2,11 @@
 
 Plan shape (what Catalyst is given)
 -----------------------------------
-* latest-wins de-dup is ``groupBy(id).agg(max_by(row, order))`` - a hash
-  aggregate with a map-side partial step, so an id repeated a billion times
-  is folded before the shuffle; no window sort of a hot key in one task.
+* latest-wins de-dup is ``groupBy(id).agg(max_by(row, order))`` - an
+  aggregate with a map-side partial step (sort-based, since the struct
+  buffer is not fixed-width), so an id repeated a billion times is folded to
+  one row per map task before the shuffle; no window sorts a hot key's rows
+  in one task.
 * the per-title first year is ``groupBy(title).min`` joined back on title.
   The aggregate side has one row per title; AQE turns the join into a
   broadcast when that side is measured small after its shuffle, and splits a
@@ -95,13 +97,15 @@ def docs_table(envelopes: DataFrame, v: str = "v") -> DataFrame:
     )
 
 
-def ratings_score(docs: DataFrame, source: str = RATINGS_SOURCE) -> DataFrame:
+def ratings_score(docs: DataFrame, source: str = RATINGS_SOURCE, outer: bool = False) -> DataFrame:
     """Per imdb_id: max of the digits of ``Ratings[].Value`` where Source matches.
 
     Documents without a ``Ratings`` array produce no row (lateral flatten
     drops them); the caller left-joins, so those documents get NULL.
+    ``outer=True`` keeps them as a row with a NULL score instead.
     """
-    items = docs.select("imdb_id", F.explode(J.varray("response", "$.Ratings")).alias("r"))
+    explode = F.explode_outer if outer else F.explode
+    items = docs.select("imdb_id", explode(J.varray("response", "$.Ratings")).alias("r"))
     score = T.try_number(T.first_digits(J.vget("r", "$.Value")))
     return items.groupBy("imdb_id").agg(
         F.max(F.when(J.vget("r", "$.Source") == source, score)).alias("rotten_tomatoes_score"))

@@ -24,21 +24,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
     return spread_small_scan(spark, df) if spread else df
 
 
-def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Give a scan at least one split per core.
+# A scan of at most this many splits (x maxPartitionBytes, 128 MB by
+# default) is small enough that one round-robin shuffle of it is cheap.
+SMALL_SCAN_SPLITS = 16
+
+
+def spread_small_scan(spark: SparkSession, df: DataFrame,
+                      max_splits: int = SMALL_SCAN_SPLITS) -> DataFrame:
+    """Give a small scan one split per core.
 
-    A large table arrives in thousands of splits and is returned unchanged.
     A file written as one row group is read by a single task, and every
     operator pipelined behind the scan (broadcast joins, projections, the
-    map side of aggregates) would run in that one task; such a scan is
-    spread round-robin over the session's cores (one small shuffle).
+    map side of aggregates) would run in that task.  A scan with fewer
+    splits than cores *and* at most ``max_splits`` splits (so at most a few
+    GB) is spread round-robin over the cores.  Anything larger already has
+    its parallelism from the files and is returned unchanged - on a cluster
+    the big tables never pay this shuffle.
     """
     try:
-        n = df.rdd.getNumPartitions()  # planning only; no job runs
+        n = df.rdd.getNumPartitions()  # split planning only; no job runs
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # pragma: no cover - no RDD API (Connect)
         return df
-    return df.repartition(cores) if n < cores else df
+    return df.repartition(cores) if n < cores and n <= max_splits else df
 
 
 def read_mart(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
