@@ -69,27 +69,36 @@ def distinct_count_blank(c: str) -> Column:
 def kpi_cards(fact: DataFrame, movies: DataFrame) -> DataFrame:
     """One row: total revenue, in millions, films counted, enriched, averages.
 
-    Fact and dimension measures are computed in one aggregate over the union
-    of both inputs' needed columns, so no join (and no cross join) is needed
-    to put them side by side.
+    The fact is aggregated once per movie (a hash aggregate with map-side
+    partials - no ``Expand`` of fact rows for the distinct count): the
+    number of movie groups *is* the distinct count, and the totals are sums
+    of the per-movie sums.  The dimension side is a separate small
+    aggregate; the two one-row results are put side by side with a union and
+    ``max`` (no join, no cross join).
     """
-    f = fact.select("revenue", "movie_key", F.lit(None).cast("string").alias("imdb_id"),
-                    F.lit(None).cast("decimal(4,1)").alias("imdb_rating"),
-                    F.lit(True).alias("_is_fact"))
-    m = movies.select(F.lit(None).cast(fact.schema["revenue"].dataType).alias("revenue"),
-                      F.lit(None).cast("string").alias("movie_key"), "imdb_id", "imdb_rating",
-                      F.lit(False).alias("_is_fact"))
-    u = f.unionByName(m)
-    total = F.sum("revenue")
-    films = F.count_distinct("movie_key") + F.max(
-        F.when(F.col("_is_fact") & F.col("movie_key").isNull(), 1).otherwise(0))
-    return u.agg(
-        total.cast("bigint").alias("total_revenue"),
-        F.try_divide(total, F.lit(1000000)).cast("double").alias("total_revenue_m"),
-        films.alias("films_count"),
-        F.round(exact_mean("revenue"), 6).alias("avg_daily_revenue"),
-        F.count_distinct("imdb_id").alias("films_enriched"),
-        F.round(exact_mean("imdb_rating"), 6).alias("avg_imdb_rating"),
+    per_movie = fact.groupBy("movie_key").agg(F.sum("revenue").alias("s"),
+                                              F.count("revenue").alias("n"))
+    f = per_movie.agg(
+        F.sum("s").alias("total"), F.sum("n").alias("n_rev"),
+        (F.count("movie_key") + F.max(F.when(F.col("movie_key").isNull(), 1).otherwise(0)))
+        .alias("films"))
+    m = movies.agg(F.count_distinct("imdb_id").alias("enriched"),
+                   F.sum("imdb_rating").alias("rating_sum"), F.count("imdb_rating").alias("rating_n"))
+    cols = {"total": f.schema["total"].dataType, "n_rev": "long", "films": "long",
+            "enriched": "long", "rating_sum": m.schema["rating_sum"].dataType, "rating_n": "long"}
+
+    def widen(df: DataFrame) -> DataFrame:
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                           for c, t in cols.items()])
+
+    one = widen(f).unionByName(widen(m)).agg(*[F.max(c).alias(c) for c in cols])
+    return one.select(
+        F.col("total").cast("bigint").alias("total_revenue"),
+        F.try_divide(F.col("total"), F.lit(1000000)).cast("double").alias("total_revenue_m"),
+        F.col("films").alias("films_count"),
+        F.round(F.col("total").cast("double") / F.col("n_rev"), 6).alias("avg_daily_revenue"),
+        F.col("enriched").alias("films_enriched"),
+        F.round(F.col("rating_sum").cast("double") / F.col("rating_n"), 6).alias("avg_imdb_rating"),
     )
 
 

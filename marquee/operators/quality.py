@@ -78,6 +78,64 @@ def summary(checks: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def row_check_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """Failure counts of many row-level checks on one table in ONE scan.
+
+    ``conditions`` maps check name -> a predicate that is true for a failing
+    row (NULL counts as passing).  The counts come from one aggregate and
+    are unpivoted into (check_name, failures, status) rows.
+    """
+    names = list(conditions)
+    counts = df.agg(*[F.sum(F.when(c, 1).otherwise(0)).cast("long").alias(f"_c{i}")
+                      for i, c in enumerate(conditions.values())])
+    rows = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.coalesce(F.col(f"_c{i}"), F.lit(0)).alias("failures"))
+        for i, n in enumerate(names)])).alias("r")).select("r.*")
+    return rows.withColumn("status", F.when(F.col("failures") == 0, F.lit(PASS)).otherwise(F.lit(FAIL)))
+
+
+def star_summary(marts: dict[str, DataFrame], stg: DataFrame, as_of: str) -> DataFrame:
+    """Same rows as ``summary(star_checks(...))`` with one scan per table for row checks.
+
+    Row-level checks (not_null, accepted_range, expression_is_true, future
+    dates) of a table share one aggregate; key checks (unique, combination,
+    relationships) keep their own aggregate / anti join.
+    """
+    m, d, dist, f = (marts["dim_movie"], marts["dim_date"], marts["dim_distributor"],
+                     marts["fact_daily_revenue"])
+    c = F.col
+    parts = [
+        row_check_counts(m, {
+            "not_null_dim_movie_imdb_id": c("imdb_id").isNull(),
+            "accepted_range_dim_movie_imdb_rating": (c("imdb_rating") < 1.0) | (c("imdb_rating") > 10.0)}),
+        row_check_counts(d, {"not_null_dim_date_date_key": c("date_key").isNull()}),
+        row_check_counts(dist, {"not_null_dim_distributor_distributor_key": c("distributor_key").isNull()}),
+        row_check_counts(f, {
+            "not_null_fact_source_row_id": c("source_row_id").isNull(),
+            "not_null_fact_movie_key": c("movie_key").isNull(),
+            "not_null_fact_date_key": c("date_key").isNull(),
+            "not_null_fact_distributor_key": c("distributor_key").isNull(),
+            "expression_is_true_fact_revenue": ~(c("revenue") >= 0),
+            "no_future_revenue_dates": c("revenue_date") > F.to_date(F.lit(as_of))}),
+        summary({
+            "unique_dim_movie_imdb_id": unique(m, "imdb_id"),
+            "unique_dim_date_date_key": unique(d, "date_key"),
+            "unique_dim_distributor_distributor_key": unique(dist, "distributor_key"),
+            "unique_fact_source_row_id": unique(f, "source_row_id"),
+            "relationships_fact_movie_key": relationships(f, "movie_key", m, "imdb_id"),
+            "relationships_fact_date_key": relationships(f, "date_key", d, "date_key"),
+            "relationships_fact_distributor_key": relationships(f, "distributor_key", dist,
+                                                                "distributor_key"),
+            "unique_combination_stg_revenues": unique_combination(
+                stg, ["revenue_date", "title", "distributor"]),
+        }),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def gate(summary_df: DataFrame) -> DataFrame:
     """Raise if any check failed; otherwise return the summary unchanged.
 
@@ -141,4 +199,4 @@ def freshness(source: str, df: DataFrame, loaded_at: str, as_of_ts: str,
 
 __all__ = ["not_null", "unique", "unique_combination", "accepted_range", "expression_is_true",
            "relationships", "future_dates", "failures", "summary", "gate", "star_checks",
-           "freshness"]
+           "row_check_counts", "star_summary", "freshness"]

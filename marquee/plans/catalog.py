@@ -314,7 +314,7 @@ def q_record_id(spark, sf_dir):
 def q_checks_summary(spark, sf_dir):
     from ..operators import quality
     m = star(spark, sf_dir)
-    return quality.summary(quality.star_checks(m, m["stg_revenues"], S.AS_OF))
+    return quality.star_summary(m, m["stg_revenues"], S.AS_OF)
 
 
 @query("freshness")

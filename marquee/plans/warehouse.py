@@ -105,7 +105,7 @@ def build(spark: SparkSession, raw_root: str, docs_root: str, out_root: str, as_
     fact = write("fact_daily_revenue", marts.fact_daily_revenue(stg, movies, dists))
     out = {"stg_revenues": stg, "stg_docs": docs, "dim_date": cal, "dim_movie": movies,
            "dim_distributor": dists, "fact_daily_revenue": fact}
-    checks = write("checks", quality.summary(quality.star_checks(out, stg, as_of)))
+    checks = write("checks", quality.star_summary(out, stg, as_of))
     out["checks"] = checks
     if gate:
         quality.gate(checks)

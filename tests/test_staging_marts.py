@@ -208,3 +208,17 @@ def test_approx_distributor_and_outer_flatten(spark):
     d = docs(spark, [doc("A", 2003, "tt1"), doc("B", 2003, "tt2", Ratings=[])])
     assert staging.ratings_score(d).count() == 0
     assert sorted(r.imdb_id for r in staging.ratings_score(d, outer=True).collect()) == ["tt1", "tt2"]
+
+
+def test_fused_checks_equal_separate_checks(spark):
+    raw_rows = [
+        ("1", dt.date(2030, 1, 1), "A", "-5", "1", "D1", T0),
+        ("2", dt.date(2003, 1, 1), "A", None, "1", "D1", T0),
+        ("3", dt.date(2003, 1, 1), "A", "1", "1", "D1", T0),
+        ("4", dt.date(2003, 1, 2), "B", "1", "1", None, T0),
+    ]
+    stg, m = _star(spark, raw_rows, [doc("A", 2003, "tt1", imdbRating="0.5"), doc("A", 2003, "tt1")])
+    sep = rows(quality.summary(quality.star_checks(m, stg, "2024-01-30")))
+    fused = rows(quality.star_summary(m, stg, "2024-01-30"))
+    assert sep == fused
+    assert any(r[2] == "fail" for r in fused)
