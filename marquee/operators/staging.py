@@ -46,11 +46,20 @@ def dedupe_latest(df: DataFrame, key: str | Sequence[str], order_desc: Sequence[
 
 
 def first_year_by(df: DataFrame, group: str | Sequence[str], date_col: str,
-                  out: str = "release_year") -> DataFrame:
-    """``df`` plus ``out`` = min(year(date_col)) over rows sharing ``group``."""
+                  out: str = "release_year", salt_cols: Sequence[str] | None = None) -> DataFrame:
+    """``df`` plus ``out`` = min(year(date_col)) over rows sharing ``group``.
+
+    The per-group side is one aggregate (map-side partials) that also counts
+    rows; groups larger than an average partition are joined back salted
+    (``skew.salted_join``), so a hot title never lands in a single task.
+    """
+    from .skew import hot_keys, salted_join
     groups = [group] if isinstance(group, str) else list(group)
-    per_group = df.groupBy(*groups).agg(F.min(F.year(date_col)).cast("int").alias(out))
-    return df.join(per_group, groups, "inner")
+    per_group = df.groupBy(*groups).agg(F.min(F.year(date_col)).cast("int").alias(out),
+                                        F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(per_group, groups, "_n")
+    salt = list(salt_cols) if salt_cols else [c for c in df.columns if c not in groups]
+    return salted_join(df, per_group.drop("_n"), groups, hot, salt)
 
 
 def stg_revenues(raw: DataFrame) -> DataFrame:
@@ -76,7 +85,7 @@ def stg_revenues(raw: DataFrame) -> DataFrame:
         typed, "id",
         order_desc=["_loaded_at", "revenue_date", "revenue", "theaters", "title", "distributor"],
         keep=list(REVENUE_COLUMNS))
-    staged = first_year_by(latest, "title", "revenue_date")
+    staged = first_year_by(latest, "title", "revenue_date", salt_cols=["id"])
     return staged.select("id", "revenue_date", "title", "release_year",
                          "revenue", "theaters", "distributor")
 
