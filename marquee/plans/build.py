@@ -14,6 +14,7 @@ new application builds again.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,11 +35,16 @@ def build_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return marts.materialize(spark, {name: df}, root)[name]
 
     # Each step reads the files of the step before, never its lazy plan.
+    # Steps that do not depend on each other are submitted together, so the
+    # executors stay busy while one job finishes its last tasks.
     stg = write("stg_revenues", S.stg(spark, sf_dir))
-    docs = write("stg_docs", staging.stg_docs(S.docs(spark, sf_dir, stg)))
-    calendar = write("dim_date", marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date")))
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_docs = pool.submit(write, "stg_docs", staging.stg_docs(S.docs(spark, sf_dir, stg)))
+        f_cal = pool.submit(write, "dim_date",
+                            marts.dim_date_from(D.year_padded_bounds(stg, "revenue_date")))
+        f_dist = pool.submit(write, "dim_distributor", marts.dim_distributor(stg))
+        docs, calendar, dists = f_docs.result(), f_cal.result(), f_dist.result()
     movies = write("dim_movie", marts.dim_movie(stg, docs))
-    dists = write("dim_distributor", marts.dim_distributor(stg))
     fact = write("fact_daily_revenue", marts.fact_daily_revenue(stg, movies, dists))
     return {"stg_revenues": stg, "stg_docs": docs, "dim_date": calendar, "dim_movie": movies,
             "dim_distributor": dists, "fact_daily_revenue": fact}

@@ -53,8 +53,8 @@ def q_stg_dedupe_latest(spark, sf_dir):
 
 @query("stg_release_year")
 def q_stg_release_year(spark, sf_dir):
-    """E1 + E2 + H1 + H11: the staged revenue table."""
-    return S.stg(spark, sf_dir)
+    """E1 + E2 + H1 + H11: the staged revenue table (as written by the star build)."""
+    return star(spark, sf_dir)["stg_revenues"]
 
 
 @query("json_flatten_doc")

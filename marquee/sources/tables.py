@@ -37,16 +37,17 @@ def spread_small_scan(spark: SparkSession, df: DataFrame,
     operator pipelined behind the scan (broadcast joins, projections, the
     map side of aggregates) would run in that task.  A scan with fewer
     splits than cores *and* at most ``max_splits`` splits (so at most a few
-    GB) is spread round-robin over the cores.  Anything larger already has
-    its parallelism from the files and is returned unchanged - on a cluster
-    the big tables never pay this shuffle.
+    GB) is spread over the cores by a hash of its columns (deterministic on
+    retry without the sort a round-robin repartition needs).  Anything
+    larger already has its parallelism from the files and is returned
+    unchanged - on a cluster the big tables never pay this shuffle.
     """
     try:
         n = df.rdd.getNumPartitions()  # split planning only; no job runs
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # pragma: no cover - no RDD API (Connect)
         return df
-    return df.repartition(cores) if n < cores and n <= max_splits else df
+    return df.repartition(cores, *df.columns) if n < cores and n <= max_splits else df
 
 
 def read_mart(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
