@@ -69,6 +69,20 @@ def read_raw(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def compact(spark: SparkSession, raw_root: str, version_root: str, key: str | Sequence[str],
+            payload: Sequence[str]) -> DataFrame:
+    """Write the latest-wins view as a new version folder and return it.
+
+    The raw table keeps growing with re-deliveries; readers switch to the
+    compacted version (a parquet folder cannot be overwritten while it is
+    being read, so a new folder is written instead of replacing in place).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    latest = latest_rows(read_raw(spark, raw_root), key, payload)
+    latest.write.mode("overwrite").parquet(version_root)
+    return spark.read.parquet(version_root).select(*keys, *[c for c in payload if c not in keys])
+
+
 def latest_rows(raw: DataFrame, key: str | Sequence[str], payload: Sequence[str]) -> DataFrame:
     """Latest-wins view: newest load (then newest batch) per key."""
     return dedupe_latest(raw, key, order_desc=["_loaded_at", "_batch_id", *payload],

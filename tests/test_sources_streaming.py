@@ -128,3 +128,15 @@ def test_log_batches_stream_once(spark):
     assert ingest.ingest_log_batches(spark, inbox, target, ckpt, suffix=".txt") == 1
     got = spark.read.parquet(target).select(*log.columns)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in log.collect())
+
+
+def test_compact_to_new_version(spark):
+    root = scratch_path(spark, "t-compact")
+    inbox, raw, ckpt = f"{root}/inbox", f"{root}/raw", f"{root}/ckpt"
+    write_gz(f"{inbox}/a.csv.gz", HEADER + "1,2003-01-01,A,10,1,X\n2,2003-01-01,B,20,1,X\n")
+    ingest.ingest_available(spark, inbox, raw, ckpt)
+    write_gz(f"{inbox}/b.csv.gz", HEADER + "2,2003-01-01,B,30,1,X\n")
+    ingest.ingest_available(spark, inbox, raw, ckpt)
+    payload = ["revenue_date", "title", "revenue", "theaters", "distributor"]
+    v1 = ingest.compact(spark, raw, f"{root}/v1", "id", payload)
+    assert sorted((r.id, int(r.revenue)) for r in v1.collect()) == [("1", 10), ("2", 30)]
