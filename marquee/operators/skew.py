@@ -62,3 +62,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: Data
                F.sequence(F.lit(0).cast("long"), (F.col("_buckets") - 1).cast("long")))
         .otherwise(F.array(F.lit(0).cast("long"))))).drop("_buckets")
     return b.join(s, [*keys, "_salt"], how).drop("_salt")
+
+
+def join_back(big: DataFrame, per_key: DataFrame, keys: Sequence[str], salt_cols: Sequence[str],
+              how: str = "left") -> DataFrame:
+    """Join a per-key aggregate back onto the rows it was computed from.
+
+    The per-key row counts of ``big`` (one more partial aggregate) pick the
+    hot keys; those are salted, the rest join as usual.
+    """
+    keys = list(keys)
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return salted_join(big, per_key, keys, hot_keys(counts, keys, "_n"), salt_cols, how)

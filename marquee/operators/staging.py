@@ -149,5 +149,8 @@ def stg_docs(docs: DataFrame) -> DataFrame:
         T.try_number(T.strip_money(txt("BoxOffice"))).alias("box_office_omdb"),
         "_fetched_at",
     )
-    return flat.join(ratings_score(found), "imdb_id", "left").select(
+    from .skew import join_back
+    joined = join_back(flat, ratings_score(found), ["imdb_id"],
+                       salt_cols=["lookup_title", "lookup_year", "_fetched_at"])
+    return joined.select(
         *[c for c in flat.columns if c != "_fetched_at"], "rotten_tomatoes_score", "_fetched_at")

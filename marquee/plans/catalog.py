@@ -291,7 +291,8 @@ def q_ratings_pivot(spark, sf_dir):
         "event_id", J.vget("response", "$.imdbID").alias("imdb_id"), "response")
     score = staging.ratings_score(docs, source="purchase").withColumnRenamed(
         "rotten_tomatoes_score", "score")
-    return docs.select("event_id", "imdb_id").join(score, "imdb_id", "left")
+    from ..operators.skew import join_back
+    return join_back(docs.select("event_id", "imdb_id"), score, ["imdb_id"], ["event_id"])
 
 
 @query("record_id")
