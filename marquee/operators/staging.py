@@ -2,8 +2,8 @@
 
 Plan shape (what Catalyst is given)
 -----------------------------------
-* latest-wins de-dup is ``groupBy(id).agg(max_by(row, order))`` - an
-  aggregate with a map-side partial step (sort-based, since the struct
+* latest-wins de-dup is ``groupBy(id).agg(max(struct(order..., row...)))``
+  - an aggregate with a map-side partial step (sort-based, since the struct
   buffer is not fixed-width), so an id repeated a billion times is folded to
   one row per map task before the shuffle; no window sorts a hot key's rows
   in one task.
@@ -34,14 +34,16 @@ def dedupe_latest(df: DataFrame, key: str | Sequence[str], order_desc: Sequence[
                   keep: Sequence[str] | None = None) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order_desc`` tuple.
 
-    ``order_desc`` is compared left to right (latest load first); append
-    tiebreak columns to make the choice deterministic.  Rows whose order
-    tuples tie completely are indistinguishable in ``keep``'s columns only if
-    the tiebreak covers them, so callers pass the payload columns last.
+    ``order_desc`` is compared left to right (latest load first).  The row
+    is picked as ``max(struct(order..., remaining kept columns...))``: the
+    remaining columns break any tie left by ``order_desc``, so the pick is
+    deterministic (a retried task picks the same row), and the aggregate
+    keeps its map-side partial step.
     """
     keys = [key] if isinstance(key, str) else list(key)
     keep = [c for c in (keep or df.columns) if c not in keys]
-    picked = F.max_by(F.struct(*keep), F.struct(*order_desc)).alias("_row")
+    fields = list(dict.fromkeys([*order_desc, *keep]))
+    picked = F.max(F.struct(*fields)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("_row." + c).alias(c) for c in keep])
 
 
