@@ -159,3 +159,12 @@ def publish(spark, views: dict[str, DataFrame], tables: dict[str, DataFrame], ro
         (df.write.mode("overwrite").option("path", f"{root}/{name}")
          .saveAsTable(prefix + name))
     return {n: spark.table(prefix + n) for n in [*views, *tables]}
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose built tables to ``spark.sql`` as temporary views (names returned)."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

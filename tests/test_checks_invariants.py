@@ -78,3 +78,17 @@ def test_salted_join_matches_plain(spark, keys):
                  .select("id", "v").collect())
     want = sorted((i, {"h": 1, "x": 2}.get(k)) for i, k in enumerate(keys))
     assert got == want
+
+
+def test_sql_over_registered_views(spark):
+    from marquee.operators import marts
+    s = star(spark, SF)
+    names = marts.register_views(s, prefix="v_")
+    assert "v_fact_daily_revenue" in names
+    top = spark.sql("""
+        SELECT d.distributor_name, SUM(f.revenue) AS rev
+        FROM v_fact_daily_revenue f JOIN v_dim_distributor d USING (distributor_key)
+        GROUP BY d.distributor_name ORDER BY rev DESC, d.distributor_name LIMIT 3""").collect()
+    assert len(top) == 3 and top[0].rev >= top[1].rev >= top[2].rev
+    n = spark.sql("SELECT COUNT(*) AS n FROM v_dim_date WHERE is_weekend").first().n
+    assert n > 0
