@@ -1,4 +1,5 @@
 import gzip
+import json
 import os
 from decimal import Decimal
 
@@ -140,3 +141,20 @@ def test_compact_to_new_version(spark):
     payload = ["revenue_date", "title", "revenue", "theaters", "distributor"]
     v1 = ingest.compact(spark, raw, f"{root}/v1", "id", payload)
     assert sorted((r.id, int(r.revenue)) for r in v1.collect()) == [("1", 10), ("2", 30)]
+
+
+def test_documents_one_pretty_object_per_file(spark):
+    from marquee.operators import staging
+    root = scratch_path(spark, "t-docfiles")
+    day = f"{root}/yyyy=2024/mm=01/dd=05"
+    os.makedirs(day, exist_ok=True)
+    for i, status in enumerate(["found", "not_found"]):
+        doc = {"_lookup": {"title": f"T{i}", "year": 2003}, "_status": status,
+               "_fetched_at": "2024-01-05T10:00:00+00:00", "imdbID": f"tt{i}", "Type": "movie",
+               "Title": f"T{i}", "Ratings": [{"Source": "Rotten Tomatoes", "Value": "70%"}]}
+        with open(f"{day}/tt{i}.json", "w") as f:
+            json.dump(doc, f, indent=2)
+    d = json_docs.read_documents(spark, root, whole_file=True)
+    assert d.count() == 2 and d.where("dd = 5").count() == 2
+    flat = staging.stg_docs(staging.docs_table(d)).collect()
+    assert [(r.imdb_id, int(r.rotten_tomatoes_score)) for r in flat] == [("tt0", 70)]
