@@ -53,7 +53,7 @@ def read_documents(spark: SparkSession, path: str, whole_file: bool = False) ->
     ``singleVariantColumn`` mode fails in Spark 4.1 as soon as a partition
     column is filtered, which would forbid pruning by day.)
     """
-    t = spark.read.option("wholetext", whole_file).text(path)
+    t = spark.read.text(path, wholetext=whole_file)
     parts = [c for c in t.columns if c != "value"]
     return t.select(J.parse("value").alias("v"), *parts)
 
