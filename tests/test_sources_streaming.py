@@ -158,3 +158,29 @@ def test_documents_one_pretty_object_per_file(spark):
     assert d.count() == 2 and d.where("dd = 5").count() == 2
     flat = staging.stg_docs(staging.docs_table(d)).collect()
     assert [(r.imdb_id, int(r.rotten_tomatoes_score)) for r in flat] == [("tt0", 70)]
+
+
+def test_stream_replay_after_failure_does_not_duplicate(spark, monkeypatch):
+    root = scratch_path(spark, "t-replay")
+    inbox, raw, ckpt = f"{root}/inbox", f"{root}/raw", f"{root}/ckpt"
+    write_gz(f"{inbox}/a.csv.gz", HEADER + "1,2003-01-01,A,10,1,X\n2,2003-01-01,B,20,1,X\n")
+    real = ingest._batch_writer
+    calls = {"n": 0}
+
+    def crashing(target):
+        write = real(target)
+
+        def once(batch, batch_id):
+            write(batch, batch_id)          # files written ...
+            calls["n"] += 1
+            if calls["n"] == 1:             # ... then the run dies before the batch commits
+                raise RuntimeError("simulated failure after write")
+        return once
+
+    monkeypatch.setattr(ingest, "_batch_writer", crashing)
+    with pytest.raises(Exception):
+        ingest.ingest_available(spark, inbox, raw, ckpt)
+    monkeypatch.setattr(ingest, "_batch_writer", real)
+    assert ingest.ingest_available(spark, inbox, raw, ckpt) == 1   # the same batch is replayed
+    assert ingest.ingest_available(spark, inbox, raw, ckpt) == 0
+    assert ingest.read_raw(spark, raw).count() == 2                 # no duplicate rows
