@@ -197,13 +197,21 @@ def filter_movies(movies: DataFrame, **equals) -> DataFrame:
 
 
 def restrict_fact(fact: DataFrame, movies: DataFrame | None = None,
-                  distributors: DataFrame | None = None) -> DataFrame:
-    """Keep fact rows whose movie / distributor is in the (filtered) dims (semi joins)."""
+                  distributors: DataFrame | None = None,
+                  calendar: DataFrame | None = None) -> DataFrame:
+    """Keep fact rows whose movie / distributor / day is in the (filtered) dims.
+
+    Each selection is a ``left_semi`` join (EXISTS): the fact is never
+    multiplied, NULL keys never match, and a small selection is broadcast by
+    AQE after its size is measured.
+    """
     out = fact
     if movies is not None:
         out = out.join(movies.select(F.col("imdb_id").alias("movie_key")), "movie_key", "left_semi")
     if distributors is not None:
         out = out.join(distributors.select("distributor_key"), "distributor_key", "left_semi")
+    if calendar is not None:
+        out = out.join(calendar.select("date_key"), "date_key", "left_semi")
     return out
 
 

@@ -222,3 +222,25 @@ def test_fused_checks_equal_separate_checks(spark):
     fused = rows(quality.star_summary(m, stg, "2024-01-30"))
     assert sep == fused
     assert any(r[2] == "fail" for r in fused)
+
+
+def test_cross_filters(spark):
+    raw_rows = [
+        ("1", dt.date(2003, 1, 1), "A", "100", "1", "D1", T0),
+        ("2", dt.date(2003, 2, 1), "A", "10", "1", "D2", T0),
+        ("3", dt.date(2003, 2, 2), "B", "5", "1", "D2", T0),
+    ]
+    stg, m = _star(spark, raw_rows, [doc("A", 2003, "tt1", Director="X"), doc("B", 2003, "tt2", Director="Y")])
+    f, mv, dist, cal = m["fact_daily_revenue"], m["dim_movie"], m["dim_distributor"], m["dim_date"]
+    feb = cal.where("year = 2003 AND month = 2")
+    by_dir = rows(measures.revenue_by_director(measures.restrict_fact(f, calendar=feb), mv))
+    assert by_dir == [("X", 10), ("Y", 5)]
+    d2 = dist.where("distributor_name = 'D2'")
+    ff = measures.restrict_fact(f, distributors=d2)
+    assert rows(measures.cross_filter_dim(mv, "imdb_id", ff, "movie_key"), "imdb_id") == [("tt1",), ("tt2",)]
+    only_x = measures.filter_movies(mv, director="X")
+    k = measures.kpi_cards(measures.restrict_fact(f, movies=only_x), only_x).first()
+    assert (k.total_revenue, k.films_count, k.films_enriched) == (110, 1, 1)
+    # both directions: distributors that still have rows under the movie filter
+    assert rows(measures.cross_filter_dim(dist, "distributor_key", measures.restrict_fact(
+        f, movies=measures.filter_movies(mv, director="Y")), "distributor_key"), "distributor_name") == [("D2",)]
