@@ -51,3 +51,26 @@ def test_distinct_count_is_two_level_aggregate(spark):
     p = plan(marts.dim_distributor(S.stg(spark, SF)))
     assert "count(distinct" in p.lower()
     assert "Window" not in p
+
+
+def test_bucketed_star_joins_without_shuffle(spark):
+    import uuid
+
+    from marquee.operators import marts, measures
+    from marquee.plans.build import star
+    from marquee.session import scratch_path
+    s = star(spark, SF)
+    prefix = f"b{uuid.uuid4().hex[:6]}_"
+    t = marts.publish(spark, {}, {"fact_daily_revenue": s["fact_daily_revenue"], "dim_movie": s["dim_movie"]},
+                      scratch_path(spark, "bucketed"), prefix, buckets=marts.STAR_BUCKETS, num_buckets=8)
+    report = measures.revenue_by_director(t["fact_daily_revenue"], t["dim_movie"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        report.explain()
+    p = buf.getvalue()
+    # the per-movie aggregate runs on the bucketed scan: no shuffle on the movie key
+    assert "Bucketed: true" in p
+    assert "hashpartitioning(movie_key" not in p and "hashpartitioning(imdb_id" not in p
+    got = sorted(tuple(r) for r in report.collect())
+    want = sorted(tuple(r) for r in measures.revenue_by_director(s["fact_daily_revenue"], s["dim_movie"]).collect())
+    assert got == want
