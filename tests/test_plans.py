@@ -71,6 +71,7 @@ def test_bucketed_star_joins_without_shuffle(spark):
     # the per-movie aggregate runs on the bucketed scan: no shuffle on the movie key
     assert "Bucketed: true" in p
     assert "hashpartitioning(movie_key" not in p and "hashpartitioning(imdb_id" not in p
-    got = sorted(tuple(r) for r in report.collect())
-    want = sorted(tuple(r) for r in measures.revenue_by_director(s["fact_daily_revenue"], s["dim_movie"]).collect())
+    got = sorted((tuple(r) for r in report.collect()), key=str)
+    want = sorted((tuple(r) for r in measures.revenue_by_director(
+        s["fact_daily_revenue"], s["dim_movie"]).collect()), key=str)
     assert got == want
