@@ -110,3 +110,24 @@ def export_drops(df: DataFrame, path: str, partition_by: Sequence[str],
     (df.write.mode("overwrite").partitionBy(*partition_by).option("header", True)
      .option("quote", '"').option("escape", '"').option("nullValue", null_value)
      .option("compression", compression).csv(path))
+
+
+def pickup_oldest(spark: SparkSession, inbox: str, raw_root: str,
+                  columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS,
+                  loaded_at: str | None = None) -> dict | None:
+    """Load the oldest drop not loaded yet; None when nothing is pending.
+
+    The manifest of loaded files is the raw table's own ``_source_file``
+    column (an anti join), so a file is never loaded twice even if it stays
+    in the inbox.  Returns {"file": path, "rows_loaded": n}.
+    """
+    try:
+        loaded = spark.read.parquet(raw_root).select("_source_file")
+    except Exception as ex:  # no raw table yet: nothing loaded
+        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
+            raise
+        loaded = None
+    path = oldest_pending(spark, inbox, loaded)
+    if path is None:
+        return None
+    return {"file": path, "rows_loaded": load_file(spark, path, raw_root, columns, loaded_at)}

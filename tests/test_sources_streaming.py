@@ -184,3 +184,16 @@ def test_stream_replay_after_failure_does_not_duplicate(spark, monkeypatch):
     assert ingest.ingest_available(spark, inbox, raw, ckpt) == 1   # the same batch is replayed
     assert ingest.ingest_available(spark, inbox, raw, ckpt) == 0
     assert ingest.read_raw(spark, raw).count() == 2                 # no duplicate rows
+
+
+def test_pickup_oldest_in_name_order_once(spark):
+    root = scratch_path(spark, "t-pickup")
+    inbox, raw = f"{root}/inbox", f"{root}/raw"
+    write_gz(f"{inbox}/year=2004/data_2004q1.csv.gz", HEADER + "3,2004-01-01,C,5,1,X\n")
+    write_gz(f"{inbox}/year=2003/data_2003q4.csv.gz", HEADER + "1,2003-10-01,A,10,1,X\n2,2003-10-02,B,20,1,X\n")
+    first = csv_drops.pickup_oldest(spark, inbox, raw)
+    assert first["file"].endswith("data_2003q4.csv.gz") and first["rows_loaded"] == 2
+    second = csv_drops.pickup_oldest(spark, inbox, raw)
+    assert second["file"].endswith("data_2004q1.csv.gz") and second["rows_loaded"] == 1
+    assert csv_drops.pickup_oldest(spark, inbox, raw) is None
+    assert spark.read.parquet(raw).count() == 3
