@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import dates as D
 from ..operators import marts, staging
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from . import standins as S
 
 _BUILDS: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -52,7 +52,7 @@ def build_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The current build for ``sf_dir`` (built on first use in this application)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _BUILDS:
             _BUILDS[key] = build_star(spark, sf_dir)

@@ -69,11 +69,22 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = None
     if not root:
         root = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # pragma: no cover - no SparkContext (Connect)
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (works with and without a local SparkContext)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # pragma: no cover
+        return spark.sparkContext.applicationId
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
