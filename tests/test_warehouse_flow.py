@@ -94,3 +94,23 @@ def test_build_gate_raises(spark):
     W.record_calls(spark, responses, f"{root}/omdb", f"{root}/log", "2024-01-30T09:00:00")
     with pytest.raises(RuntimeError, match="no_future_revenue_dates"):
         W.build(spark, f"{root}/raw", f"{root}/omdb", f"{root}/marts", AS_OF)
+
+
+def test_command_line(spark, capsys):
+    from marquee.__main__ import main
+    root = scratch_path(spark, "t-cli")
+    drop(f"{root}/inbox/a.csv.gz", ["1,2003-01-03,Film A,100,1,Fox", "2,2003-01-04,Film B,50,1,Fox"])
+    assert main(["ingest", "--inbox", f"{root}/inbox", "--raw", f"{root}/raw"], spark) == 0
+    assert '"batches": 1' in capsys.readouterr().out
+    responses = spark.createDataFrame(
+        [("Film A", 2003, None, 200, "OK", body("tt1", "FILM A"), True, None)],
+        "lookup_title string, lookup_year int, error_kind string, http_status int, reason string, "
+        "body string, write_ok boolean, write_error string")
+    W.record_calls(spark, responses, f"{root}/omdb", f"{root}/log", "2024-01-30T09:00:00")
+    assert main(["queue", "--raw", f"{root}/raw", "--docs", f"{root}/omdb", "--log", f"{root}/log",
+                 "--as-of", "2024-01-31"], spark) == 0
+    out = capsys.readouterr().out
+    assert '"title": "Film B"' in out and "Film A" not in out
+    assert main(["build", "--raw", f"{root}/raw", "--docs", f"{root}/omdb", "--out", f"{root}/marts",
+                 "--as-of", "2024-01-31"], spark) == 0
+    assert '"status": "pass"' in capsys.readouterr().out
