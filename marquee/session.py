@@ -88,3 +88,23 @@ def app_id(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle sizing for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    The initial shuffle partition count is chosen so that a partition of the
+    largest shuffle (at most the input size; de-dup and staging shuffle about
+    that much) is ~``target_partition_bytes`` - small enough to sort in
+    executor memory without heavy spilling - and at least two waves of tasks;
+    AQE then coalesces partitions that turn out smaller.  E.g. 100 TB on
+    8000 cores -> 819200 partitions of ~128 MB.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
