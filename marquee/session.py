@@ -90,18 +90,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
 def scale_settings(input_bytes: int, total_cores: int,
-                   target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+                   target_partition_bytes: int = 128 << 20,
+                   max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
     """Shuffle sizing for a run over ``input_bytes`` on ``total_cores`` cores.
 
-    The initial shuffle partition count is chosen so that a partition of the
-    largest shuffle (at most the input size; de-dup and staging shuffle about
-    that much) is ~``target_partition_bytes`` - small enough to sort in
-    executor memory without heavy spilling - and at least two waves of tasks;
-    AQE then coalesces partitions that turn out smaller.  E.g. 100 TB on
-    8000 cores -> 819200 partitions of ~128 MB.
+    The initial shuffle partition count aims at ~``target_partition_bytes``
+    per partition of the largest shuffle (at most the input size; the de-dup
+    shuffles about that much), at least two waves of tasks, and at most
+    ``max_partitions``: the number of shuffle blocks is map tasks x reduce
+    partitions, so beyond ~100k partitions the block count, not the data,
+    becomes the bottleneck, and partitions are allowed to grow instead
+    (~1 GB at 100 TB, sorted with spill).  AQE coalesces partitions that turn
+    out smaller.
     """
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, max(max_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

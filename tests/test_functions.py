@@ -128,5 +128,5 @@ def test_display_formats(spark):
 def test_scale_settings():
     from marquee.session import scale_settings
     s = scale_settings(100 * 2**40, 8000)
-    assert s["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (128 << 20))
+    assert s["spark.sql.shuffle.partitions"] == "100000"
     assert scale_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
