@@ -197,3 +197,18 @@ def test_pickup_oldest_in_name_order_once(spark):
     assert second["file"].endswith("data_2004q1.csv.gz") and second["rows_loaded"] == 1
     assert csv_drops.pickup_oldest(spark, inbox, raw) is None
     assert spark.read.parquet(raw).count() == 3
+
+
+def test_export_one_file_per_quarter(spark):
+    from pyspark.sql import functions as F
+    root = scratch_path(spark, "t-export-layout")
+    df = spark.range(400).select(F.col("id").cast("string").alias("id"),
+                                 F.lit("2003-02-01").alias("revenue_date"), F.lit("T").alias("title"),
+                                 F.lit("1").alias("revenue"), F.lit("1").alias("theaters"),
+                                 F.lit("X").alias("distributor"),
+                                 F.lit(2003).alias("year"), (F.col("id") % 4 + 1).alias("quarter")).repartition(8)
+    csv_drops.export_drops(df, root, ["year", "quarter"])
+    for q in range(1, 5):
+        files = [f for f in os.listdir(f"{root}/year=2003/quarter={q}") if f.endswith(".csv.gz")]
+        assert len(files) == 1
+    assert csv_drops.read_drops(spark, root).count() == 400
