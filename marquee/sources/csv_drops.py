@@ -30,6 +30,8 @@ REVENUE_DROP_COLUMNS = (
     ("id", "string"), ("revenue_date", "date"), ("title", "string"),
     ("revenue", "decimal(12,0)"), ("theaters", "decimal(6,0)"), ("distributor", "string"))
 DROP_SUFFIX = ".csv.gz"
+# Columns declared NOT NULL in the raw revenue table.
+REVENUE_REQUIRED = ("id", "revenue_date", "title")
 
 
 def text_schema(columns: Sequence[tuple[str, str]]) -> T.StructType:
@@ -42,24 +44,42 @@ def csv_reader(spark: SparkSession):
 
 
 def typed(df: DataFrame, columns: Sequence[tuple[str, str]],
-          null_markers: Sequence[str] = TX.CSV_NULL_MARKERS) -> DataFrame:
-    """Apply the NULL markers, then strict casts; keeps the lineage columns."""
-    out = [TX.null_if_marker(n, null_markers).cast(t).alias(n) for n, t in columns]
+          null_markers: Sequence[str] = TX.CSV_NULL_MARKERS,
+          required: Sequence[str] = ()) -> DataFrame:
+    """Apply the NULL markers, then strict casts; keeps the lineage columns.
+
+    A NULL in a ``required`` column raises while the rows are produced (no
+    extra pass), so the load fails as a NOT NULL constraint would.
+    """
+    out = []
+    for n, t in columns:
+        c = TX.null_if_marker(n, null_markers).cast(t)
+        if n in required:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL in required column {n}"))
+                       .cast(t)).otherwise(c)
+        out.append(c.alias(n))
     extra = [c for c in df.columns if c not in {n for n, _ in columns}]
     return df.select(*out, *extra)
 
 
 def read_drops(spark: SparkSession, path: str | Sequence[str],
                columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS,
-               loaded_at: str | None = None, recursive: bool = True) -> DataFrame:
-    """Typed rows of CSV drops plus ``_source_file`` and ``_loaded_at``."""
+               loaded_at: str | None = None, recursive: bool = True,
+               required: Sequence[str] | None = None) -> DataFrame:
+    """Typed rows of CSV drops plus ``_source_file`` and ``_loaded_at``.
+
+    ``required`` defaults to the NOT NULL columns of the revenue layout when
+    that layout is read.
+    """
+    if required is None:
+        required = REVENUE_REQUIRED if tuple(columns) == REVENUE_DROP_COLUMNS else ()
     r = csv_reader(spark).schema(text_schema(columns))
     if recursive:
         r = r.option("recursiveFileLookup", True)
     raw = r.csv(path if isinstance(path, str) else list(path))
     raw = raw.select(*[n for n, _ in columns], F.col("_metadata.file_path").alias("_source_file"))
     ts = F.to_timestamp_ntz(F.lit(loaded_at)) if loaded_at else F.localtimestamp()
-    return typed(raw, columns).withColumn("_loaded_at", ts)
+    return typed(raw, columns, required=required).withColumn("_loaded_at", ts)
 
 
 def load_file(spark: SparkSession, file: str, target: str,

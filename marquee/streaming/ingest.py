@@ -38,7 +38,8 @@ def drop_stream(spark: SparkSession, inbox: str,
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.csv(inbox).select(*[n for n, _ in columns],
                               F.col("_metadata.file_path").alias("_source_file"))
-    return csv_drops.typed(raw, columns)
+    required = csv_drops.REVENUE_REQUIRED if tuple(columns) == csv_drops.REVENUE_DROP_COLUMNS else ()
+    return csv_drops.typed(raw, columns, required=required)
 
 
 def _batch_writer(target: str):

@@ -212,3 +212,13 @@ def test_export_one_file_per_quarter(spark):
         files = [f for f in os.listdir(f"{root}/year=2003/quarter={q}") if f.endswith(".csv.gz")]
         assert len(files) == 1
     assert csv_drops.read_drops(spark, root).count() == 400
+
+
+def test_null_in_required_column_aborts_load(spark):
+    root = scratch_path(spark, "t-required")
+    write_gz(f"{root}/in/a.csv.gz", HEADER + "1,2003-01-01,A,10,1,X\n")
+    write_gz(f"{root}/in/b.csv.gz", HEADER + "2,2003-01-01,,10,1,X\n3,2003-01-02,B,5,1,X\n")
+    assert csv_drops.load_file(spark, f"{root}/in/a.csv.gz", f"{root}/raw") == 1
+    with pytest.raises(Exception, match="required column title"):
+        csv_drops.load_file(spark, f"{root}/in/b.csv.gz", f"{root}/raw")
+    assert spark.read.parquet(f"{root}/raw").count() == 1
