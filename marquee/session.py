@@ -56,24 +56,20 @@ def apply_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; our own only when it is unset."""
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # pragma: no cover - conf not readable
-        root = None
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - no SparkContext (Connect)
-            root = None
+    """The cluster's shared checkpoint folder.
+
+    Read from ``spark.checkpoint.dir`` (or a folder set on the context).  A
+    temporary folder of our own serves only in ``local[...]`` sessions, whose
+    one process is driver and executor alike; on a cluster without the
+    setting this raises, since executors could not read the driver's disk.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # pragma: no cover - no SparkContext (Connect)
-            pass
-        spark.conf.set("spark.checkpoint.dir", root)
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -88,30 +84,3 @@ def app_id(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def scale_settings(input_bytes: int, total_cores: int,
-                   target_partition_bytes: int = 128 << 20,
-                   max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
-    """Shuffle sizing for a run over ``input_bytes`` on ``total_cores`` cores.
-
-    The initial shuffle partition count aims at ~``target_partition_bytes``
-    per partition of the largest shuffle (at most the input size; the de-dup
-    shuffles about that much), at least two waves of tasks, and at most
-    ``max_partitions``: the number of shuffle blocks is map tasks x reduce
-    partitions, so beyond ~100k partitions the block count, not the data,
-    becomes the bottleneck, and partitions are allowed to grow instead
-    (~1 GB at 100 TB, sorted with spill).  AQE coalesces partitions that turn
-    out smaller.
-    """
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    parts = min(parts, max(max_partitions, 2 * total_cores))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
-    }

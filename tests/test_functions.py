@@ -123,10 +123,3 @@ def test_display_formats(spark):
     assert [r[0] for r in df.select(FM.money_millions(F.col("x") / 1e6)).collect()][0] == "$1.2M"
     assert one(spark, FM.one_decimal(F.lit(7.25))) in (["7.2"], ["7.3"])
     assert one(spark, FM.refresh_time(F.to_timestamp_ntz(F.lit("2024-07-01 12:05:09")))) == ["2024-07-01 12:05"]
-
-
-def test_scale_settings():
-    from marquee.session import scale_settings
-    s = scale_settings(100 * 2**40, 8000)
-    assert s["spark.sql.shuffle.partitions"] == "100000"
-    assert scale_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
