@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import digests, oracle, shards
+from . import digests, oracle, packing, shards
 
 
 def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,19 @@ def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(docs, shards=16, seed=17)
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizers file; every machine has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), size=4096, end_id=2, with_ids=False)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents by a fresh persistent digest index."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -22,6 +35,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_stratified_shards": op3_stratified_shards,
+    "op7_online_packing": op7_online_packing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
