@@ -99,6 +99,9 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: All ASCII but letters and digits; what is left are words without punctuation.
+NOT_ALNUM = np.ones(256, bool)
+NOT_ALNUM[128:] = NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = False
 _POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -133,12 +136,13 @@ def fold_case(flat: np.ndarray) -> np.ndarray:
     return _FOLD[flat]
 
 
-def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+``: their starts, ends, and the first word of each row.
+def word_spans(flat: np.ndarray, offsets: np.ndarray,
+               apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of bytes not ``apart``): their starts, ends, and the first word of each row.
 
     Row r has the words first[r] .. first[r + 1] - 1.  Words end with their row.
     """
-    word = ~SPACE[flat]
+    word = ~apart[flat]
     edge = np.zeros(len(flat) + 1, bool)  # a row begins here
     edge[offsets] = True
     begin = word.copy()

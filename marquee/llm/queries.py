@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import digests, oracle, packing, shards
+from . import digests, oracle, packing, shards, toxicity
 
 
 def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +33,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.exact_dedup(docs)
 
 
+def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by the span tagger, learnt outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.train_and_score(docs, labels)
+
+
 QUERIES = {
     "op3_stratified_shards": op3_stratified_shards,
     "op7_online_packing": op7_online_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_crf_toxicity": op10_crf_toxicity,
 }
 
 ORACLE = {
