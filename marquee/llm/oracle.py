@@ -45,3 +45,30 @@ SELECT doc_id, keep_id, n AS group_size, doc_id IS NOT DISTINCT FROM keep_id AS
        d AS text_sha256
 FROM norm JOIN best USING (d)
 """
+
+#: All pairs that share a shingle, by counting; then the transitive closure.
+NEAR_DEDUP = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {AZ}),
+                                                   '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2),
+                                      lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs WHERE 100 * common >= 80 * (na + nb - common)
+), linked AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM sets JOIN least ON doc_id = a
+"""

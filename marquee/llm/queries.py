@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import digests, oracle, packing, shards, toxicity
+from . import digests, minhash, oracle, packing, shards, toxicity
+
+
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups among all documents: 4-word shingles, Jaccard 0.8."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return minhash.near_duplicates(docs, width=4, percent=80)
 
 
 def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +47,7 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_stratified_shards": op3_stratified_shards,
     "op7_online_packing": op7_online_packing,
     "op8_exact_dedup": op8_exact_dedup,
@@ -48,6 +55,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_minhash_near_dedup": oracle.NEAR_DEDUP,
     "op3_stratified_shards": oracle.SHARDS,
     "op8_exact_dedup": oracle.EXACT_DEDUP,
 }
