@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import digests, minhash, oracle, packing, shards, toxicity
+from . import decontam, digests, linediff, minhash, oracle, packing, shards, toxicity
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,20 @@ def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(docs, shards=16, seed=17)
 
 
+def op5_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line counts and remaining text (as a digest) of all documents after block deletion."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    out = linediff.line_dedup(docs)
+    return out.select("doc_id", "n_lines", "n_cut", F.octet_length("text").alias("n_bytes"),
+                      F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
+def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents, with their place."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizers file; every machine has the package."""
     import public_tokenizers
@@ -49,6 +64,8 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_stratified_shards": op3_stratified_shards,
+    "op5_patience_line_dedup": op5_patience_line_dedup,
+    "op6_simhash_decontamination": op6_simhash_decontamination,
     "op7_online_packing": op7_online_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_crf_toxicity": op10_crf_toxicity,
