@@ -72,3 +72,73 @@ reach AS (
 SELECT doc_id, len(s) AS n_shingles, c AS component_id, doc_id = c AS kept
 FROM sets JOIN least ON doc_id = a
 """
+
+
+def url_filter(rules, rounds: int = 12, damping: float = 0.85) -> str:
+    """Rules by longest match; trust and distrust by as many rounds of sums over the host links."""
+    listed = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in rules)
+    steps = ""
+    for k in range(1, rounds + 1):
+        steps += f""", s{k} AS (
+  SELECT host, sum(t) AS t, sum(d) AS d FROM (
+    SELECT host, t, d FROM s0
+    UNION ALL SELECT dst, {damping} * t / n_out, 0 FROM s{k - 1} JOIN edges ON host = src
+    UNION ALL SELECT src, 0, {damping} * d / n_in FROM s{k - 1} JOIN edges ON host = dst
+  ) GROUP BY host)"""
+    return f"""
+WITH parts AS (
+  SELECT page_id, url, html, CASE WHEN contains(url, '://') THEN url[instr(url, '://') + 3:] ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), {AZ}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), rules(rule_host, rule_path, rule_verdict) AS (VALUES {listed}),
+fitting AS (
+  SELECT s.host, s.path, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY s.host, s.path
+                            ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+  FROM (SELECT DISTINCT host, path FROM split) s JOIN rules
+    ON (s.host = rule_host OR ends_with(s.host, '.' || rule_host)) AND starts_with(s.path, rule_path)
+), judged AS (
+  SELECT page_id, s.host, s.path, rule, rule_verdict
+  FROM split s LEFT JOIN (SELECT * FROM fitting WHERE place = 1) f ON s.host = f.host AND s.path = f.path
+), links AS (
+  SELECT DISTINCT src, dst FROM (
+    SELECT host AS src, translate(unnest(regexp_extract_all(
+      html, '(?i)href\\s*=\\s*["'']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^"''\\s>/?#]+)', 1)), {AZ}) AS dst
+    FROM split) WHERE src <> dst AND src <> ''
+), edges AS (
+  SELECT src, dst, count(*) OVER (PARTITION BY src) AS n_out, count(*) OVER (PARTITION BY dst) AS n_in FROM links
+), hosts AS (
+  SELECT host, count(*) FILTER (rule_verdict = 'allow') AS a, count(*) FILTER (rule_verdict = 'block') AS b
+  FROM judged GROUP BY host
+), s0 AS (
+  SELECT host, {1 - damping} * a / greatest(sum(a) OVER (), 1) AS t,
+         {1 - damping} * b / greatest(sum(b) OVER (), 1) AS d FROM hosts
+){steps}
+SELECT page_id, host, path, rule,
+       coalesce(rule_verdict, CASE WHEN d > t THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN s{rounds} USING (host)
+"""
+
+
+def license_scan(templates: dict[str, str], percent: int = 80) -> str:
+    """Exact containment of every template in every document, without retrieval."""
+    listed = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in templates.items())
+    apart = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+    def shingles(key: str, text: str, table: str) -> str:
+        words = f"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), {AZ}), '{apart}'), lambda w: w <> '')"
+        return (f"SELECT {key}, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS s FROM "
+                f"(SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {key}, {words} AS w FROM {table}))")
+
+    return f"""
+WITH templates(license, body) AS (VALUES {listed}),
+wanted AS (SELECT DISTINCT license, s FROM ({shingles('license', 'body', 'templates')})),
+sizes AS (SELECT license, count(*) AS n_template FROM wanted GROUP BY license),
+own AS (SELECT doc_id, s, min(place) AS place FROM ({shingles('doc_id', 'text', 'documents')}) GROUP BY doc_id, s)
+SELECT doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_template, min(place) AS first_word
+FROM own JOIN wanted USING (s) JOIN sizes USING (license)
+GROUP BY doc_id, license HAVING 100 * count(*) >= {percent} * any_value(n_template)
+"""

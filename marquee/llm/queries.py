@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, digests, linediff, minhash, oracle, packing, shards, toxicity
+from . import decontam, digests, licenses, linediff, minhash, oracle, packing, shards, toxicity, urlgraph
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,22 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, width=4, percent=80)
 
 
+#: Rules of the URL query (host, path, verdict).
+URL_RULES = [
+    urlgraph.Rule("com", "/", "allow"),
+    urlgraph.Rule("example.com", "/en/", "block"),
+    urlgraph.Rule("www.example.com", "/en/", "allow"),
+    urlgraph.Rule("net", "/es/", "block"),
+    urlgraph.Rule("net", "/fr/", "block"),
+]
+
+
+def op2_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages by rules, else by trust and distrust spread over the links of hosts."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return urlgraph.filter_urls(pages, URL_RULES)
+
+
 def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 16 shards that each match the mixture of sources."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
@@ -54,6 +70,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.exact_dedup(docs)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents by the span tagger, learnt outside the held-out fold."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -63,16 +84,20 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_link_graph_filter": op2_link_graph_filter,
     "op3_stratified_shards": op3_stratified_shards,
     "op5_patience_line_dedup": op5_patience_line_dedup,
     "op6_simhash_decontamination": op6_simhash_decontamination,
     "op7_online_packing": op7_online_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_license_scan": op9_license_scan,
     "op10_crf_toxicity": op10_crf_toxicity,
 }
 
 ORACLE = {
     "op1_minhash_near_dedup": oracle.NEAR_DEDUP,
+    "op2_link_graph_filter": oracle.url_filter(URL_RULES),
     "op3_stratified_shards": oracle.SHARDS,
     "op8_exact_dedup": oracle.EXACT_DEDUP,
+    "op9_license_scan": oracle.license_scan(licenses.TEMPLATES),
 }
