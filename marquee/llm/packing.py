@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SLICE_BYTES, materialize, slices, text_buffer
-from .tokens import ChunkTokenizer
+from .tokens import tokenizer_at
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary, is_open boolean")
@@ -59,7 +59,7 @@ def _packer(path: str, size: int, limit: int, end_id: int, with_ids: bool):
         from pyspark import TaskContext
 
         task = (TaskContext.get().partitionId()) << 40
-        tokenizer = ChunkTokenizer(path)
+        tokenizer = tokenizer_at(path)
         count = 0
         held: dict[int, list[tuple]] = {}  # pieces of the open windows
         ready: list[tuple] = []
