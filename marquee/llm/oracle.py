@@ -142,3 +142,35 @@ SELECT doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_templat
 FROM own JOIN wanted USING (s) JOIN sizes USING (license)
 GROUP BY doc_id, license HAVING 100 * count(*) >= {percent} * any_value(n_template)
 """
+
+
+#: Every 400-byte string by its place, counted; then runs of covered bytes.
+SUBSTRINGS = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), places AS (
+  SELECT r, unnest(range(0, len(h) // 2 - 399)) AS i FROM docs WHERE len(h) >= 800
+), strings AS (
+  SELECT p.r, i, md5_number(substr(h, 2 * i + 1, 800)) AS s FROM places p JOIN docs USING (r)
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS c FROM strings) WHERE c > 1
+), runs AS (
+  SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS head FROM again
+), numbered AS (
+  SELECT r, i, sum(head) OVER (PARTITION BY r ORDER BY i) AS g FROM runs
+), spans AS (
+  SELECT r, g, min(i) AS lo, max(i) + 400 AS hi FROM numbered GROUP BY r, g
+), cuts AS (
+  SELECT r, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his, sum(hi - lo) AS n_removed,
+         count(*) AS n_spans FROM spans GROUP BY r
+), pieces AS (
+  SELECT doc_id, h, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+         coalesce(los, []) AS los, coalesce(his, []) AS his FROM docs LEFT JOIN cuts USING (r)
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, n_removed::BIGINT AS n_removed, n_spans,
+       sha256(unhex(array_to_string(list_transform(range(0, len(los) + 1), lambda k:
+         substr(h, CASE WHEN k = 0 THEN 1 ELSE 2 * his[k] + 1 END,
+                2 * ((CASE WHEN k = len(los) THEN len(h) // 2 ELSE los[k + 1] END)
+                     - (CASE WHEN k = 0 THEN 0 ELSE his[k] END)))), ''))) AS kept_sha256
+FROM pieces
+"""

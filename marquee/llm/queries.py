@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, digests, licenses, linediff, minhash, oracle, packing, shards, toxicity, urlgraph
+from . import decontam, digests, licenses, linediff, minhash, oracle, packing, shards, suffixes, toxicity, urlgraph
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,15 @@ def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(docs, shards=16, seed=17)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of all documents without 400-byte strings that start elsewhere too."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    out = suffixes.substring_dedup(docs, length=400)
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and remaining text (as a digest) of all documents after block deletion."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -86,6 +95,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_link_graph_filter": op2_link_graph_filter,
     "op3_stratified_shards": op3_stratified_shards,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_patience_line_dedup": op5_patience_line_dedup,
     "op6_simhash_decontamination": op6_simhash_decontamination,
     "op7_online_packing": op7_online_packing,
@@ -98,6 +108,7 @@ ORACLE = {
     "op1_minhash_near_dedup": oracle.NEAR_DEDUP,
     "op2_link_graph_filter": oracle.url_filter(URL_RULES),
     "op3_stratified_shards": oracle.SHARDS,
+    "op4_suffix_dedup": oracle.SUBSTRINGS,
     "op8_exact_dedup": oracle.EXACT_DEDUP,
     "op9_license_scan": oracle.license_scan(licenses.TEMPLATES),
 }
