@@ -296,6 +296,18 @@ def score(docs: DataFrame, model: Model, spans: bool = True, id_col: str = "doc_
     return rows.mapInArrow(_scorer(model, spans), schema)
 
 
+def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text scores ``threshold`` or more; all columns stay as they are."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.names.index(text_col)
+            alone = pa.record_batch([b.column(at)], ["text"])
+            found = next(_scorer(model, False)(iter([alone]))).column(0).to_numpy()
+            yield b.filter(pa.array(found < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_col: str = "doc_id", folds: int = 5):
     """True for the fold of ids that is never learnt from; a null id has no fold (false)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
