@@ -30,6 +30,14 @@ def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (whatever the case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back.
 

@@ -236,5 +236,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; a null id cannot be rejected."""
     found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("_bad"), "left_anti")
+    bad = found.select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(bad, docs[id_col].cast("long") == bad["bad"], "left_anti")

@@ -4,10 +4,9 @@ Documents that share a line are paired: each occurrence of a line (its k-th
 in a document) points from a later document to the first document that has as
 many.  So a line found in a third of the corpus gives one pairing for each of
 its documents, not one for each two, and no line need be left out.  A pair's
-shared lines are aligned by patience diff: lines that occur once on both
-sides are anchors, rarest first where they contradict each other; their
-longest increasing run is kept, and the lines between anchors that repeat are
-aligned the same way.  Aligned lines that follow each other on both sides
+shared lines are aligned by patience diff: its rare lines, those that occur once
+on either side, are anchors, of which the longest increasing run is kept, and
+lines that repeat are aligned the same way between two anchors.  Aligned lines that follow each other on both sides
 form a block, and blocks with enough text are deleted from the later
 document.  The first document keeps its lines, so every text survives once.
 """
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (BASE_B, SPACE, as_signed, materialize, mix, prefix_sums, range_hash, slices,
-                     text_buffer)
+                     text_buffer, unused)
 
 LINES = "doc_id long, pos int, line_a long, line_b long, k int, times int, chars int"
 
@@ -34,15 +33,12 @@ def _line_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, offsets = text_buffer(b.column(1))
         for lo, hi in slices(offsets):
             part, offs = flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-            cut = np.flatnonzero(part == 10)
-            begin = np.sort(np.concatenate([offs[:-1], cut + 1]))
-            # A row of n line breaks has n + 1 lines; each ends before its break or with its row.
-            row = np.searchsorted(offs, begin, "right") - 1
-            row = np.minimum(row, hi - lo - 1)
-            own = np.concatenate([np.arange(hi - lo), np.searchsorted(offs, cut, "right") - 1])
-            begin = np.concatenate([offs[:-1], cut + 1])
-            order = np.lexsort((begin, own))
-            begin, row = begin[order], own[order]
+            # A row with n line feeds has n + 1 lines; each ends before its feed or with its row.
+            feed = np.flatnonzero(part == 10)
+            row = np.concatenate([np.arange(hi - lo), np.searchsorted(offs, feed, "right") - 1])
+            begin = np.concatenate([offs[:-1], feed + 1])
+            order = np.lexsort((begin, row))
+            begin, row = begin[order], row[order]
             end = np.empty_like(begin)
             last = np.ones(len(row), bool)
             last[:-1] = row[1:] != row[:-1]
@@ -112,8 +108,12 @@ def align(shared: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
     return out[:-1]
 
 
-def blocks(aligned: list[tuple[int, int]], blank: set[int] = frozenset()) -> list[list[int]]:
-    """Positions of aligned lines that follow each other on both sides, by block."""
+def blocks(aligned: list[tuple[int, int]]) -> list[list[int]]:
+    """Positions of aligned lines that follow each other on both sides, by block.
+
+    One line may stand between two of them (the same distance on both sides),
+    as a blank line does; it is not part of the block.
+    """
     out: list[list[int]] = []
     last = None
     for x, y in aligned:
@@ -153,11 +153,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = 80, id_col: str = "doc_id",
     lines = materialize(rows.mapInArrow(_line_table, LINES), "lines")
     key = ["line_a", "line_b", "k"]
     first = (lines.groupBy(*key)
-                  .agg(F.min(F.struct("doc_id", "pos", "times")).alias("f"), F.max("doc_id").alias("_last"),
-                       F.count(F.lit(1)).alias("df"))
+                  .agg(F.min(F.struct("doc_id", "pos", "times")).alias("f"), F.max("doc_id").alias("_last"))
                   .filter(F.col("_last") > F.col("f.doc_id"))
                   .select(*key, F.col("f.doc_id").alias("other"), F.col("f.pos").alias("other_pos"),
-                          (F.col("f.times") == 1).alias("_once"), "df"))
+                          (F.col("f.times") == 1).alias("_once")))
     links = (lines.join(first, key).filter(F.col("doc_id") > F.col("other"))
                   .select("doc_id", "other", F.struct(
                       "pos", "other_pos", (F.col("_once") & (F.col("times") == 1)).alias("once"),
@@ -183,14 +182,13 @@ def line_dedup(docs: DataFrame, min_chars: int = 80, id_col: str = "doc_id",
     gives no rows; other columns, whatever their names, are passed through
     (columns named n_lines or n_cut are replaced).
     """
-    cut = repeated_lines(docs, min_chars, id_col, text_col).select(F.col("doc_id").alias("_cut_id"), "cut") \
-        .withColumnRenamed("cut", "_cut")
+    key, gone = unused(docs, "cut_id"), unused(docs, "cut_lines")
+    cut = repeated_lines(docs, min_chars, id_col, text_col).withColumnsRenamed({"doc_id": key, "cut": gone})
     lines = F.split(F.col(text_col), "\n")
-    joined = docs.join(cut, F.col(id_col).cast("long") == F.col("_cut_id"), "left")
-    kept = F.filter(lines, lambda line, i: ~F.array_contains("_cut", i))
-    return (joined.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)))
-                  .withColumn("n_cut", F.coalesce(F.size("_cut"), F.lit(0)))
-                  .withColumn("n_cut", F.greatest("n_cut", F.lit(0)))
-                  .withColumn(text_col, F.when(F.col("_cut").isNull(), F.col(text_col))
-                                         .otherwise(F.array_join(kept, "\n")))
-                  .drop("_cut_id", "_cut"))
+    kept = F.filter(lines, lambda line, i: ~F.array_contains(gone, i))
+    return (docs.join(cut, docs[id_col].cast("long") == cut[key], "left")
+                .withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)),
+                              "n_cut": F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)),
+                              text_col: F.when(F.col(gone).isNull(), F.col(text_col))
+                                         .otherwise(F.array_join(kept, "\n"))})
+                .drop(key, gone))
