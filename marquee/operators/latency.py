@@ -14,8 +14,10 @@ A step can hold a third of all samples, so a window ``partitionBy(step)
    n / accuracy, so the true k-th value lies between the two bracket values.
 2. an exact count of samples below the lower bracket (a partial aggregate)
    gives the rank offset of the bracket.
-3. only samples inside the bracket (≈ 2·margin·n rows) are ranked with a
-   window, and the one at position k - offset is picked.
+3. samples inside the bracket are counted by value (with map-side combine, so
+   a value that a third of the samples share is one row), the counts are
+   cumulated over the bracket's distinct values, and the value whose run
+   holds position k - offset is picked.
 
 Steps' statistics have one row per listed step and are broadcast (bounded
 by the length of the step list, not by the data).
@@ -72,11 +74,17 @@ def step_profile(samples: DataFrame, step: str = "step", value: str = "value",
         F.when(F.col("value").between(F.col("lo50"), F.col("hi50")), F.lit("p50")),
         F.when(F.col("value").between(F.col("lo95"), F.col("hi95")), F.lit("p95")))).alias("which")
     ).where(F.col("which").isNotNull())
-    ranked = sliced.withColumn(
-        "pos", F.row_number().over(Window.partitionBy("step", "which").orderBy("value")) - 1)
+    counted = sliced.groupBy("step", "which", "value").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("step", "which").orderBy("value"))
+    ranked = counted.withColumn("end", upto).withColumn("begin", F.col("end") - F.col("c"))
+
+    def holds(k: str, b: str):
+        at = F.col(k) - F.col(b)
+        return (F.col("begin") <= at) & (at < F.col("end"))
+
     picked = (ranked.join(F.broadcast(below.join(stats.select("step", "k50", "k95"), "step")), "step")
-              .where(((F.col("which") == "p50") & (F.col("pos") == F.col("k50") - F.col("b50")))
-                     | ((F.col("which") == "p95") & (F.col("pos") == F.col("k95") - F.col("b95"))))
+              .where(((F.col("which") == "p50") & holds("k50", "b50"))
+                     | ((F.col("which") == "p95") & holds("k95", "b95")))
               .groupBy("step")
               .agg(F.max(F.when(F.col("which") == "p50", F.col("value"))).alias("p50"),
                    F.max(F.when(F.col("which") == "p95", F.col("value"))).alias("p95")))

@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..session import scratch_path
 
 # Text between the two dates of the range card, and formats.
 DATE_RANGE_SEPARATOR = "  →  "
@@ -120,14 +122,19 @@ def date_range_text(fact: DataFrame) -> DataFrame:
                              F.date_format(F.max("revenue_date"), DATE_FMT)).alias("date_range"))
 
 
-def top_film(fact: DataFrame, movies: DataFrame) -> DataFrame:
+def top_film(fact: DataFrame, movies: DataFrame, max_ties: int = 10_000) -> DataFrame:
     """Title(s) with the highest revenue; ties concatenated without delimiter."""
     per_title = (revenue_per_movie(fact)
                  .join(movies.select(F.col("imdb_id").alias("movie_key"), "title"), "movie_key")
                  .groupBy("title").agg(F.sum("revenue").alias("revenue")))
     best = per_title.agg(F.max("revenue").alias("revenue"))  # one row
     winners = per_title.join(F.broadcast(best), "revenue", "left_semi")
-    return winners.agg(F.expr("listagg(title, '') WITHIN GROUP (ORDER BY title)").alias("top_film"))
+    # The text is one value, so its ties meet in one task; more than max_ties
+    # of them fail rather than give a cut text.
+    ties = winners.limit(max_ties + 1)
+    text = F.expr("listagg(title, '') WITHIN GROUP (ORDER BY title)")
+    failed = F.raise_error(F.lit(f"more than {max_ties} titles tie for the top")).cast("string")
+    return ties.agg(F.when(F.count(F.lit(1)) <= max_ties, text).otherwise(failed).alias("top_film"))
 
 
 def exact_mean(c: str) -> Column:
@@ -150,11 +157,11 @@ def last_refresh(refreshes: DataFrame, ts: str = "refreshed_at") -> DataFrame:
         "last_refresh", F.date_format("last_refresh", REFRESH_FMT).alias("last_refresh_text"))
 
 
-def default_sums(df: DataFrame, cols: Sequence[str], exact_scale: int | None = 2) -> DataFrame:
-    """Implicit SUM of columns flagged 'summarize by sum'.
+def default_sums(df: DataFrame, cols: Sequence[str], exact_scale: int | None = None) -> DataFrame:
+    """Implicit SUM of columns flagged 'summarize by sum', in each column's own type.
 
-    Floating columns are summed as decimals (``exact_scale`` digits) so the
-    total does not depend on the order rows arrive in.
+    A caller whose floating columns hold decimals of a known scale may name
+    it: they are then summed exactly, in any order of rows.
     """
     out = []
     for c in cols:
@@ -176,7 +183,8 @@ def revenue_drill(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         F.sum("revenue").alias("revenue"))
     cal = calendar.select(F.col("date"), F.col("year"), F.col("quarter").alias("quarter_no"),
                           F.col("month").alias("month_no"), F.col("day"))
-    days = per_day.join(F.broadcast(cal), "date", "inner")
+    # Days outside of the calendar go to a blank group; no revenue is lost.
+    days = per_day.join(F.broadcast(cal), "date", "left")
     r = days.rollup("year", "quarter_no", "month_no", "day").agg(
         F.sum("revenue").alias("revenue"), F.grouping_id().alias("level"))
     return r.select(
@@ -188,6 +196,31 @@ def revenue_drill(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     ).orderBy("level", "year", "quarter_no", "month_no", "day")
 
 
+def ranked(report: DataFrame, by: str, *ties: str, position: str = "position") -> DataFrame:
+    """A report with the place of each row in its sort: ``by`` descending, then ``ties``.
+
+    ``report`` has one row per member of a dimension.  Places are counted from
+    the sums that are strictly greater, over sorted ranges, so that no task
+    sees more than its range and one row for each other range.
+    """
+    order = [F.desc_nulls_last(by), *[F.asc(t) for t in ties]]
+    rows = report.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = _kept(rows.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+                .withColumn(position, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1)
+                .drop("_at", "_part", "_before"))
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def filter_movies(movies: DataFrame, **equals) -> DataFrame:
     """Report filters on dimension columns: ``column=value`` or ``column=[values]``."""
     out = movies
@@ -216,5 +249,9 @@ def restrict_fact(fact: DataFrame, movies: DataFrame | None = None,
 
 
 def cross_filter_dim(dim: DataFrame, dim_key: str, fact: DataFrame, fact_key: str) -> DataFrame:
-    """Both-directions filter: the dim rows that still have fact rows."""
-    return dim.join(fact.select(F.col(fact_key).alias(dim_key)), dim_key, "left_semi")
+    """Both-directions filter: the dim rows that still have fact rows.
+
+    The fact's keys are made distinct first (with map-side combine), so a hot
+    key is one row of the join.
+    """
+    return dim.join(fact.select(F.col(fact_key).alias(dim_key)).distinct(), dim_key, "left_semi")

@@ -182,7 +182,7 @@ FRESHNESS_HOURS = {"raw.revenues": (36, 72), "raw.omdb": (7 * 24, 14 * 24)}
 
 def freshness(source: str, df: DataFrame, loaded_at: str, as_of_ts: str,
               warn_hours: float | None = None, error_hours: float | None = None) -> DataFrame:
-    """One row: source, newest load, age in hours at ``as_of_ts``, pass/warn/error."""
+    """One row: source, newest load, age in hours at ``as_of_ts``, pass/warn/error (error if empty)."""
     w, e = FRESHNESS_HOURS.get(source, (warn_hours, error_hours))
     w = warn_hours if warn_hours is not None else w
     e = error_hours if error_hours is not None else e
@@ -192,7 +192,7 @@ def freshness(source: str, df: DataFrame, loaded_at: str, as_of_ts: str,
     return df.agg(F.lit(source).alias("source"), newest.alias("max_loaded_at"),
                   F.round(age, 6).alias("age_hours")).select(
         "source", "max_loaded_at", "age_hours",
-        F.when(F.col("age_hours") > e, F.lit(ERROR))
+        F.when(F.col("age_hours").isNull() | (F.col("age_hours") > e), F.lit(ERROR))
          .when(F.col("age_hours") > w, F.lit(WARN))
          .otherwise(F.lit(PASS)).alias("status"))
 

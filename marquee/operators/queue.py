@@ -64,7 +64,10 @@ def _anti(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> D
 def fetch_queue(entities: DataFrame, cached: DataFrame, errored: DataFrame,
                 on: Sequence[tuple[str, str]]) -> DataFrame:
     """Entities neither cached nor failed today; ``on`` pairs (entity col, lookup col)."""
-    return _anti(_anti(entities, cached, on), errored, on)
+    def keys(df: DataFrame) -> DataFrame:  # a hot key is one row of the join
+        return df.select(*[c for _, c in on]).distinct()
+
+    return _anti(_anti(entities, keys(cached), on), keys(errored), on)
 
 
 def calls_on(log: DataFrame, day: str, ts: str = "call_at") -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as J
 from ..functions import text as T
+from ..session import scratch_path
 
 REVENUE_COLUMNS = ("id", "revenue_date", "title", "revenue", "theaters", "distributor")
 # Accepted document status / type, and the ratings source read.
@@ -47,6 +48,13 @@ def dedupe_latest(df: DataFrame, key: str | Sequence[str], order_desc: Sequence[
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("_row." + c).alias(c) for c in keep])
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back (several consumers read it)."""
+    path = scratch_path(df.sparkSession, f"staging-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def first_year_by(df: DataFrame, group: str | Sequence[str], date_col: str,
                   out: str = "release_year", salt_cols: Sequence[str] | None = None) -> DataFrame:
     """``df`` plus ``out`` = min(year(date_col)) over rows sharing ``group``.
@@ -87,7 +95,8 @@ def stg_revenues(raw: DataFrame) -> DataFrame:
         typed, "id",
         order_desc=["_loaded_at", "revenue_date", "revenue", "theaters", "title", "distributor"],
         keep=list(REVENUE_COLUMNS))
-    staged = first_year_by(latest, "title", "revenue_date", salt_cols=["id"])
+    # First year, group sizes and the join back all read these rows: written once.
+    staged = first_year_by(_written(latest, "latest"), "title", "revenue_date", salt_cols=["id"])
     return staged.select("id", "revenue_date", "title", "release_year",
                          "revenue", "theaters", "distributor")
 
@@ -122,37 +131,56 @@ def ratings_score(docs: DataFrame, source: str = RATINGS_SOURCE, outer: bool = F
         F.max(F.when(J.vget("r", "$.Source") == source, score)).alias("rotten_tomatoes_score"))
 
 
-def stg_docs(docs: DataFrame) -> DataFrame:
-    """Found movie documents flattened to typed columns ('N/A' -> NULL)."""
+def _whole(c):
+    return T.try_number(c)
+
+
+def _digits(c):
+    return T.try_number(T.first_digits(c))
+
+
+#: Document layout: output column -> (field of the document, parser of its text or None).
+DOC_LAYOUT = {
+    "title": ("Title", None), "rated": ("Rated", None), "released_raw": ("Released", None),
+    "runtime_min": ("Runtime", _digits), "genres": ("Genre", None), "director": ("Director", None),
+    "writer": ("Writer", None), "actors": ("Actors", None), "plot": ("Plot", None),
+    "languages": ("Language", None), "country": ("Country", None), "awards": ("Awards", None),
+    "poster_url": ("Poster", None),
+    "imdb_rating": ("imdbRating", lambda c: T.try_number(c, 4, 1)),
+    "metascore": ("Metascore", _whole),
+    "imdb_votes": ("imdbVotes", lambda c: T.try_number(F.replace(c, F.lit(","), F.lit("")))),
+    "box_office_omdb": ("GrossRevenue", lambda c: T.try_number(T.strip_money(c))),
+}
+
+
+def own_score(doc: str = "response", source: str = RATINGS_SOURCE):
+    """The score within one document: max of the digits of its ``Ratings`` from ``source``."""
+    items = F.filter(J.varray(doc, "$.Ratings"), lambda r: J.vget(r, "$.Source") == source)
+    return F.array_max(F.transform(items, lambda r: T.try_number(T.first_digits(J.vget(r, "$.Value")))))
+
+
+def stg_docs(docs: DataFrame, layout: dict | None = None) -> DataFrame:
+    """Found movie documents flattened to typed columns ('N/A' -> NULL).
+
+    ``layout`` names the document's fields and their parsers (default
+    ``DOC_LAYOUT``).  The documents are parsed and read once: the score of a
+    document comes from its own ratings in the same projection, and the
+    typed rows are written before the score per id is taken from them.
+    """
     found = docs.where((F.col("status") == STATUS_FOUND)
                        & (J.vget("response", "$.Type") == TYPE_MOVIE))
 
-    def txt(field: str):
-        return T.na_to_null(J.vget("response", "$." + field))
-
-    flat = found.select(
-        "imdb_id", "lookup_title", "lookup_year",
-        txt("Title").alias("title"),
-        txt("Rated").alias("rated"),
-        txt("Released").alias("released_raw"),
-        T.try_number(T.first_digits(txt("Runtime"))).alias("runtime_min"),
-        txt("Genre").alias("genres"),
-        txt("Director").alias("director"),
-        txt("Writer").alias("writer"),
-        txt("Actors").alias("actors"),
-        txt("Plot").alias("plot"),
-        txt("Language").alias("languages"),
-        txt("Country").alias("country"),
-        txt("Awards").alias("awards"),
-        txt("Poster").alias("poster_url"),
-        T.try_number(txt("imdbRating"), 4, 1).alias("imdb_rating"),
-        T.try_number(txt("Metascore")).alias("metascore"),
-        T.try_number(F.replace(txt("imdbVotes"), F.lit(","), F.lit(""))).alias("imdb_votes"),
-        T.try_number(T.strip_money(txt("BoxOffice"))).alias("box_office_omdb"),
-        "_fetched_at",
-    )
+    def column(name: str, field: str, parse):
+        text = T.na_to_null(J.vget("response", "$." + field))
+        return (parse(text) if parse else text).alias(name)
+
+    flat = found.select("imdb_id", "lookup_title", "lookup_year",
+                        *[column(n, f, p) for n, (f, p) in (layout or DOC_LAYOUT).items()],
+                        "_fetched_at", own_score().alias("_own_score"))
+    rows = _written(flat, "docs")
+    score = rows.groupBy("imdb_id").agg(F.max("_own_score").alias("rotten_tomatoes_score"))
     from .skew import join_back
-    joined = join_back(flat, ratings_score(found), ["imdb_id"],
+    joined = join_back(rows.drop("_own_score"), score, ["imdb_id"],
                        salt_cols=["lookup_title", "lookup_year", "_fetched_at"])
-    return joined.select(
-        *[c for c in flat.columns if c != "_fetched_at"], "rotten_tomatoes_score", "_fetched_at")
+    return joined.select(*[c for c in flat.columns if c not in ("_fetched_at", "_own_score")],
+                         "rotten_tomatoes_score", "_fetched_at")

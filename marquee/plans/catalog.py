@@ -136,6 +136,16 @@ FILTER_GENRE = "Standard"
 SELECTED_DISTRIBUTOR = "Supplier#000000002"
 
 
+DRILL_END = "1996-12-31"
+
+
+@query("revenue_drill_blank")
+def q_revenue_drill_blank(spark, sf_dir):
+    """Revenue on days that a calendar does not have goes to its blank group."""
+    s = star(spark, sf_dir)
+    return measures.revenue_drill(s["fact_daily_revenue"], s["dim_date"].where(F.col("date") <= DRILL_END))
+
+
 @query("filtered_kpi")
 def q_filtered_kpi(spark, sf_dir):
     """KPI cards under filters on the movie dimension."""
@@ -160,7 +170,8 @@ def q_cross_filter_star(spark, sf_dir):
 def q_default_sums(spark, sf_dir):
     from ..sources.tables import read_table
     li = read_table(spark, sf_dir, "lineitem", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    return measures.default_sums(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return measures.default_sums(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                                 exact_scale=2)  # the columns hold decimals of two digits
 
 
 @query("dim_date_build")
@@ -252,10 +263,9 @@ def q_step_profile(spark, sf_dir):
     from ..operators import latency
     from ..sources.tables import read_table
     ev = read_table(spark, sf_dir, "events", "event_type", "value")
-    step = (F.when(F.col("event_type") == "view", "api").when(F.col("event_type") == "click", "s3")
-            .when(F.col("event_type") == "signup", "log").when(F.col("event_type") == "error", "total"))
-    samples = ev.select(step.alias("step"), "value").where(F.col("step").isNotNull())
-    return latency.step_profile(samples)
+    step = (F.when(F.col("event_type").isin("view", "purchase"), "api").when(F.col("event_type") == "click", "s3")
+            .when(F.col("event_type") == "signup", "log").otherwise("total"))
+    return latency.step_profile(ev.select(step.alias("step"), "value"))
 
 
 # --- text / json functions ---------------------------------------------------------------
@@ -322,9 +332,11 @@ def q_checks_summary(spark, sf_dir):
 def q_freshness(spark, sf_dir):
     from ..operators import quality
     raw = S.raw_revenues(spark, sf_dir)
-    docs = S.docs(spark, sf_dir, star(spark, sf_dir)["stg_revenues"])
-    return quality.freshness("raw.revenues", raw, "_loaded_at", S.AS_OF_TS).unionByName(
-        quality.freshness("raw.omdb", docs, "_fetched_at", S.AS_OF_TS))
+    docs = star(spark, sf_dir)["stg_docs"]
+    nothing = quality.freshness("raw.empty", docs.where("imdb_id IS NULL AND imdb_id IS NOT NULL"),
+                                "_fetched_at", S.AS_OF_TS, 36, 72)
+    return (quality.freshness("raw.revenues", raw, "_loaded_at", S.AS_OF_TS)
+            .unionByName(quality.freshness("raw.omdb", docs, "_fetched_at", S.AS_OF_TS)).unionByName(nothing))
 
 
 # --- sources, sinks and incremental ingest (write below the shared folder) ------------
@@ -360,7 +372,7 @@ def q_json_partition_roundtrip(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import json_docs
     root = scratch_path(spark, "omdb")
-    json_docs.write_documents(S.doc_envelopes(spark, sf_dir), root)
+    json_docs.write_documents(S.doc_envelopes(spark, sf_dir, star(spark, sf_dir)["stg_revenues"]), root)
     json_docs.refresh_cache(spark, root)
     return staging.stg_docs(staging.docs_table(json_docs.read_documents(spark, root)))
 

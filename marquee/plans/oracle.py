@@ -273,6 +273,19 @@ ORACLE.update({
                         CAST(month(revenue_date) AS INTEGER) AS month_no,
                         CAST(day(revenue_date) AS INTEGER) AS day, revenue FROM fact) t
            GROUP BY ROLLUP (year, quarter_no, month_no, day)""", "fact"),
+    "revenue_drill_blank": sql(
+        """SELECT year, quarter_no,
+                  CASE WHEN quarter_no IS NOT NULL THEN 'Qtr ' || CAST(quarter_no AS VARCHAR) END AS quarter,
+                  month_no,
+                  CASE WHEN month_no IS NOT NULL THEN monthname(make_date(2000, month_no, 1)) END AS month,
+                  day, CAST(grouping(year, quarter_no, month_no, day) AS BIGINT) AS level,
+                  CAST(sum(revenue) AS BIGINT) AS revenue
+           FROM (SELECT CASE WHEN known THEN CAST(year(revenue_date) AS INTEGER) END AS year,
+                        CASE WHEN known THEN CAST(quarter(revenue_date) AS INTEGER) END AS quarter_no,
+                        CASE WHEN known THEN CAST(month(revenue_date) AS INTEGER) END AS month_no,
+                        CASE WHEN known THEN CAST(day(revenue_date) AS INTEGER) END AS day, revenue
+                 FROM (SELECT *, revenue_date <= DATE '1996-12-31' AS known FROM fact)) t
+           GROUP BY ROLLUP (year, quarter_no, month_no, day)""", "fact"),
     "filtered_kpi": sql(
         """SELECT (SELECT CAST(sum(revenue) AS BIGINT) FROM ff) AS total_revenue,
                   (SELECT CAST(sum(revenue) AS DOUBLE) / 1000000 FROM ff) AS total_revenue_m,
@@ -321,9 +334,9 @@ ORACLE.update({
            WHERE outcome LIKE 'error%' GROUP BY outcome, http_status""", "log"),
     "step_profile": r"""
 WITH s AS (
-  SELECT CASE event_type WHEN 'view' THEN 'api' WHEN 'click' THEN 's3'
-                         WHEN 'signup' THEN 'log' WHEN 'error' THEN 'total' END AS step, value
-  FROM events WHERE event_type IN ('view', 'click', 'signup', 'error')),
+  SELECT CASE event_type WHEN 'view' THEN 'api' WHEN 'purchase' THEN 'api' WHEN 'click' THEN 's3'
+                         WHEN 'signup' THEN 'log' ELSE 'total' END AS step, value
+  FROM events),
 r AS (
   SELECT step, value, row_number() OVER (PARTITION BY step ORDER BY value) - 1 AS idx,
          count(*) OVER (PARTITION BY step) AS n
@@ -356,19 +369,19 @@ FROM a, d""",
                           FROM documents) t""",
     "freshness": sql(
         """SELECT source, max_loaded_at, age_hours,
-                  CASE WHEN age_hours > e THEN 'error' WHEN age_hours > w THEN 'warn' ELSE 'pass' END AS status
+                  CASE WHEN age_hours IS NULL OR age_hours > e THEN 'error' WHEN age_hours > w THEN 'warn' ELSE 'pass' END AS status
            FROM (
              SELECT 'raw.revenues' AS source, max(_loaded_at) AS max_loaded_at,
                     round((epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(max(_loaded_at))) / 3600000000.0, 6)
                       AS age_hours, 36 AS w, 72 AS e
              FROM raw_rev
              UNION ALL
-             SELECT 'raw.omdb', max(TIMESTAMP '2024-01-01 06:00:00' + (p_size - 1) * INTERVAL 1 DAY),
-                    round((epoch_us(TIMESTAMP '2024-01-30 12:00:00')
-                           - epoch_us(max(TIMESTAMP '2024-01-01 06:00:00' + (p_size - 1) * INTERVAL 1 DAY)))
-                          / 3600000000.0, 6), 168, 336
-             FROM films f JOIN first_part p ON f.title = p.title) t""",
-        "raw_rev", "films", "first_part"),
+             SELECT 'raw.omdb', max(_fetched_at),
+                    round((epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(max(_fetched_at))) / 3600000000.0, 6),
+                    168, 336
+             FROM docs_flat
+             UNION ALL SELECT 'raw.empty', NULL, NULL, 36, 72) t""",
+        "raw_rev", "docs_flat"),
 })
 
 

@@ -37,7 +37,7 @@ FETCH_BASE_TS = "2024-01-01 06:00:00"
 
 def raw_revenues(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-                   "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", spread=True)
+                   "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand")
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     j = l.join(p, l.l_partkey == p.p_partkey).join(s, l.l_suppkey == s.s_suppkey)
@@ -113,7 +113,7 @@ def doc_envelopes(spark: SparkSession, sf_dir: str, stg_df: DataFrame | None = N
         _na(na, F.format_number(F.col("p_partkey") * 37 + 1000, 0)).alias("imdbVotes"),
         F.concat(F.lit("tt"), F.lpad(F.col("p_partkey").cast("string"), 7, "0")).alias("imdbID"),
         F.when(F.col("p_type") == SERIES_PART_TYPE, F.lit("series")).otherwise(F.lit("movie")).alias("Type"),
-        _na(na, F.concat(F.lit("$"), F.format_number(F.round(F.col("p_retailprice") * 1000), 0))).alias("BoxOffice"),
+        _na(na, F.concat(F.lit("$"), F.format_number(F.round(F.col("p_retailprice") * 1000), 0))).alias("GrossRevenue"),
         F.lit("True").alias("Response"),
     ))
     envelope = F.to_json(F.struct(
@@ -132,8 +132,7 @@ def docs(spark: SparkSession, sf_dir: str, stg_df: DataFrame | None = None) -> D
 
 def api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw API responses, one per event: (error_kind, http_status, reason, body)."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value",
-                   spread=True)
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     et, v = F.col("event_type"), F.col("value")
     is_err = et == "error"
     error_kind = (F.when(is_err & (v < 20), F.lit("timeout"))

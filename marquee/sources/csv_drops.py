@@ -125,20 +125,17 @@ def oldest_pending(spark: SparkSession, inbox: str, loaded_files: DataFrame | No
 
 
 def export_drops(df: DataFrame, path: str, partition_by: Sequence[str],
-                 null_value: str = "", compression: str = "gzip",
-                 files_per_partition: int = 1) -> None:
+                 null_value: str = "", compression: str = "gzip") -> None:
     """Write history as per-period CSV in the layout it is read back with.
 
-    Rows are clustered by the period columns first, so a period becomes
-    ``files_per_partition`` files (one per quarter by default, the drop
-    layout) instead of one small file per upstream task.  Very large periods
-    can be split over several files / tasks by a deterministic row hash.
+    Rows are rebalanced by the period columns: a period becomes one file (the
+    drop layout) unless it is larger than the advisory partition size, when it
+    is split over several tasks and files.  Blanks at either end of a text
+    are kept.
     """
-    keys = [F.col(c) for c in partition_by]
-    if files_per_partition > 1:
-        keys.append(F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
-    (df.repartition(*keys).write.mode("overwrite").partitionBy(*partition_by)
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
      .option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("nullValue", null_value).option("compression", compression).csv(path))
 
 

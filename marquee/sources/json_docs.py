@@ -29,19 +29,15 @@ def day_partitions(ts: str) -> list:
 
 
 def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
-                    fetched_at: str = "fetched_at", mode: str = "append",
-                    files_per_day: int = 4) -> None:
+                    fetched_at: str = "fetched_at", mode: str = "append") -> None:
     """Append documents as JSON lines below ``path/yyyy=/mm=/dd=``.
 
-    Rows are clustered by day plus a hash of the document into at most
-    ``files_per_day`` buckets before the write, so a day becomes a few files
-    (not one per task) and a very busy day is still written by several tasks.
-    The bucket is a hash, not a random number, so a retried task writes the
-    same rows.
+    Rows are rebalanced by day before the write: small days become one file
+    each, and a day larger than the advisory partition size is split over as
+    many tasks as its bytes ask for.
     """
-    bucket = F.pmod(F.xxhash64("value"), F.lit(files_per_day))
     (docs.select(F.col(json_col).alias("value"), *day_partitions(fetched_at))
-     .repartition("yyyy", "mm", "dd", bucket)
+     .hint("rebalance", "yyyy", "mm", "dd")
      .write.mode(mode).partitionBy("yyyy", "mm", "dd").text(path))
 
 

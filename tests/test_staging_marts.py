@@ -71,7 +71,7 @@ def test_bad_number_fails(spark):
 def test_docs_flatten_edges(spark):
     d = docs(spark, [
         doc("A", 2003, "tt1", Runtime="181 min", imdbRating="8.4", imdbVotes="1,234",
-            BoxOffice="$858,373,000", Metascore="N/A",
+            GrossRevenue="$858,373,000", Metascore="N/A",
             Ratings=[{"Source": "Rotten Tomatoes", "Value": "87%"}, {"Source": "X", "Value": "5/10"}]),
         doc("B", 2003, "tt2", Director="N/A", Ratings=[]),                       # empty ratings
         doc("C", 2003, "tt3", Ratings=[{"Source": "Metacritic", "Value": "50/100"}]),

@@ -23,7 +23,7 @@ def drop(path, lines):
 
 def body(imdb, title, **kw):
     b = {"Response": "True", "Type": "movie", "imdbID": imdb, "Title": title, "Director": "Dir",
-         "imdbRating": "7.5", "BoxOffice": "$1,000", "Runtime": "100 min",
+         "imdbRating": "7.5", "GrossRevenue": "$1,000", "Runtime": "100 min",
          "Ratings": [{"Source": "Rotten Tomatoes", "Value": "90%"}]}
     b.update(kw)
     return json.dumps(b)
