@@ -13,11 +13,14 @@ Inverted lists from retained values to representatives generate overlaps:
   nothing else, and a value found once uses up a place at no cost.
 * Within a list each member is first compared with one leader, the member
   whose values are the most frequent of all (a base text rather than an
-  edited copy), which joins a large group of copies with one comparison
-  each.  Only members that end up in different components are compared again,
-  with other leaders, then pairwise, until no pair of a list is untested.
-
-A pair passes the union-sketch estimate, then its full sets are compared.
+  edited copy): union sketches estimate the similarity, and what may reach
+  the threshold is compared by full sets.  That joins a large group of copies
+  with one comparison each, and settles most lists.
+* The lists of a leader whose members are still in several components make a
+  cell.  A cell is split into blocks of bounded size, every pair of blocks is
+  a group of its own, and a group compares full sets by matrix products and
+  returns only links that join two components.  So a hot group costs
+  comparisons, spread over tasks, but never rows for all its pairs.
 """
 
 from __future__ import annotations
@@ -172,8 +175,8 @@ def _postings(reps: DataFrame, percent: int, k: int) -> DataFrame:
                   .select(F.col("v.value").alias("value"), "doc", "n", "weight"))
 
 
-#: Rounds in which the members of a list meet one leader each, before what is open meets pairwise.
-LEADER_ROUNDS = 4
+#: Documents, and bytes of packed text, of one block of a cell.
+BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 19
 
 
 def _links(rows: DataFrame, reps: DataFrame, width: int, percent: int, k: int) -> DataFrame:
@@ -182,50 +185,110 @@ def _links(rows: DataFrame, reps: DataFrame, width: int, percent: int, k: int) -
     texts = materialize(
         rows.filter("doc_id IS NOT NULL").mapInArrow(_shrink, "doc_id long, packed binary")
             .join(lists.select("doc").distinct(), F.col("doc_id") == F.col("doc"), "left_semi"), "texts")
-    sketches = reps.select("rep", "sketch")
-    state = lists.withColumn("component", F.col("doc"))
-    links = tested = None
-    for turn in range(LEADER_ROUNDS + 1):
-        still = state.groupBy("value").agg(F.count(F.lit(1)).alias("_m"), F.min("component").alias("_lo"),
-                                           F.max("component").alias("_hi")).filter("_lo < _hi")
-        members, pairs_of = still.agg(F.sum("_m"), F.sum(F.expr("_m * (_m - 1) div 2"))).first()
-        if not members:
-            break
-        state = state.join(still.select("value"), "value")
-        pairwise = turn == LEADER_ROUNDS or pairs_of <= 4 * members
-        pairs = _pairwise(state) if pairwise else _with_leaders(state, turn)
-        pairs = (pairs.filter(F.col("component") != F.col("other_component"))
-                      .filter(100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
-                      .select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        new = materialize(_verified(pairs, sketches, texts, width, percent, k), "verified")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = new if links is None else links.union(new)
-        if pairwise:
-            break
-        found = components(links)
-        state = materialize(
-            state.drop("component").join(found, state["doc"] == found["node"], "left")
-                 .withColumn("component", F.coalesce("component", "doc")).drop("node"), "state")
-    return reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0) if links is None else links
-
-
-def _pairwise(state: DataFrame) -> DataFrame:
-    other = state.select("value", F.col("doc").alias("other"), F.col("n").alias("other_n"),
-                         F.col("component").alias("other_component"))
-    return state.join(other, "value").filter("doc < other")
-
-
-def _with_leaders(state: DataFrame, turn: int) -> DataFrame:
-    """Members of each list beside its leader: the most central, then one drawn anew each turn."""
-    draw = F.col("weight") if turn == 0 else F.xxhash64("component", F.lit(turn))
-    lead = (state.groupBy("value")
-                 .agg(F.max(F.struct(draw.alias("_w"), "weight", "doc", "n", "component")).alias("_m"))
-                 .select("value", F.col("_m.doc").alias("other"), F.col("_m.n").alias("other_n"),
-                         F.col("_m.component").alias("other_component")))
-    return state.join(lead, "value")
+    # The leader of a list is its most central member.
+    lead = (lists.groupBy("value")
+                 .agg(F.max(F.struct("weight", "doc", "n")).alias("_m"), F.count(F.lit(1)).alias("_c"))
+                 .filter("_c > 1").select("value", F.col("_m.doc").alias("leader"), F.col("_m.n").alias("leader_n")))
+    led = materialize(lists.join(lead, "value").select("leader", "leader_n", "doc", "n").distinct(), "led")
+    alike = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
+    pairs = materialize(led.filter((F.col("doc") != F.col("leader")) & alike).select(
+        F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct(), "pairs")
+    links = materialize(_verified(pairs, reps.select("rep", "sketch"), texts, width, percent, k), "verified")
+    found = components(links)
+    members = (led.select("leader", "doc").join(found, F.col("doc") == found["node"], "left")
+                  .select("leader", "doc", F.coalesce("component", "doc").alias("component")))
+    return links.union(_cell_links(members, texts, width, percent))
+
+
+def _cell_links(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components within the cells (leader, doc, component), in blocks."""
+    still = (members.groupBy("leader")
+                    .agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+                    .filter("_lo < _hi AND _n > 2").select("leader"))  # a pair alone has been compared
+    cells = materialize(members.join(still, "leader").join(texts, F.col("doc") == F.col("doc_id"))
+                               .select("leader", "doc", "component", "packed"), "cells")
+    sizes = cells.groupBy("leader").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum(F.length("packed")) / BLOCK_BYTES)).alias("_blocks"))
+    own = cells.join(sizes, "leader").withColumn("_own", F.pmod(F.xxhash64("doc"), F.col("_blocks")))
+    met = own.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    groups = met.select("leader", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+                        (F.col("_own") <= F.col("_other")).alias("left"), "doc", "component", "packed")
+    return groups.groupBy("leader", "i", "j").applyInArrow(_block_links(width, percent), "a long, b long")
+
+
+def _block_links(width: int, percent: int):
+    """Two blocks of a cell (or one with itself): links that join components, from exact set sizes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
+        table = table.combine_chunks()
+        docs = table["doc"].to_numpy()
+        comp = table["component"].to_numpy()
+        texts = [unpack.decompress(x.as_py()) for x in table["packed"]]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        flat = np.frombuffer(b"".join(texts), np.uint8)
+        same = table["i"][0].as_py() == table["j"][0].as_py()
+        side = np.ones(len(docs), bool) if same else table["left"].to_numpy()
+        other = side if same else ~side
+        sets, begins = [], [np.zeros(1, np.int64)]
+        for lo, hi in slices(offsets):
+            s, begin = _sets(flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], width)
+            sets.append(s)
+            begins.append(begins[-1][-1] + begin[1:])
+        begin = np.concatenate(begins)
+        size = np.diff(begin)
+        common = _common(np.concatenate(sets), np.repeat(np.arange(len(docs)), size), side, other)
+        total = size[side][:, None] + size[other][None]
+        linked = (100 * common >= percent * (total - common)) & (comp[side][:, None] != comp[other][None])
+        x, y = np.nonzero(linked)
+        x, y = np.flatnonzero(side)[x], np.flatnonzero(other)[y]
+        # One link for each two components, and of those a spanning forest.
+        _, one = np.unique(np.stack([np.minimum(comp[x], comp[y]), np.maximum(comp[x], comp[y])]), axis=1,
+                           return_index=True)
+        root: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        a, b = [], []
+        for k in one:
+            p, q = top(int(comp[x[k]])), top(int(comp[y[k]]))
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                a.append(int(docs[x[k]]))
+                b.append(int(docs[y[k]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+#: Shingles that one matrix product takes at a time.
+COLUMNS = 8192
+
+
+def _common(values: np.ndarray, row: np.ndarray, side: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets (values, row) of ``side`` with those of ``other``."""
+    left, right = np.cumsum(side) - 1, np.cumsum(other) - 1
+    out = np.zeros((int(side.sum()), int(other.sum())), np.float32)
+    distinct, column, count = np.unique(values, return_inverse=True, return_counts=True)
+    shared = count > 1
+    at = (np.cumsum(shared) - 1)[column]
+    keep = shared[column]
+    at, row = at[keep], row[keep]
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(at, [lo, lo + COLUMNS])
+        c, r = at[a:b] - lo, row[a:b]
+        m, w = np.zeros((out.shape[0], COLUMNS), np.float32), np.zeros((out.shape[1], COLUMNS), np.float32)
+        m[left[r[side[r]]], c[side[r]]] = 1
+        w[right[r[other[r]]], c[other[r]]] = 1
+        out += m @ w.T
+    return np.rint(out).astype(np.int64)
 
 
 def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, width: int, percent: int,
