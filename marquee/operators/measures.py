@@ -196,14 +196,12 @@ def revenue_drill(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     ).orderBy("level", "year", "quarter_no", "month_no", "day")
 
 
-def ranked(report: DataFrame, by: str, *ties: str, position: str = "position") -> DataFrame:
-    """A report with the place of each row in its sort: ``by`` descending, then ``ties``.
+def ranked(report: DataFrame, *order: Column, position: str = "position") -> DataFrame:
+    """A report with the place of each row, from 1, in the sort by ``order``.
 
-    ``report`` has one row per member of a dimension.  Places are counted from
-    the sums that are strictly greater, over sorted ranges, so that no task
+    The rows are sorted by ranges and numbered by range and place, so no task
     sees more than its range and one row for each other range.
     """
-    order = [F.desc_nulls_last(by), *[F.asc(t) for t in ties]]
     rows = report.repartitionByRange(*order).sortWithinPartitions(*order)
     rows = _kept(rows.withColumn("_at", F.monotonically_increasing_id()), "ranked")
     part = F.shiftright("_at", 33)

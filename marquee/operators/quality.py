@@ -136,6 +136,18 @@ def star_summary(marts: dict[str, DataFrame], stg: DataFrame, as_of: str) -> Dat
     return out
 
 
+def staging_summary(stg: DataFrame) -> DataFrame:
+    """Checks of the staged rows alone; they gate the marts."""
+    return (row_check_counts(stg, {
+        "not_null_stg_revenues_id": F.col("id").isNull(),
+        "not_null_stg_revenues_revenue_date": F.col("revenue_date").isNull(),
+        "not_null_stg_revenues_title": F.col("title").isNull(),
+        "not_negative_stg_revenues_revenue": F.col("revenue") < 0})
+        .unionByName(summary({
+            "unique_stg_revenues_id": unique(stg, "id"),
+            "unique_combination_stg_revenues": unique_combination(stg, ["revenue_date", "title", "distributor"])})))
+
+
 def gate(summary_df: DataFrame) -> DataFrame:
     """Raise if any check failed; otherwise return the summary unchanged.
 

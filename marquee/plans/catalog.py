@@ -233,6 +233,7 @@ def q_log_batch_append(spark, sf_dir):
     """Log rows shipped as JSON arrays of 50 and unpacked."""
     from ..sources import json_docs
     log = S.call_log(spark, sf_dir).drop("value")
+    log = log.unionByName(log)  # delivered twice, counted once
     return json_docs.unpack_log_batches(json_docs.pack_log_batches(log))
 
 
@@ -372,7 +373,11 @@ def q_json_partition_roundtrip(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import json_docs
     root = scratch_path(spark, "omdb")
-    json_docs.write_documents(S.doc_envelopes(spark, sf_dir, star(spark, sf_dir)["stg_revenues"]), root)
+    docs = S.doc_envelopes(spark, sf_dir, star(spark, sf_dir)["stg_revenues"])
+    even = F.dayofmonth("fetched_at") % 2 == 0
+    json_docs.write_documents(docs.where(even), root)
+    json_docs.read_documents(spark, root).count()  # the listing is known now
+    json_docs.write_documents(docs.where(~even), root)
     json_docs.refresh_cache(spark, root)
     return staging.stg_docs(staging.docs_table(json_docs.read_documents(spark, root)))
 
@@ -393,28 +398,207 @@ def q_marts_table_roundtrip(spark, sf_dir):
 
 @query("incremental_ingest")
 def q_incremental_ingest(spark, sf_dir):
-    """Drops streamed in once each, a re-delivery resolved latest-wins."""
+    """Drops streamed in once each, a changed re-delivery resolved latest-wins."""
     from ..session import scratch_path
-    from ..sources import csv_drops
     from ..streaming import ingest
     root = scratch_path(spark, "ingest")
     inbox, raw, ckpt = f"{root}/inbox", f"{root}/raw", f"{root}/_checkpoint"
-    o = _orders(spark, sf_dir)
-    year = F.year("o_orderdate")
-    drops = {"drop1": o.where(year <= 1996), "drop2": o.where(year.between(1997, 1998)),
-             "drop3": o.where(year >= 1999)}
-
-    def deliver(name, df):
-        (df.write.mode("overwrite").option("header", True).option("compression", "gzip")
-         .csv(f"{inbox}/{name}"))
-
-    deliver("drop1", drops["drop1"])
-    deliver("drop2", drops["drop2"])
+    drops = _drops(spark, sf_dir)
+    _deliver(drops[0], f"{inbox}/drop1")
+    _deliver(drops[1], f"{inbox}/drop2")
     ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)
-    deliver("drop3", drops["drop3"])
+    _deliver(drops[2], f"{inbox}/drop3")
     ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)
     ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)  # nothing new
-    deliver("drop3_redelivered", drops["drop3"])
+    changed = drops[2].withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1})
+    _deliver(changed, f"{inbox}/drop3_corrected")
     ingest.ingest_available(spark, inbox, raw, ckpt, ORDERS_COLUMNS)
     payload = [n for n in ORDER_NAMES if n != "o_orderkey"]
     return ingest.latest_rows(ingest.read_raw(spark, raw), "o_orderkey", payload).select(*ORDER_NAMES)
+
+
+def _drops(spark, sf_dir) -> list[DataFrame]:
+    """The orders in three parts by year."""
+    o, year = _orders(spark, sf_dir), F.year("o_orderdate")
+    return [o.where(year <= 1995), o.where(year.between(1996, 1997)), o.where(year >= 1998)]
+
+
+def _deliver(df: DataFrame, folder: str) -> None:
+    df.write.option("header", True).option("compression", "gzip").csv(folder)
+
+
+@query("ingest_restart")
+def q_ingest_restart(spark, sf_dir):
+    """A stream with a fresh checkpoint loses nothing and loads nothing twice."""
+    from ..session import scratch_path
+    from ..streaming import ingest
+    root = scratch_path(spark, "restart")
+    inbox, raw = f"{root}/inbox", f"{root}/raw"
+    drops = _drops(spark, sf_dir)
+    _deliver(drops[0], f"{inbox}/drop 1")
+    ingest.ingest_available(spark, inbox, raw, f"{root}/one", ORDERS_COLUMNS)
+    _deliver(drops[1], f"{inbox}/drop%202")
+    ingest.ingest_available(spark, inbox, raw, f"{root}/two", ORDERS_COLUMNS)
+    _deliver(drops[2], f"{inbox}/drop3")
+    ingest.ingest_available(spark, inbox, raw, f"{root}/one", ORDERS_COLUMNS,
+                            archive_dir=f"{root}/archive", run_date=S.AS_OF)
+    return ingest.read_raw(spark, raw).select(*ORDER_NAMES)
+
+
+@query("pickup_once")
+def q_pickup_once(spark, sf_dir):
+    """The oldest pending drop at a time, whatever its name, each once; loads are stamped."""
+    from ..session import scratch_path
+    from ..sources import csv_drops
+    root = scratch_path(spark, "pickup")
+    inbox, raw = f"{root}/inbox", f"{root}/raw"
+    for df, name in zip(_drops(spark, sf_dir), ("a b", "c%20d", "\u00e9 [1]")):
+        _deliver(df.repartition(2, "o_orderkey"), f"{inbox}/{name}")
+    loaded = 0
+    while csv_drops.pickup_oldest(spark, inbox, raw, ORDERS_COLUMNS, loaded_at=S.AS_OF_TS,
+                                  archive_dir=f"{root}/archive" if loaded % 2 else None, run_date=S.AS_OF):
+        loaded += 1
+    return spark.read.parquet(raw).select(*ORDER_NAMES, F.col("_loaded_at").alias("loaded_at"))
+
+
+@query("documents_once")
+def q_documents_once(spark, sf_dir):
+    """Documents written twice, the second time corrected; one per record stays."""
+    from ..session import scratch_path
+    from ..sources import json_docs
+    root = scratch_path(spark, "documents")
+    docs = S.doc_envelopes(spark, sf_dir, star(spark, sf_dir)["stg_revenues"])
+    docs = docs.withColumn("record", F.get_json_object("doc_json", "$.imdbID"))
+    stale = docs.withColumn("doc_json", F.regexp_replace("doc_json", "ensemble", "cast"))
+    json_docs.write_documents(stale, root, key="record")
+    json_docs.write_documents(docs, root, key="record")
+    json_docs.write_documents(docs, root, key="record")
+    return staging.stg_docs(staging.docs_table(json_docs.read_documents(spark, root)))
+
+
+@query("log_stream")
+def q_log_stream(spark, sf_dir):
+    """Batch files of the call log streamed into its table, each once."""
+    from ..session import scratch_path
+    from ..sources import json_docs
+    from ..streaming import ingest
+    root = scratch_path(spark, "log")
+    batches = json_docs.pack_log_batches(S.call_log(spark, sf_dir).drop("value"))
+    half = F.col("block") % 2 == 0
+    for part, rows in (("one", batches.where(half)), ("two", batches.where(~half))):
+        rows.select("batch").write.text(f"{root}/inbox/{part}")
+        ingest.ingest_log_batches(spark, f"{root}/inbox", f"{root}/log", f"{root}/_checkpoint", suffix=".txt")
+    ingest.ingest_log_batches(spark, f"{root}/inbox", f"{root}/log", f"{root}/_checkpoint", suffix=".txt")
+    return ingest.read_raw(spark, f"{root}/log").select(*json_docs.log_columns(json_docs.LOG_ROW_DDL))
+
+
+# --- report order, formats, filters ------------------------------------------------------
+
+@query("distributor_ranking")
+def q_distributor_ranking(spark, sf_dir):
+    """the distributor chart with each bar's place."""
+    report = measures.revenue_by_distributor(star(spark, sf_dir)["dim_distributor"])
+    return measures.ranked(report, F.desc_nulls_last("lifetime_revenue"), F.asc("distributor_name"))
+
+
+@query("months_in_order")
+def q_months_in_order(spark, sf_dir):
+    """month labels in the order of their numbers."""
+    from ..functions import dates as D
+    fact = star(spark, sf_dir)["fact_daily_revenue"]
+    months = fact.groupBy(F.month("revenue_date").alias("month_no")).agg(F.sum("revenue").alias("revenue"))
+    return measures.ranked(months.select(D.month_full_name("month_no").alias("month"), "month_no", "revenue"),
+                           F.asc("month_no"))
+
+
+@query("kpi_text")
+def q_kpi_text(spark, sf_dir):
+    """The KPI row as the cards display it."""
+    s = star(spark, sf_dir)
+    return measures.kpi_cards_text(measures.kpi_cards(s["fact_daily_revenue"], s["dim_movie"]))
+
+
+SPINE = ("1992-01-01", "2018-01-01")
+
+
+@query("calendar_spine")
+def q_calendar_spine(spark, sf_dir):
+    """A dense calendar of 9,497 days with the revenue of each."""
+    days = marts.dim_date(spark, *SPINE)
+    per_day = star(spark, sf_dir)["fact_daily_revenue"].groupBy("date_key").agg(F.sum("revenue").alias("revenue"))
+    return days.select("date_key", "day_name", "is_weekend").join(per_day, "date_key", "left")
+
+
+FILTER_YEARS = (1992, 1993)
+
+
+@query("filtered_film_table")
+def q_filtered_film_table(spark, sf_dir):
+    """Page filters on release year, distributor and title together."""
+    s = star(spark, sf_dir)
+    movies = measures.filter_movies(s["dim_movie"], release_year=list(FILTER_YEARS))
+    movies = movies.where(F.col("lookup_title").contains("#1"))
+    picked = s["dim_distributor"].where(F.col("distributor_name") <= "Supplier#000000050")
+    fact = measures.restrict_fact(s["fact_daily_revenue"], movies=movies, distributors=picked)
+    return measures.film_table(fact, movies)
+
+
+@query("distributors_of_director")
+def q_distributors_of_director(spark, sf_dir):
+    """A filter on films narrows the distributors, through the fact, in both directions."""
+    s = star(spark, sf_dir)
+    movies = measures.filter_movies(s["dim_movie"], genres=FILTER_GENRE, director=list(FILTER_DIRECTORS))
+    fact = measures.restrict_fact(s["fact_daily_revenue"], movies=movies).where(F.col("theaters") > 48)
+    left = measures.cross_filter_dim(s["dim_distributor"], "distributor_key", fact, "distributor_key")
+    return left.select("distributor_name", "films_distributed_n")
+
+
+@query("cross_filter_pairs")
+def q_cross_filter_pairs(spark, sf_dir):
+    """A value picked in one visual filters the others (seven source and target pairs)."""
+    s = star(spark, sf_dir)
+    fact, movies, dists = s["fact_daily_revenue"], s["dim_movie"], s["dim_distributor"]
+    film = movies.where(F.col("imdb_id") == "tt0000007")
+    picks = {
+        "director": measures.restrict_fact(fact, movies=measures.filter_movies(movies, director=FILTER_DIRECTORS[0])),
+        "distributor": measures.restrict_fact(
+            fact, distributors=dists.where(F.col("distributor_name") == SELECTED_DISTRIBUTOR)),
+        "film": measures.restrict_fact(fact, movies=film),
+        "month": measures.restrict_fact(fact, calendar=s["dim_date"].where("year = 1995 AND month = 3")),
+    }
+
+    def chart(source: str, target: str) -> DataFrame:
+        rows = picks[source]
+        if target == "director":
+            out = measures.revenue_by_director(rows, movies).select(F.col("director").alias("label"), "revenue")
+        elif target == "film":
+            out = measures.film_table(rows, movies).groupBy(F.col("title").alias("label")).agg(
+                F.sum("revenue").alias("revenue"))
+        elif target == "distributor":
+            out = measures.cross_filter_dim(dists, "distributor_key", rows, "distributor_key").select(
+                F.col("distributor_name").alias("label"), F.col("lifetime_revenue").alias("revenue"))
+        else:
+            out = rows.groupBy(F.date_format("revenue_date", "yyyy-MM").alias("label")).agg(
+                F.sum("revenue").alias("revenue"))
+        return out.select(F.lit(source).alias("source"), F.lit(target).alias("target"), "label",
+                          F.col("revenue").cast("bigint").alias("revenue"))
+
+    out = None
+    for pair in PAIRS:
+        one = chart(*pair)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+#: (picked in, filtered) visuals.
+PAIRS = (("director", "film"), ("director", "distributor"), ("director", "month"), ("distributor", "film"),
+         ("distributor", "director"), ("film", "month"), ("month", "director"))
+
+
+# --- gated build ---------------------------------------------------------------------------
+
+@query("staging_gate")
+def q_staging_gate(spark, sf_dir):
+    """The staging checks that must pass before any mart is built."""
+    from ..operators import quality
+    return quality.staging_summary(star(spark, sf_dir)["stg_revenues"])

@@ -10,8 +10,8 @@
   the HTTP calls themselves are outside Spark) are classified, found /
   not-found bodies are wrapped and written to the day-partitioned cache, and
   every call is appended to the call log.
-* ``build``: staging, the four marts and the checks, written below
-  ``out_root``; a failed check raises (``gate``).
+* ``build``: staging and its checks, the four marts and theirs, written to a
+  new version below ``out_root`` that is published only if all checks pass.
 
 Every step is a Spark job over whole inputs; only scalars reach the driver
 (the quota cap, failed check names).
@@ -19,6 +19,8 @@ Every step is a Spark job over whole inputs; only scalars reach the driver
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from ..functions import json as J
 from ..functions import keys as K
 from ..functions import outcome as O
 from ..operators import marts, quality, queue, staging
+from ..session import write_text
 from ..sources import json_docs
 from ..streaming import ingest
 
@@ -71,15 +74,24 @@ def record_calls(spark: SparkSession, responses: DataFrame, docs_root: str, log_
         F.struct(F.col("lookup_title").alias("title"), F.col("lookup_year").alias("year")).alias("_lookup"),
         F.col("outcome").alias("_status"),
         F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("_fetched_at")))
+    body = J.parse("body")
     docs = (r.where(F.col("outcome").isin(*DOC_STATUSES) & F.col("write_ok"))
-            .select(J.merge_objects(envelope, "body").alias("doc_json"), ts.alias("fetched_at")))
-    json_docs.write_documents(docs, docs_root)
+            .select(J.merge_objects(envelope, "body").alias("doc_json"), ts.alias("fetched_at"),
+                    K.record_id(J.vget(body, "$.imdbID"), "lookup_title", "lookup_year").alias("record")))
+    json_docs.write_documents(docs, docs_root, key="record")
     final_outcome, final_message = O.remap_failed_write("outcome", "message", "write_ok", "write_error")
-    log = r.select(F.col("lookup_title"), F.col("lookup_year"), ts.alias("call_at"),
-                   final_outcome.alias("outcome"), F.col("status").alias("http_status"),
-                   final_message.alias("error_message"))
-    log.write.mode("append").parquet(log_root)
-    return log
+    calls = r.select("lookup_title", "lookup_year", final_outcome.alias("outcome"),
+                     F.col("status").alias("http_status"), final_message.alias("error_message"))
+    # Batches of bounded size: calls are numbered by a hash of their lookup.
+    numbered = calls.withColumn("call_at", ts).withColumn(
+        "call_no", F.xxhash64("lookup_title", "lookup_year", "outcome", "http_status", "error_message"))
+    batches = json_docs.pack_log_batches(numbered, seq="call_no", ddl=json_docs.CALL_ROW_DDL)
+    log = (json_docs.unpack_log_batches(batches, ddl=json_docs.CALL_ROW_DDL)
+           .select("lookup_title", "lookup_year", ts.alias("call_at"), "outcome", "http_status", "error_message"))
+    # One folder for each run: a run that is repeated rewrites its own rows.
+    run = f"{log_root}/run={fetched_at.replace(':', '').replace(' ', 'T')}"
+    log.write.mode("overwrite").parquet(run)
+    return spark.read.parquet(run)
 
 
 def record_ids(docs: DataFrame) -> DataFrame:
@@ -91,14 +103,25 @@ def record_ids(docs: DataFrame) -> DataFrame:
 def build(spark: SparkSession, raw_root: str, docs_root: str, out_root: str, as_of: str,
           calendar: tuple[str, str] = (D.DEFAULT_SPINE_START, D.DEFAULT_SPINE_END),
           gate: bool = True) -> dict[str, DataFrame]:
-    """Staging, marts and checks over the raw table and the document cache."""
+    """Staging, marts and checks over the raw table and the document cache, then publish.
+
+    Everything is written into a new version folder.  Failed staging checks
+    stop the marts; failed mart checks stop the publication.  Only then does
+    ``out_root/_current`` name the new version: whoever reads through
+    ``published`` sees the old one until that moment, and after a failure.
+    """
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    root = f"{out_root}/{version}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        return marts.materialize(spark, {name: df}, out_root)[name]
+        return marts.materialize(spark, {name: df}, root)[name]
 
     stg = write("stg_revenues", staging.stg_revenues(ingest.read_raw(spark, raw_root)))
     docs = write("stg_docs", staging.stg_docs(
         staging.docs_table(json_docs.read_documents(spark, docs_root))))
+    first = write("checks_staging", quality.staging_summary(stg))
+    if gate:
+        quality.gate(first)
     cal = write("dim_date", marts.dim_date(spark, *calendar))
     movies = write("dim_movie", marts.dim_movie(stg, docs))
     dists = write("dim_distributor", marts.dim_distributor(stg))
@@ -109,4 +132,11 @@ def build(spark: SparkSession, raw_root: str, docs_root: str, out_root: str, as_
     out["checks"] = checks
     if gate:
         quality.gate(checks)
+    write_text(spark, f"{out_root}/_current", version)
     return out
+
+
+def published(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """A table of the version that the last successful build published."""
+    version = spark.read.text(f"{out_root}/_current").first()[0]
+    return spark.read.parquet(f"{out_root}/{version}/{name}")

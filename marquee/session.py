@@ -73,6 +73,37 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, asked of its own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def move_file(spark: SparkSession, path: str, folder: str) -> str:
+    """Move a file into ``folder`` (made if needed); returns where it is now."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, into = hadoop.Path(path), hadoop.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(into)
+    target = hadoop.Path(into, at.getName())
+    if not fs.rename(at, target):
+        raise OSError(f"could not move {path} to {folder}")
+    return target.toString()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: written beside it, then renamed over it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, new = hadoop.Path(path), hadoop.Path(path + ".new")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(new, at):
+        raise OSError(f"could not write {path}")
+
+
 def app_id(spark: SparkSession) -> str:
     """The application id (works with and without a local SparkContext)."""
     try:

@@ -4,7 +4,8 @@ Reading
 -------
 Every column is read as text with an explicit positional schema (no
 inference pass over the data), ``mode=FAILFAST`` so a malformed line aborts
-the read, and the source file of every row comes from ``_metadata``.  The
+the read (a line feed inside quotes counts as one: drops have one record a
+line, which lets plain files be split), and the source file of every row comes from ``_metadata``.  The
 two NULL markers ('' and '-') are applied after the read because the CSV
 reader accepts only one ``nullValue``.  Casting happens with ANSI casts,
 so one bad number fails the whole load and nothing is appended (the write
@@ -17,13 +18,16 @@ drop layout (one file per quarter); uncompressed drops split by
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
+from ..session import move_file, path_exists
 
 # The revenue drop layout (positional columns and their types).
 REVENUE_DROP_COLUMNS = (
@@ -40,7 +44,8 @@ def text_schema(columns: Sequence[tuple[str, str]]) -> T.StructType:
 
 def csv_reader(spark: SparkSession):
     return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("mode", "FAILFAST").option("nullValue", None).option("emptyValue", ""))
+            .option("mode", "FAILFAST").option("nullValue", None).option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def typed(df: DataFrame, columns: Sequence[tuple[str, str]],
@@ -97,31 +102,37 @@ def load_file(spark: SparkSession, file: str, target: str,
 
 
 def list_drops(spark: SparkSession, inbox: str, suffix: str = DROP_SUFFIX) -> DataFrame:
-    """Paths of pending drops (metadata only - file contents are not read)."""
+    """Drops in the inbox: ``path`` to read and ``uri`` as rows carry it (metadata only).
+
+    Rows name their file by ``_metadata.file_path``, which encodes blanks,
+    ``%`` and non-ASCII letters; the manifest compares that form.
+    """
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*" + suffix)
-            .option("recursiveFileLookup", True).load(inbox).select("path"))
+            .option("recursiveFileLookup", True).load(inbox)
+            .select("path", F.col("_metadata.file_path").alias("uri")))
 
 
 def pending(spark: SparkSession, inbox: str, loaded_files: DataFrame | None = None,
             suffix: str = DROP_SUFFIX) -> DataFrame:
-    """Drops not loaded yet (anti join against the manifest of loaded paths)."""
+    """Drops not loaded yet (anti join against the manifest of loaded files)."""
     files = list_drops(spark, inbox, suffix)
     if loaded_files is None:
         return files
-    return files.join(loaded_files.select(F.col("_source_file").alias("path")).distinct(),
-                      "path", "left_anti")
+    return files.join(loaded_files.select(F.col("_source_file").alias("uri")).distinct(),
+                      "uri", "left_anti")
 
 
 def oldest_pending(spark: SparkSession, inbox: str, loaded_files: DataFrame | None = None,
                    suffix: str = DROP_SUFFIX) -> str | None:
-    """Lexicographically smallest pending path, or None when the inbox is empty."""
-    try:
-        row = pending(spark, inbox, loaded_files, suffix).agg(F.min("path").alias("p")).first()
-    except Exception as ex:  # an inbox folder that does not exist yet is empty
-        if "PATH_NOT_FOUND" in str(ex) or "does not exist" in str(ex):
-            return None
-        raise
-    return row["p"] if row else None
+    """Lexicographically smallest pending path, or None when the inbox is empty or not there."""
+    if not path_exists(spark, inbox):
+        return None
+    return pending(spark, inbox, loaded_files, suffix).agg(F.min("path").alias("p")).first()["p"]
+
+
+def literal_path(path: str) -> str:
+    """A path in which nothing is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def export_drops(df: DataFrame, path: str, partition_by: Sequence[str],
@@ -141,20 +152,27 @@ def export_drops(df: DataFrame, path: str, partition_by: Sequence[str],
 
 def pickup_oldest(spark: SparkSession, inbox: str, raw_root: str,
                   columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS,
-                  loaded_at: str | None = None) -> dict | None:
+                  loaded_at: str | None = None, archive_dir: str | None = None,
+                  run_date: str | None = None) -> dict | None:
     """Load the oldest drop not loaded yet; None when nothing is pending.
 
     The manifest of loaded files is the raw table's own ``_source_file``
     column (an anti join), so a file is never loaded twice even if it stays
-    in the inbox.  Returns {"file": path, "rows_loaded": n}.
+    in the inbox.  With ``archive_dir`` the loaded file moves to its folder
+    ``run_date=<run_date>``.  Returns {"file", "rows_loaded", "archived"}.
     """
-    try:
-        loaded = spark.read.parquet(raw_root).select("_source_file")
-    except Exception as ex:  # no raw table yet: nothing loaded
-        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-            raise
-        loaded = None
+    loaded = spark.read.parquet(raw_root).select("_source_file") if path_exists(spark, raw_root) else None
     path = oldest_pending(spark, inbox, loaded)
     if path is None:
         return None
-    return {"file": path, "rows_loaded": load_file(spark, path, raw_root, columns, loaded_at)}
+    rows = load_file(spark, literal_path(path), raw_root, columns, loaded_at)
+    archived = None
+    if archive_dir:
+        archived = move_file(spark, path, archive_folder(archive_dir, run_date))
+    return {"file": path, "rows_loaded": rows, "archived": archived}
+
+
+def archive_folder(archive_dir: str, run_date: str | None) -> str:
+    """The archive's folder of a run (by default the run of today, UTC)."""
+    day = run_date or datetime.now(timezone.utc).date().isoformat()
+    return f"{archive_dir}/run_date={day}"

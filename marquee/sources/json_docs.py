@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json as J
+from ..session import path_exists, scratch_path
 
 # Rows per log batch, and the log row layout.
 LOG_BATCH_ROWS = 50
 LOG_ROW_DDL = ("event_id bigint, call_at timestamp_ntz, lookup_key bigint, outcome string, "
                "http_status int, error_message string")
+# The pipeline's own call log.
+CALL_ROW_DDL = ("lookup_title string, lookup_year int, outcome string, http_status int, "
+                "error_message string")
 
 
 def day_partitions(ts: str) -> list:
@@ -29,16 +33,50 @@ def day_partitions(ts: str) -> list:
 
 
 def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
-                    fetched_at: str = "fetched_at", mode: str = "append") -> None:
-    """Append documents as JSON lines below ``path/yyyy=/mm=/dd=``.
+                    fetched_at: str = "fetched_at", key: str | None = None) -> None:
+    """Write documents as JSON lines below ``path/yyyy=/mm=/dd=``.
 
     Rows are rebalanced by day before the write: small days become one file
     each, and a day larger than the advisory partition size is split over as
     many tasks as its bytes ask for.
+
+    With ``key`` (a column that names the record) a day holds one document per
+    record, the latest: the touched days are merged with what they hold (the
+    key is stored in the line's ``_record`` field) and rewritten as a whole,
+    so a repeated run leaves the cache as it was.  Without it, rows are
+    appended.
     """
-    (docs.select(F.col(json_col).alias("value"), *day_partitions(fetched_at))
-     .hint("rebalance", "yyyy", "mm", "dd")
-     .write.mode(mode).partitionBy("yyyy", "mm", "dd").text(path))
+    spark = docs.sparkSession
+    days = ("yyyy", "mm", "dd")
+    if key is None:
+        (docs.select(F.col(json_col).alias("value"), *day_partitions(fetched_at))
+             .hint("rebalance", *days).write.mode("append").partitionBy(*days).text(path))
+        return
+    tagged = J.merge_objects(F.col(json_col), F.to_json(F.struct(F.col(key).alias("_record"))))
+    new = docs.select(F.col(key).alias("record"), tagged.alias("value"), F.col(fetched_at).alias("at"),
+                      F.lit(1).alias("run"), *day_partitions(fetched_at))
+    rows = new
+    held = spark.read.text(path) if path_exists(spark, path) else new
+    if held.columns == ["value", *days]:  # else there is nothing yet
+        old = _days_as_text(held).join(new.select(*days).distinct(), list(days), "left_semi")
+        v = J.parse("value")
+        rows = new.unionByName(old.select(
+            J.vget(v, "$._record").alias("record"), "value", F.lit(None).cast(new.schema["at"].dataType).alias("at"),
+            F.lit(0).alias("run"), *days))
+    # Lines without a record (appended ones) are kept as they are.
+    kept = F.coalesce(F.col("record"), F.concat(F.lit("\n"), F.sha2("value", 256)))
+    latest = (rows.withColumn("record", kept).groupBy("record", *days)
+                  .agg(F.max(F.struct("run", "at", "value")).alias("r")))
+    merged = scratch_path(spark, "documents")
+    latest.select(F.col("r.value").alias("value"), *days).write.parquet(merged)
+    (spark.read.parquet(merged).hint("rebalance", *days).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(*days).text(path))
+
+
+def _days_as_text(df: DataFrame) -> DataFrame:
+    """Day folders as the text they are written as (a reader may take them for numbers)."""
+    return df.withColumns({"yyyy": F.col("yyyy").cast("string"),
+                           **{c: F.lpad(F.col(c).cast("string"), 2, "0") for c in ("mm", "dd")}})
 
 
 def read_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
@@ -58,19 +96,24 @@ def refresh_cache(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def log_columns(ddl: str) -> list[str]:
+    return [c.strip().split(" ")[0] for c in ddl.split(",")]
+
+
 def pack_log_batches(log: DataFrame, ts: str = "call_at", seq: str = "event_id",
-                     rows: int = LOG_BATCH_ROWS) -> DataFrame:
-    """Log rows -> JSON array texts of at most ``rows`` rows (per day and id block)."""
-    cols = [c.strip().split(" ")[0] for c in LOG_ROW_DDL.split(",")]
-    return (log.groupBy(F.to_date(ts).alias("day"),
-                        F.floor(F.col(seq) / rows).alias("block"))
-            .agg(J.pack_json_array(*cols).alias("batch")))
+                     rows: int = LOG_BATCH_ROWS, ddl: str = LOG_ROW_DDL) -> DataFrame:
+    """Log rows -> JSON array texts of at most ``rows`` rows (per day and id block).
+
+    Repeated rows of one ``seq`` (a re-delivered log) count once.
+    """
+    return (log.dropDuplicates([seq]).groupBy(F.to_date(ts).alias("day"), F.floor(F.col(seq) / rows).alias("block"))
+            .agg(J.pack_json_array(*log_columns(ddl)).alias("batch")))
 
 
-def unpack_log_batches(batches: DataFrame, batch: str = "batch") -> DataFrame:
-    return batches.select(F.inline(J.unpack_json_array(batch, LOG_ROW_DDL)))
+def unpack_log_batches(batches: DataFrame, batch: str = "batch", ddl: str = LOG_ROW_DDL) -> DataFrame:
+    return batches.select(F.inline(J.unpack_json_array(batch, ddl)))
 
 
-def append_log_batches(batches: DataFrame, target: str) -> None:
+def append_log_batches(batches: DataFrame, target: str, ddl: str = LOG_ROW_DDL) -> None:
     """Append unpacked log rows to the log table (parquet folder)."""
-    unpack_log_batches(batches).write.mode("append").parquet(target)
+    unpack_log_batches(batches, ddl=ddl).write.mode("append").parquet(target)

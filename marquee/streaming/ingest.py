@@ -1,13 +1,13 @@
 """Incremental, exactly-once ingestion of CSV drops with Structured Streaming.
 
 * The file source remembers every file it has read in the query checkpoint,
-  so a re-run picks up only new files (load-once per file), and
-  ``cleanSource=archive`` moves processed files out of the inbox.
+  so a re-run picks up only new files (load-once per file); files of a run are
+  archived by run date once their rows are written.
 * ``trigger(availableNow=True)`` processes everything pending and stops, the
   streaming form of "run the pickup now".
-* Each micro-batch is written by ``foreachBatch`` into its own folder
-  ``_batch=<id>`` with mode overwrite: a batch replayed after a failure
-  rewrites the same folder instead of appending twice.
+* Each micro-batch is written by ``foreachBatch`` into its own folder of its
+  own stream with mode overwrite: a batch replayed after a failure rewrites
+  the same folder instead of appending twice.
 * Late re-deliveries (same id in a newer file) are resolved on read by the
   latest-wins de-duplication over the append-only raw table.
 * The checkpoint lives below the cluster's shared checkpoint folder.
@@ -21,19 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import dedupe_latest
+from ..session import move_file, path_exists
 from ..sources import csv_drops
 
 
 def drop_stream(spark: SparkSession, inbox: str,
                 columns: Sequence[tuple[str, str]] = csv_drops.REVENUE_DROP_COLUMNS,
-                archive_dir: str | None = None, max_files_per_trigger: int | None = None,
+                max_files_per_trigger: int | None = None,
                 suffix: str = csv_drops.DROP_SUFFIX) -> DataFrame:
     r = (spark.readStream.schema(csv_drops.text_schema(columns))
          .option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .option("mode", "FAILFAST").option("pathGlobFilter", "*" + suffix)
          .option("recursiveFileLookup", True))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.csv(inbox).select(*[n for n, _ in columns],
@@ -42,27 +42,54 @@ def drop_stream(spark: SparkSession, inbox: str,
     return csv_drops.typed(raw, columns, required=required)
 
 
-def _batch_writer(target: str):
+def _batch_writer(spark: SparkSession, target: str, checkpoint: str, written: list[str]):
+    """The function that writes a micro-batch and notes its folder.
+
+    A batch is written to ``source=<id>/batch=<n>``, the id being that of the
+    stream, which its checkpoint keeps: a replayed batch rewrites its own
+    folder, and a stream with a fresh checkpoint cannot touch the folders of
+    another.  Files that another stream has loaded are left out, by the same
+    manifest as the batch pickup (the table's ``_source_file``).
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
+        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        folder = f"{target}/source={stream}/batch={batch_id}"
+        if "_source_file" in batch.columns and path_exists(spark, target):
+            others = (spark.read.option("basePath", target).parquet(target)
+                           .where(F.col("source") != stream).select("_source_file").distinct())
+            batch = batch.join(others, "_source_file", "left_anti")
         (batch.withColumn("_loaded_at", F.localtimestamp())
-         .withColumn("_batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{target}/batch={batch_id}"))
+              .withColumn("_batch_id", F.lit(batch_id).cast("long"))
+              .write.mode("overwrite").parquet(folder))
+        written.append(folder)
     return write
 
 
+def _run_to_end(rows: DataFrame, target: str, checkpoint: str) -> list[str]:
+    """Run everything pending; returns the folders of the micro-batches written."""
+    written: list[str] = []
+    q = (rows.writeStream.foreachBatch(_batch_writer(rows.sparkSession, target, checkpoint, written))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return written
+
+
 def ingest_available(spark: SparkSession, inbox: str, target: str, checkpoint: str,
                      columns: Sequence[tuple[str, str]] = csv_drops.REVENUE_DROP_COLUMNS,
-                     archive_dir: str | None = None, suffix: str = csv_drops.DROP_SUFFIX) -> int:
-    """Load every drop not loaded before; returns the number of micro-batches run."""
-    q = (drop_stream(spark, inbox, columns, archive_dir, suffix=suffix).writeStream
-         .foreachBatch(_batch_writer(target))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
-        raise q.exception()
-    return sum(1 for p in q.recentProgress if p["numInputRows"] > 0)
+                     archive_dir: str | None = None, suffix: str = csv_drops.DROP_SUFFIX,
+                     run_date: str | None = None) -> int:
+    """Load every drop not loaded before; returns the number of micro-batches run.
+
+    With ``archive_dir`` the files that this run loaded rows from then move
+    from the inbox to the archive's folder ``run_date=<run_date>``.
+    """
+    folders = _run_to_end(drop_stream(spark, inbox, columns, suffix=suffix), target, checkpoint)
+    if archive_dir and folders:
+        done = spark.read.parquet(*folders).select(F.col("_source_file").alias("uri")).distinct()
+        # As many rows as files in this run, which the stream has listed on the driver already.
+        for row in csv_drops.list_drops(spark, inbox, suffix).join(done, "uri").collect():
+            move_file(spark, row["path"], csv_drops.archive_folder(archive_dir, run_date))
+    return len(folders)
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:
@@ -91,17 +118,15 @@ def latest_rows(raw: DataFrame, key: str | Sequence[str], payload: Sequence[str]
 
 
 def ingest_log_batches(spark: SparkSession, inbox: str, target: str, checkpoint: str,
-                       suffix: str = ".json") -> int:
+                       suffix: str = ".json", ddl: str | None = None) -> int:
     """Append call-log batch files (one JSON array per line) exactly once each.
 
     Every micro-batch unpacks its arrays with ``from_json`` + ``inline`` and
-    is written into its own ``batch=<id>`` folder of the log table.
+    is written into its own folder of the log table.
     """
     from ..sources import json_docs
     stream = (spark.readStream.option("pathGlobFilter", "*" + suffix)
               .option("recursiveFileLookup", True).text(inbox))
-    rows = json_docs.unpack_log_batches(stream.withColumnRenamed("value", "batch"))
-    q = (rows.writeStream.foreachBatch(_batch_writer(target))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p["numInputRows"] > 0)
+    rows = json_docs.unpack_log_batches(stream.withColumnRenamed("value", "batch"),
+                                        ddl=ddl or json_docs.LOG_ROW_DDL)
+    return len(_run_to_end(rows, target, checkpoint))

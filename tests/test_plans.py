@@ -40,10 +40,36 @@ def test_report_reads_only_needed_mart_columns(spark):
 def test_latency_profile_ranks_only_the_bracket(spark):
     p = plan(E.queries()["step_profile"](spark, SF))
     assert "percentile_approx" in p
-    # ranking happens only per (step, bracket); the other window runs over
-    # the per-step statistics (one row per step) for the share denominator
-    ranks = [ln for ln in p.splitlines() if ln.startswith("Arguments:") and "row_number()" in ln]
-    assert ranks and all("windowspecdefinition(step" in ln and "which" in ln for ln in ranks)
+    # counts by value are cumulated per (step, bracket), after an aggregate; the other
+    # window runs over one row per step for the share denominator
+    assert "row_number()" not in p
+    sums = [ln for ln in p.splitlines() if ln.startswith("Arguments:") and "windowspecdefinition(step" in ln]
+    assert sums and all("which" in ln and "sum(c" in ln for ln in sums)
+
+
+def test_plans_do_not_depend_on_the_size_of_the_input(spark, tmp_path):
+    """A table of one row and a table of many files get the same operators."""
+    import re
+
+    def operators(path):
+        from marquee.sources.tables import read_table
+        p = plan(read_table(spark, path, "orders", "o_custkey", "o_totalprice").groupBy("o_custkey").sum("o_totalprice"))
+        return re.findall(r"^\(\d+\) (\w+)", p, re.M)
+
+    whole = spark.read.parquet(f"{SF}/orders.parquet")
+    whole.limit(1).write.parquet(f"{tmp_path}/one/orders.parquet")
+    whole.repartition(40).write.parquet(f"{tmp_path}/many/orders.parquet")
+    assert operators(f"{tmp_path}/one") == operators(f"{tmp_path}/many")
+
+
+def test_hot_keys_are_distinct_before_semi_and_anti_joins(spark):
+    from marquee.operators import measures, queue
+    hot = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k")
+    dim = spark.range(50).selectExpr("id AS k")
+    p = plan(measures.cross_filter_dim(dim, "k", hot, "k"))
+    assert "HashAggregate" in p and "LeftSemi" in p
+    p = plan(queue.fetch_queue(dim, hot, hot, [("k", "k")]))
+    assert p.count("HashAggregate") >= 4 and "LeftAnti" in p
 
 
 def test_distinct_count_is_two_level_aggregate(spark):

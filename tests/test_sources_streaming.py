@@ -80,6 +80,56 @@ def test_stream_loads_each_file_once(spark):
     latest = {x.id: x.revenue for x in ingest.latest_rows(
         r, "id", ["revenue_date", "title", "revenue", "theaters", "distributor"]).collect()}
     assert latest == {"1": Decimal(10), "2": Decimal(25)}
+    archived = [f for _, _, names in os.walk(arch) for f in names if f.endswith(".csv.gz")]
+    assert sorted(archived) == ["q1.csv.gz", "q2.csv.gz"] and not [f for f in os.listdir(inbox) if f.endswith(".gz")]
+    assert all(d.startswith("run_date=") for d in os.listdir(arch))
+
+
+def test_fresh_checkpoint_loses_and_repeats_nothing(spark):
+    root = scratch_path(spark, "t-restart")
+    inbox, raw = f"{root}/in box%20", f"{root}/raw"
+    write_gz(f"{inbox}/q 1%.csv.gz", HEADER + "1,2003-01-01,A,10,1,X\n")
+    assert ingest.ingest_available(spark, inbox, raw, f"{root}/c1") == 1
+    write_gz(f"{inbox}/q2.csv.gz", HEADER + "2,2003-01-01,B,20,1,X\n")
+    ingest.ingest_available(spark, inbox, raw, f"{root}/c2")
+    ingest.ingest_available(spark, inbox, raw, f"{root}/c1")
+    assert sorted(r.id for r in ingest.read_raw(spark, raw).collect()) == ["1", "2"]
+
+
+def test_pickup_of_odd_names_once_and_archived(spark):
+    root = scratch_path(spark, "t-odd")
+    inbox, raw = f"{root}/inbox", f"{root}/raw"
+    names = ["a b.csv.gz", "c%20d.csv.gz", "e[1]{2}.csv.gz", "\u00e9.csv.gz"]
+    for i, n in enumerate(names):
+        write_gz(f"{inbox}/{n}", HEADER + f"{i},2003-01-01,A,10,1,X\n")
+    got = [csv_drops.pickup_oldest(spark, inbox, raw, archive_dir=f"{root}/arch" if i % 2 else None,
+                                   run_date="2024-01-30") for i in range(5)]
+    assert got[4] is None and [g["rows_loaded"] for g in got[:4]] == [1] * 4
+    assert sorted(r.id for r in spark.read.parquet(raw).collect()) == list("0123")
+    assert sorted(os.listdir(f"{root}/arch/run_date=2024-01-30")) == sorted(n for i, n in enumerate(names) if i % 2)
+    assert got[1]["archived"].endswith("run_date=2024-01-30/c%20d.csv.gz")
+
+
+def test_blanks_survive_export(spark):
+    from pyspark.sql import functions as F
+    root = scratch_path(spark, "t-blanks")
+    df = spark.createDataFrame([("1", "2003-01-01", "  lead trail ", "5", "1", "X")],
+                               "id string, revenue_date string, title string, revenue string, theaters string, "
+                               "distributor string")
+    csv_drops.export_drops(df.withColumn("year", F.lit(2003)), root, ["year"])
+    assert csv_drops.read_drops(spark, root).first().title == "  lead trail "
+
+
+def test_documents_written_again_stay_one(spark):
+    root = scratch_path(spark, "t-docs-once")
+    rows = lambda v: spark.createDataFrame(
+        [("r1", f'{{"x":{v}}}', "2024-01-30 09:00:00"), ("r2", '{"x":7}', "2024-01-30 09:00:00")],
+        "record string, doc_json string, t string").selectExpr("record", "doc_json", "cast(t AS timestamp_ntz) AS fetched_at")
+    json_docs.write_documents(rows(1), root, key="record")
+    json_docs.write_documents(rows(2), root, key="record")
+    json_docs.write_documents(rows(2), root, key="record")
+    got = json_docs.read_documents(spark, root).selectExpr("variant_get(v, '$.x', 'int') AS x", "yyyy", "mm", "dd").collect()
+    assert sorted(r.x for r in got) == [2, 7]
 
 
 def _mk(path):
@@ -167,8 +217,8 @@ def test_stream_replay_after_failure_does_not_duplicate(spark, monkeypatch):
     real = ingest._batch_writer
     calls = {"n": 0}
 
-    def crashing(target):
-        write = real(target)
+    def crashing(*args):
+        write = real(*args)
 
         def once(batch, batch_id):
             write(batch, batch_id)          # files written ...

@@ -165,6 +165,35 @@ def test_null_rating_passes_range(spark):
                                  spark.createDataFrame([(1,)], "k int"), "k").count() == 0
 
 
+def test_freshness_of_an_empty_source_is_an_error(spark):
+    from marquee.operators import quality
+    empty = spark.createDataFrame([], "t timestamp_ntz")
+    r = quality.freshness("raw.revenues", empty, "t", "2024-01-30 12:00:00").first()
+    assert (r.status, r.max_loaded_at, r.age_hours) == ("error", None, None)
+
+
+def test_revenue_outside_the_calendar_and_small_sums_are_kept(spark):
+    import datetime as dt
+    from marquee.operators import measures
+    fact = spark.createDataFrame([(dt.date(2025, 12, 31), 10), (dt.date(2026, 1, 1), 7)], "revenue_date date, revenue int")
+    cal = spark.createDataFrame([(dt.date(2025, 12, 31), 2025, 4, 12, 31)],
+                                "date date, year int, quarter int, month int, day int")
+    total = [r.revenue for r in measures.revenue_drill(fact, cal).collect() if r.level == 15]
+    assert total == [17]
+    small = spark.createDataFrame([(0.004,)] * 3, "x double")
+    assert abs(measures.default_sums(small, ["x"]).first()[0] - 0.012) < 1e-12
+
+
+def test_top_film_fails_rather_than_cuts_ties(spark):
+    import pytest
+    from marquee.operators import measures
+    fact = spark.createDataFrame([(f"k{i}", 5) for i in range(4)], "movie_key string, revenue int")
+    movies = spark.createDataFrame([(f"k{i}", f"T{i}") for i in range(4)], "imdb_id string, title string")
+    assert measures.top_film(fact, movies).first()[0] == "T0T1T2T3"
+    with pytest.raises(Exception, match="tie for the top"):
+        measures.top_film(fact, movies, max_ties=3).collect()
+
+
 def test_freshness_levels(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 29, 0),)], "t timestamp_ntz")
     r = quality.freshness("raw.revenues", df, "t", "2024-01-30 12:00:00").first()

@@ -62,6 +62,11 @@ def test_job_chain(spark):
         ("Big Film", "found"), ("Other Film", "error_5xx"), ("Series X", "found"),
         ("Small Film", "not_found")]
 
+    # The same run again leaves one document and one log row for each call.
+    W.record_calls(spark, responses, docs, log_root, "2024-01-30T09:00:00")
+    assert spark.read.parquet(log_root).count() == 4
+    assert W.cached_lookups(spark, docs).count() == 3
+
     # Next queue: cached titles are gone, the failed one waits until tomorrow.
     log = spark.read.parquet(log_root)
     assert W.enrichment_queue(spark, raw, docs, log, AS_OF).count() == 0
@@ -92,8 +97,24 @@ def test_build_gate_raises(spark):
         "lookup_title string, lookup_year int, error_kind string, http_status int, reason string, "
         "body string, write_ok boolean, write_error string")
     W.record_calls(spark, responses, f"{root}/omdb", f"{root}/log", "2024-01-30T09:00:00")
+    span = ("2003-01-01", "2031-01-01")
+    good = W.build(spark, f"{root}/raw", f"{root}/omdb", f"{root}/marts", "2031-01-01", calendar=span)
     with pytest.raises(RuntimeError, match="no_future_revenue_dates"):
+        W.build(spark, f"{root}/raw", f"{root}/omdb", f"{root}/marts", AS_OF, calendar=span)
+    # What was published stays, from the build that passed.
+    assert W.published(spark, f"{root}/marts", "fact_daily_revenue").inputFiles() == \
+        good["fact_daily_revenue"].inputFiles()
+
+
+def test_staging_gate_stops_the_marts(spark):
+    root = scratch_path(spark, "t-gate-staging")
+    drop(f"{root}/inbox/a.csv.gz", ["1,2003-01-03,Film,-10,1,Fox"])
+    W.ingest_revenues(spark, f"{root}/inbox", f"{root}/raw", f"{root}/ckpt")
+    os.makedirs(f"{root}/omdb", exist_ok=True)
+    with pytest.raises(RuntimeError, match="not_negative_stg_revenues_revenue"):
         W.build(spark, f"{root}/raw", f"{root}/omdb", f"{root}/marts", AS_OF)
+    [version] = os.listdir(f"{root}/marts")
+    assert "dim_movie" not in os.listdir(f"{root}/marts/{version}")
 
 
 def test_command_line(spark, capsys):
