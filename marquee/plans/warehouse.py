@@ -107,7 +107,7 @@ def build(spark: SparkSession, raw_root: str, docs_root: str, out_root: str, as_
 
     Everything is written into a new version folder.  Failed staging checks
     stop the marts; failed mart checks stop the publication.  Only then does
-    ``out_root/_current`` name the new version: whoever reads through
+    ``out_root/CURRENT`` name the new version: whoever reads through
     ``published`` sees the old one until that moment, and after a failure.
     """
     version = f"v-{uuid.uuid4().hex[:12]}"
@@ -132,11 +132,11 @@ def build(spark: SparkSession, raw_root: str, docs_root: str, out_root: str, as_
     out["checks"] = checks
     if gate:
         quality.gate(checks)
-    write_text(spark, f"{out_root}/_current", version)
+    write_text(spark, f"{out_root}/CURRENT", version)
     return out
 
 
 def published(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """A table of the version that the last successful build published."""
-    version = spark.read.text(f"{out_root}/_current").first()[0]
+    version = spark.read.text(f"{out_root}/CURRENT").first()[0]
     return spark.read.parquet(f"{out_root}/{version}/{name}")
