@@ -36,18 +36,11 @@ def dim_date_from(bounds: DataFrame) -> DataFrame:
     return D.spine_between(bounds).select(*D.calendar_columns("date_day"))
 
 
-def dim_distributor(stg: DataFrame, exact: bool = True, rsd: float = 0.01) -> DataFrame:
-    """One row per distributor: md5 key, films distributed, lifetime revenue.
-
-    ``exact=False`` counts films with ``approx_count_distinct`` (HyperLogLog,
-    relative error ``rsd``): one partial aggregate with a fixed-size sketch
-    per distributor instead of the (distributor, title) intermediate.
-    """
-    films = (F.count_distinct("title") if exact
-             else F.approx_count_distinct("title", rsd))
+def dim_distributor(stg: DataFrame) -> DataFrame:
+    """One row per distributor: md5 key, films distributed, lifetime revenue."""
     base = (stg.where(F.col("distributor").isNotNull())
             .groupBy("distributor")
-            .agg(films.alias("films_distributed_n"),
+            .agg(F.count_distinct("title").alias("films_distributed_n"),
                  F.sum("revenue").alias("lifetime_revenue")))
     return base.select(K.md5_key("distributor").alias("distributor_key"),
                        F.col("distributor").alias("distributor_name"),
@@ -171,12 +164,3 @@ def publish(spark, views: dict[str, DataFrame], tables: dict[str, DataFrame], ro
             w = w.bucketBy(num_buckets, buckets[name]).sortBy(buckets[name])
         w.saveAsTable(prefix + name)
     return {n: spark.table(prefix + n) for n in [*views, *tables]}
-
-
-def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
-    """Expose built tables to ``spark.sql`` as temporary views (names returned)."""
-    names = []
-    for name, df in tables.items():
-        df.createOrReplaceTempView(prefix + name)
-        names.append(prefix + name)
-    return names

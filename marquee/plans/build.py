@@ -7,8 +7,8 @@ into the cluster's shared checkpoint folder.  Reports, checks and measures
 scan those tables instead of re-running de-duplication per consumer, and a
 lost executor costs a re-read of files rather than a rebuild of the star.
 
-One build is kept per (application, input folder); a new input folder or a
-new application builds again.
+One build is kept per (application, input folder) while the input files stay
+as they are; changed files, a new folder or a new application build again.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import dates as D
 from ..operators import marts, staging
 from ..session import app_id, scratch_path
+from ..sources.tables import table_path
 from . import standins as S
 
-_BUILDS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_BUILDS: dict[tuple[str, str], tuple[tuple, dict[str, DataFrame]]] = {}
 _LOCK = threading.Lock()
 
 
@@ -50,10 +51,28 @@ def build_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "dim_distributor": dists, "fact_daily_revenue": fact}
 
 
+#: Tables that the star is made from.
+INPUTS = ("lineitem", "part", "supplier")
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files; a changed input is another state."""
+    hadoop, out = spark._jvm.org.apache.hadoop.fs, []
+    for name in INPUTS:
+        path = hadoop.Path(table_path(sf_dir, name))
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The current build for ``sf_dir`` (built on first use in this application)."""
+    """The build of ``sf_dir`` as it is now (made on first use in this application)."""
     key = (app_id(spark), sf_dir.rstrip("/"))
+    state = input_state(spark, sf_dir)
     with _LOCK:
-        if key not in _BUILDS:
-            _BUILDS[key] = build_star(spark, sf_dir)
-        return _BUILDS[key]
+        if _BUILDS.get(key, (None,))[0] != state:
+            _BUILDS[key] = (state, build_star(spark, sf_dir))
+        return _BUILDS[key][1]

@@ -20,8 +20,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
-
-
-def read_mart(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    """A mart by catalog name, or by its folder when given."""
-    return spark.read.parquet(path) if path else spark.table(name)

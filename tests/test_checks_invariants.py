@@ -81,10 +81,9 @@ def test_salted_join_matches_plain(spark, keys):
 
 
 def test_sql_over_registered_views(spark):
-    from marquee.operators import marts
     s = star(spark, SF)
-    names = marts.register_views(s, prefix="v_")
-    assert "v_fact_daily_revenue" in names
+    for name, df in s.items():
+        df.createOrReplaceTempView(f"v_{name}")
     top = spark.sql("""
         SELECT d.distributor_name, SUM(f.revenue) AS rev
         FROM v_fact_daily_revenue f JOIN v_dim_distributor d USING (distributor_key)
@@ -92,3 +91,14 @@ def test_sql_over_registered_views(spark):
     assert len(top) == 3 and top[0].rev >= top[1].rev >= top[2].rev
     n = spark.sql("SELECT COUNT(*) AS n FROM v_dim_date WHERE is_weekend").first().n
     assert n > 0
+
+
+def test_changed_input_is_built_again(spark, tmp_path):
+    for t in ("lineitem", "part", "supplier"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    first = star(spark, str(tmp_path))
+    assert star(spark, str(tmp_path)) is first
+    n = first["stg_revenues"].count()
+    half = spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey % 2 = 0")
+    half.write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    assert 0 < star(spark, str(tmp_path))["stg_revenues"].count() < n
