@@ -12,10 +12,3 @@ from marquee.session import build_session  # noqa: E402
 def spark():
     s = build_session("local[*]", partitions=8, app="marquee-tests")
     yield s
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (optionally of selected columns), sorted."""
-    if cols:
-        df = df.select(*cols)
-    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple(str(x) for x in t))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import latency, queue as Q
 
-from conftest import rows
+from core_rows import rows
 
 AS_OF = "2024-01-30"
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee.functions import json as J
 from marquee.operators import marts, measures, quality, staging
 
-from conftest import rows
+from core_rows import rows
 
 RAW_SCHEMA = ("id string, revenue_date date, title string, revenue string, theaters string, "
               "distributor string, _loaded_at timestamp_ntz")
