@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from conftest import prose
+from llm_rows import prose
 from marquee.llm import decontam, licenses, packing, shards, toxicity, urlgraph
 from marquee.llm.queries import URL_RULES, vocabulary
 from marquee.llm.tokens import ChunkTokenizer

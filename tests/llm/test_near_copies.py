@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from conftest import documents  # noqa: F401  (tests/llm/conftest.py)
+from llm_rows import prose
 from marquee.llm import digests, linediff, minhash, suffixes
 from marquee.llm.graph import components
 
@@ -50,8 +50,6 @@ def edited(rng, text, edits):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_near_duplicates_equal_brute_force(spark, make, seed, monkeypatch):
-    from conftest import prose
-
     monkeypatch.setattr(minhash, "BLOCK_DOCS", 16)  # cells of several blocks
     rng = random.Random(seed)
     texts = [prose(100 + k, 40, 40) for k in range(30)]
@@ -85,7 +83,6 @@ def test_block_links_span_all_components():
     import zstandard
 
     rng = random.Random(3)
-    from conftest import prose
     base = prose(9, 120, 120)
     texts = [edited(rng, base, rng.randrange(0, 12)) for _ in range(30)]
     pack = zstandard.ZstdCompressor()
@@ -157,8 +154,6 @@ def test_substrings_equal_brute_force(make, heavy, monkeypatch):
     monkeypatch.setattr(suffixes, "HEAVY", heavy)  # 3: also the path of hot cores
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 4000)
     monkeypatch.setattr(suffixes, "SLICE_BYTES", 700)  # texts over several slices
-    from conftest import prose
-
     rng = random.Random(5)
     passage = prose(77, 40, 40)
     texts = [prose(k, 60) for k in range(8)]
@@ -223,8 +218,6 @@ def brute_lines(rows, min_chars):
 
 
 def test_line_dedup_equals_brute_force(make):
-    from conftest import prose
-
     rng = random.Random(8)
     passages = [prose(500 + k, 30, 6).split("\n") for k in range(6)]
     texts = []
