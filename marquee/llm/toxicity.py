@@ -9,13 +9,15 @@ to be chance.  Training maximises the conditional likelihood with gradients
 from forward-backward; marginals of the same recursion give offending spans
 and, pooled, the score of a document.
 
-The model is fitted on the driver on a bounded sample of labelled rows
-(``max_toxic`` + ``max_clean`` documents, drawn by a hash of their id) and has
-a fixed size.  Scoring runs over all texts inside Spark tasks.
+The model is fitted on a bounded sample of labelled rows (``max_toxic`` +
+``max_clean`` documents, drawn by a hash of their id) in one task, and has a
+fixed size.  Scoring runs over all texts inside Spark tasks.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -59,9 +61,9 @@ class Chains:
         ending = np.bincount(count, minlength=longest + 1)[:longest + 1]
         self.active = len(count) - np.cumsum(ending)[:longest]  # rows longer than t
         self.begin = np.concatenate([[0], np.cumsum(self.active)]).astype(np.int64)
-        row = np.repeat(np.arange(len(count)), count)
-        pos = np.arange(len(row)) - first[:-1][row] if len(row) else np.zeros(0, np.int64)
-        self.at = self.begin[pos] + rank[row]
+        row = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        pos = (np.arange(len(row)) - first[:-1][row]).astype(np.int32) if len(row) else row
+        self.at = (self.begin[pos] + rank[row]).astype(np.int32)
 
     def marginals(self, odds: np.ndarray, trans: np.ndarray, start: float):
         """(P(state 1), expected transitions [2, 2], expected first states) from emission odds.
@@ -92,11 +94,15 @@ class Chains:
         n, b = self.active, self.begin
         if len(n) < 2:
             return np.zeros((2, 2))
-        left = np.concatenate([np.arange(b[t - 1], b[t - 1] + n[t]) for t in range(1, len(n))])
-        right = np.arange(b[1], b[-1])
-        p, q = u[left].astype(float), (odds[right] * v[right]).astype(float)
-        cell = np.stack([trans[0, 0] * np.ones_like(p), trans[0, 1] * q, trans[1, 0] * p, trans[1, 1] * p * q])
-        return (cell / cell.sum(0)).sum(1).reshape(2, 2)
+        out = np.zeros(4)
+        for lo in range(1, len(n), 256):  # some positions at a time, to bound memory
+            hi = min(lo + 256, len(n))
+            p = np.concatenate([u[b[t - 1]:b[t - 1] + n[t]] for t in range(lo, hi)]).astype(float)
+            q = (odds[b[lo]:b[hi]] * v[b[lo]:b[hi]]).astype(float)
+            cells = (np.full_like(p, trans[0, 0]), trans[0, 1] * q, trans[1, 0] * p, trans[1, 1] * p * q)
+            whole = sum(cells)
+            out += [(c / whole).sum() for c in cells]
+        return out.reshape(2, 2)
 
 
 @dataclass
@@ -143,19 +149,27 @@ def label_tokens(features: np.ndarray, first: np.ndarray, toxic: np.ndarray) ->
     A feature marks them if it is found in so many toxic documents, and (but
     for one in fifty) in no clean one, that chance would not give one such
     feature in all (log odds of chance below minus the log of their number).
+    Edited copies of one document are no independent finds: what counts is the
+    number of documents or of different words before the feature, if smaller.
     """
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     n1, n0 = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
     rarity = np.log((n1 + n0) / n1)
+    before = np.concatenate([[-1], features[0][:-1]])
+    before[first[:-1][np.diff(first) > 0]] = -1
+
+    def found(feature: np.ndarray, where: np.ndarray, side: np.ndarray) -> np.ndarray:
+        pair = np.unique((where[side].astype(np.int64) + 1) << BITS | feature[side])
+        return np.bincount(pair & ((1 << BITS) - 1), minlength=1 << BITS)
+
     marked = np.zeros(features.shape[1], bool)
-    for k in range(FIELDS):
-        pair = np.unique(row.astype(np.int64) << BITS | features[k])
-        own, doc = pair & ((1 << BITS) - 1), pair >> BITS
-        in1 = np.bincount(own[toxic[doc]], minlength=1 << BITS)
-        in0 = np.bincount(own[~toxic[doc]], minlength=1 << BITS)
-        marks = (in1 * rarity >= np.log(max(len(np.unique(own)), 1)) + 2) & (in0 / n0 <= 0.02 * in1 / n1)
-        marked |= marks[features[k]]
-    return (marked & toxic[row]).astype(np.float64)
+    side = toxic[row]
+    for f in features:
+        in1 = np.minimum(found(f, row, side), found(f, before, side))
+        in0 = found(f, row, ~side)
+        marks = (in1 * rarity >= np.log(max(len(np.unique(f)), 1)) + 4) & (in0 / n0 <= 0.02 * in1 / n1)
+        marked |= marks[f]
+    return (marked & side).astype(np.float64)
 
 
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 40, rate: float = 0.5,
@@ -169,21 +183,22 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 40, rate: float = 0.5
         return model
     column = pa.array(texts, pa.large_string())
     flat, offsets = text_buffer(column)
-    parts = [token_features(flat[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-             for a, b in slices(offsets)]
+    parts = []
+    for a, b in slices(offsets):
+        f, _, _, own = token_features(flat[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        parts.append((f, np.diff(own)))
     features = np.concatenate([p[0] for p in parts], 1)
-    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[3]) for p in parts]))])
+    first = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))])
+    del parts
     y = label_tokens(features, first, toxic)
     chains = Chains(first)
-    gold = np.empty_like(y)
-    gold[chains.at] = y
     pairs = np.zeros((2, 2))
     left = np.repeat(first[1:] - 1, np.diff(first))[:len(y)] != np.arange(len(y))  # not last of its row
     i = np.flatnonzero(left)
     np.add.at(pairs, (y[i].astype(int), y[i + 1].astype(int)), 1)
     heads = first[:-1][np.diff(first) > 0]
     # Only buckets that occur have a gradient; steps are Adagrad's.
-    used = [np.unique(f, return_inverse=True) for f in features]
+    used = [(u, i.astype(np.int32)) for u, i in (np.unique(f, return_inverse=True) for f in features)]
     seen = [np.full(len(u), 1e-8) for u, _ in used]
     g2 = {"bias": 1e-8, "trans": np.full((2, 2), 1e-8), "start": 1e-8}
     n = max(len(y), 1)
@@ -220,8 +235,8 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 40, rate: float = 0.5
     return model
 
 
-def draw_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int):
-    """At most so many labelled (text, toxic) rows: those whose id hashes lowest, for each label.
+def draw_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int) -> DataFrame:
+    """At most so many labelled rows (draw, doc_id, text, toxic): those whose id hashes lowest, for each label.
 
     Ids are chosen from the labels alone; only the chosen ids (bounded by the
     two limits) are broadcast to the scan of the texts.
@@ -231,37 +246,62 @@ def draw_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: i
                    .withColumn("draw", F.md5(F.col("doc_id").cast("string"))))
     ids = (known.filter("toxic = 1").orderBy("draw", "doc_id").limit(max_toxic)
                 .unionByName(known.filter("toxic = 0").orderBy("draw", "doc_id").limit(max_clean)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").toPandas()
-    rows = rows.sort_values(["draw", "doc_id"]).drop_duplicates("text")
-    return [t or "" for t in rows["text"]], rows["toxic"].to_numpy() == 1
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("draw", "doc_id", "text", "toxic")
+
+
+def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a sample to one row: the model, as bytes."""
+    rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))),
+                  key=lambda r: (r[0], r[1], r[2] or ""))
+    seen: dict[str, bool] = {}
+    for _, _, text, toxic in rows:  # equal texts count once
+        seen.setdefault(text or "", toxic == 1)
+    model = fit(list(seen), np.array(list(seen.values()), bool))
+    yield pa.record_batch([pa.array([zlib.compress(pickle.dumps(model), 1)], pa.binary())], ["model"])
+
+
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1000, max_clean: int = 2000) -> Model:
+    """A model from at most ``max_toxic`` and ``max_clean`` labelled documents.
+
+    The sample's rows meet in one task, bounded by the two limits; the driver
+    gets the weights.
+    """
+    sample = draw_sample(docs, labels, max_toxic, max_clean)
+    row = sample.repartition(1).mapInArrow(_fit_rows, "model binary").first()
+    return pickle.loads(zlib.decompress(row[0])) if row else Model()
+
+
+#: Bytes of text whose chains are run together in a task.
+CHAIN_BYTES = 8 << 20
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2400) -> Model:
-    """A model from at most ``max_toxic`` and ``max_clean`` labelled documents."""
-    return fit(*draw_sample(docs, labels, max_toxic, max_clean))
+def _marginals(model: Model, flat: np.ndarray, offsets: np.ndarray, spans: bool):
+    """(marginal of each token, first token of each row, token places if asked for)."""
+    odds, firsts, places = [np.zeros(0, np.float32)], [np.zeros(1, np.int64)], []
+    for lo, hi in slices(offsets):
+        f, s, e, first = token_features(flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+        odds.append(model.odds(f))
+        firsts.append(firsts[-1][-1] + first[1:])
+        if spans:
+            row = np.repeat(np.arange(lo, hi), np.diff(first))
+            back = offsets[lo] - offsets[row]
+            places.append((s + back, e + back))
+    first = np.concatenate(firsts)
+    return model.marginals(np.concatenate(odds), first), first, places
 
 
 def _scorer(model: Model, spans: bool):
+    """Arrow function: the columns before the last, with the score of the last one's texts (and spans)."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat, offsets = text_buffer(b.column(b.num_columns - 1))
-            odds, firsts, places = [np.zeros(0, np.float32)], [np.zeros(1, np.int64)], []
-            for lo, hi in slices(offsets):
-                f, s, e, first = token_features(flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                odds.append(model.odds(f))
-                firsts.append(firsts[-1][-1] + first[1:])
-                if spans:
-                    row = np.repeat(np.arange(lo, hi), np.diff(first))
-                    back = offsets[lo] - offsets[row]
-                    places.append((s + back, e + back))
-            first = np.concatenate(firsts)
-            m = model.marginals(np.concatenate(odds), first)
-            columns = [*b.columns[:-1], pa.array(model.scores(m, first), pa.float64())]
-            names = [*b.schema.names[:-1], "score"]
-            if spans:
-                columns.append(_span_lists(m, first, places))
-                names.append("spans")
-            yield pa.record_batch(columns, names)
+            names = [*b.schema.names[:-1], "score", *(["spans"] if spans else [])]
+            for lo, hi in slices(offsets, CHAIN_BYTES):
+                m, first, places = _marginals(model, flat[offsets[lo]:offsets[hi]],
+                                              offsets[lo:hi + 1] - offsets[lo], spans)
+                columns = [*(c.slice(lo, hi - lo) for c in b.columns[:-1]),
+                           pa.array(model.scores(m, first), pa.float64())]
+                yield pa.record_batch([*columns, *([_span_lists(m, first, places)] if spans else [])], names)
 
     return score
 
@@ -301,9 +341,10 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = b.schema.names.index(text_col)
-            alone = pa.record_batch([b.column(at)], ["text"])
-            found = next(_scorer(model, False)(iter([alone]))).column(0).to_numpy()
-            yield b.filter(pa.array(found < threshold))
+            flat, offsets = text_buffer(b.column(at))
+            for lo, hi in slices(offsets, CHAIN_BYTES):
+                m, first, _ = _marginals(model, flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], False)
+                yield b.slice(lo, hi - lo).filter(pa.array(model.scores(m, first) < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
 
