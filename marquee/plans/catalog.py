@@ -359,11 +359,11 @@ def q_csv_roundtrip(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import csv_drops
     root = scratch_path(spark, "csv-roundtrip")
-    o = _orders(spark, sf_dir)
-    csv_drops.export_drops(o.withColumn("year", F.year("o_orderdate"))
-                           .withColumn("quarter", F.quarter("o_orderdate")),
-                           f"{root}/inbox", ["year", "quarter"])
-    csv_drops.load_file(spark, f"{root}/inbox", f"{root}/raw", ORDERS_COLUMNS)
+    o = _orders(spark, sf_dir).withColumns({"year": F.year("o_orderdate"), "quarter": F.quarter("o_orderdate")})
+    # History comes as a seed from a place of its own, the rest through the inbox.
+    for place, rows in (("seed", o.where("year <= 1994")), ("inbox", o.where("year > 1994"))):
+        csv_drops.export_drops(rows, f"{root}/{place}", ["year", "quarter"])
+        csv_drops.load_file(spark, f"{root}/{place}", f"{root}/raw", ORDERS_COLUMNS)
     return spark.read.parquet(f"{root}/raw").select(*ORDER_NAMES)
 
 
@@ -447,7 +447,7 @@ def q_ingest_restart(spark, sf_dir):
 
 @query("pickup_once")
 def q_pickup_once(spark, sf_dir):
-    """The oldest pending drop at a time, whatever its name, each once; loads are stamped."""
+    """The oldest pending drop at a time, whatever its name, each once; loads are stamped."""
     from ..session import scratch_path
     from ..sources import csv_drops
     root = scratch_path(spark, "pickup")
@@ -458,7 +458,9 @@ def q_pickup_once(spark, sf_dir):
     while csv_drops.pickup_oldest(spark, inbox, raw, ORDERS_COLUMNS, loaded_at=S.AS_OF_TS,
                                   archive_dir=f"{root}/archive" if loaded % 2 else None, run_date=S.AS_OF):
         loaded += 1
-    return spark.read.parquet(raw).select(*ORDER_NAMES, F.col("_loaded_at").alias("loaded_at"))
+    folder = F.element_at(F.split("_source_file", "/"), -2)
+    return spark.read.parquet(raw).select(*ORDER_NAMES, F.col("_loaded_at").alias("loaded_at"),
+                                          F.url_decode(folder).alias("drop_name"))
 
 
 @query("documents_once")

@@ -423,7 +423,10 @@ ORACLE.update({
            CASE WHEN year(o_orderdate) >= 1998 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
            o_orderdate, o_orderpriority FROM orders""",
     "ingest_restart": ORDERS_SQL,
-    "pickup_once": ORDERS_SQL.replace("\nFROM", ", TIMESTAMP '2024-01-30 12:00:00' AS loaded_at\nFROM"),
+    "pickup_once": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+           TIMESTAMP '2024-01-30 12:00:00' AS loaded_at,
+           CASE WHEN year(o_orderdate) <= 1995 THEN 'a b' WHEN year(o_orderdate) <= 1997 THEN 'c%20d'
+                ELSE chr(233) || ' [1]' END AS drop_name FROM orders""",
     "documents_once": sql("SELECT * FROM docs_flat", "docs_flat"),
     "log_stream": ORACLE["log_batch_append"],
     "distributor_ranking": sql(
