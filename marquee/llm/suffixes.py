@@ -23,7 +23,6 @@ Wanted are the places whose ``length``-byte string also starts elsewhere.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -283,12 +282,15 @@ def repeated_places(rows: DataFrame, length: int = 400) -> DataFrame:
     # Every place of every text is covered here; a stretch is one of about 90 places.
     found = materialize(rows.mapInArrow(_stretch_table(length, step),
                                         "doc_id long, start long, n int, core long, whole long"), "stretches")
-    cores = found.groupBy("core").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("core")
+    # (Written before it is joined: a join of two plain tables may split a hot core.)
+    cores = materialize(found.groupBy("core").agg(F.count(F.lit(1)).alias("_c"))
+                             .filter("_c > 1").select("core"), "cores")
     again = materialize(found.join(cores, "core"), "repeated-cores")
     kinds = materialize(again.groupBy("core", "whole").agg(
         F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "start")).alias("at")), "kinds")
-    several = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
+    several = materialize(kinds.groupBy("core").agg(F.count(F.lit(1)).alias("_kinds"))
+                               .filter("_kinds > 1"), "several")
     mixed = kinds.join(several, "core")
     # One text of each kind of stretch, cut out where the kind was first seen.
     wanted = (mixed.withColumn("heavy", F.col("_kinds") > HEAVY)
