@@ -12,7 +12,7 @@ than a few hundred of them.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -91,7 +91,7 @@ def _packer(path: str, size: int, limit: int, end_id: int, with_ids: bool):
                             doc_ids[lo + r], s, len(part), zlib.crc32(data), n, task + w, at,
                             data if with_ids else None))
                         ready.extend((*p, False) for c in closed for p in held.pop(c))
-                if len(ready) >= 2000:
+                if len(ready) >= 500:
                     yield batch(ready)
                     ready = []
         ready.extend((*p, True) for w in held for p in held[w])

@@ -18,7 +18,7 @@ import numpy as np
 from .common import BASE_B, SPACE, fold_case, mix, prefix_sums, range_hash
 
 #: Chunks that a worker remembers; then it starts afresh (memory, not results).
-KNOWN_CHUNKS = 1_000_000
+KNOWN_CHUNKS = 600_000
 #: A chunk of its own between chunks that are encoded together, and how many are.
 MARK, TOGETHER = "\x01", 100
 
