@@ -186,9 +186,12 @@ def _links(rows: DataFrame, reps: DataFrame, width: int, percent: int, k: int) -
         rows.filter("doc_id IS NOT NULL").mapInArrow(_shrink, "doc_id long, packed binary")
             .join(lists.select("doc").distinct(), F.col("doc_id") == F.col("doc"), "left_semi"), "texts")
     # The leader of a list is its most central member.
-    lead = (lists.groupBy("value")
-                 .agg(F.max(F.struct("weight", "doc", "n")).alias("_m"), F.count(F.lit(1)).alias("_c"))
-                 .filter("_c > 1").select("value", F.col("_m.doc").alias("leader"), F.col("_m.n").alias("leader_n")))
+    # (Written before it is joined: a join of two plain tables may split a hot list.)
+    lead = materialize(
+        lists.groupBy("value")
+             .agg(F.max(F.struct("weight", "doc", "n")).alias("_m"), F.count(F.lit(1)).alias("_c"))
+             .filter("_c > 1").select("value", F.col("_m.doc").alias("leader"), F.col("_m.n").alias("leader_n")),
+        "leaders")
     led = materialize(lists.join(lead, "value").select("leader", "leader_n", "doc", "n").distinct(), "led")
     alike = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
     pairs = materialize(led.filter((F.col("doc") != F.col("leader")) & alike).select(
@@ -205,10 +208,12 @@ def _cell_links(members: DataFrame, texts: DataFrame, width: int, percent: int)
     still = (members.groupBy("leader")
                     .agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
                     .filter("_lo < _hi AND _n > 2").select("leader"))  # a pair alone has been compared
+    still = materialize(still, "open-cells")
     cells = materialize(members.join(still, "leader").join(texts, F.col("doc") == F.col("doc_id"))
                                .select("leader", "doc", "component", "packed"), "cells")
-    sizes = cells.groupBy("leader").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum(F.length("packed")) / BLOCK_BYTES)).alias("_blocks"))
+    sizes = materialize(cells.groupBy("leader").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum(F.length("packed")) / BLOCK_BYTES)).alias("_blocks")),
+        "cell-sizes")
     own = cells.join(sizes, "leader").withColumn("_own", F.pmod(F.xxhash64("doc"), F.col("_blocks")))
     met = own.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     groups = met.select("leader", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
