@@ -152,11 +152,13 @@ def repeated_lines(docs: DataFrame, min_chars: int = 80, id_col: str = "doc_id",
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     lines = materialize(rows.mapInArrow(_line_table, LINES), "lines")
     key = ["line_a", "line_b", "k"]
-    first = (lines.groupBy(*key)
+    # Written before it is joined: a join of two plain tables may split a hot line.
+    first = materialize(
+        lines.groupBy(*key)
                   .agg(F.min(F.struct("doc_id", "pos", "times")).alias("f"), F.max("doc_id").alias("_last"))
                   .filter(F.col("_last") > F.col("f.doc_id"))
                   .select(*key, F.col("f.doc_id").alias("other"), F.col("f.pos").alias("other_pos"),
-                          (F.col("f.times") == 1).alias("_once")))
+                          (F.col("f.times") == 1).alias("_once")), "first-lines")
     links = (lines.join(first, key).filter(F.col("doc_id") > F.col("other"))
                   .select("doc_id", "other", F.struct(
                       "pos", "other_pos", (F.col("_once") & (F.col("times") == 1)).alias("once"),
