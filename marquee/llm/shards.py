@@ -54,8 +54,9 @@ def interleave(rows: DataFrame, source_col: str, key_cols: list[str], shards: in
     shuffled = rows.withColumn("_source", F.coalesce(F.concat(F.lit("s"), source_col), F.lit("")))
     shuffled = shuffled.withColumn("_draw", F.md5(key))
     placed = number_rows(shuffled, ["_source", "_draw", *key_cols], "by-source")
-    per_source = placed.groupBy("_source").agg(F.min("row_index").alias("_first"),
-                                               F.count(F.lit(1)).alias("_n"))
+    # Written first, so that the join may split a source that holds much of the rows.
+    per_source = materialize(placed.groupBy("_source").agg(F.min("row_index").alias("_first"),
+                                                           F.count(F.lit(1)).alias("_n")), "sources")
     share = (2 * (F.col("row_index") - F.col("_first")) + 1) / (2 * F.col("_n"))
     mixed = (placed.join(per_source, "_source").withColumn("_share", share)
                    .drop("row_index", "row_count", "_first", "_n"))
