@@ -27,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line blocks that an earlier document has are cut; documents that were nothing else go."""
-    out = linediff.line_dedup(docs)
+    out = linediff.line_dedup(docs, partners="all")
     emptied = (F.col("n_cut") > 0) & (F.trim(F.col("text")) == "")
     return (out.filter(~F.coalesce(emptied, F.lit(False)))
                .withColumn("n_chars", F.when(F.col("n_cut") > 0, F.length("text").cast("long"))

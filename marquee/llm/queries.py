@@ -49,7 +49,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and remaining text (as a digest) of all documents after block deletion."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    out = linediff.line_dedup(docs)
+    out = linediff.line_dedup(docs, partners="all")
     return out.select("doc_id", "n_lines", "n_cut", F.octet_length("text").alias("n_bytes"),
                       F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
 

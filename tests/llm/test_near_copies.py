@@ -256,3 +256,72 @@ def test_alignment_keeps_order():
     assert linediff.align([(0, 0, True), (1, 1, False), (2, 2, True), (3, 1, False)]) == [(0, 0), (1, 1), (2, 2)]
     assert linediff.blocks([(0, 4), (1, 5), (4, 9), (5, 10)]) == [[0, 1], [4, 5]]
     assert linediff.increasing_run([]) == []
+
+
+def all_pairs_cut(rows, min_chars):
+    """Positions cut by patience alignment with every earlier document, each pair on all lines it shares."""
+    seen, out = [], {}
+    for i, text in sorted(rows):
+        lines = (text or "").split("\n")
+        ink = [len(re.sub(rb"[\x20\x09-\x0D]", b"", x.encode())) for x in lines]
+        total, nth, mine = Counter(lines), Counter(), {}
+        for p, x in enumerate(lines):
+            if ink[p]:
+                mine[x, nth[x]] = (p, total[x] == 1)
+                nth[x] += 1
+        out[i] = set()
+        for theirs in seen:
+            shared = sorted((p, theirs[key][0], once and theirs[key][1])
+                            for key, (p, once) in mine.items() if key in theirs)
+            for block in linediff.blocks(linediff.align(shared)):
+                if sum(ink[p] for p in block) >= min_chars:
+                    out[i] |= set(block)
+        seen.append(mine)
+    return out
+
+
+def mixed_lines(rng, n):
+    """Documents of few common and some own lines, parts of earlier documents (in another order, too) and copies."""
+    common = [prose(900 + k, rng.randrange(2, 8)) for k in range(25)] + ["menu", "x", ""]
+    texts = []
+    for k in range(n):
+        lines = [rng.choice(common) if rng.random() < 0.7 else prose(1000 + k * 50 + j, 4) for j in range(rng.randrange(1, 14))]
+        if texts and rng.random() < 0.6:
+            for _ in range(rng.randrange(1, 3)):
+                part = rng.choice(texts).split("\n")
+                a = rng.randrange(len(part))
+                part = part[a:a + rng.randrange(2, 8)]
+                if rng.random() < 0.3:
+                    part[rng.randrange(len(part))] = "other"
+                at = rng.randrange(len(lines) + 1)
+                lines[at:at] = part
+        texts.append(rng.choice(texts) if texts and rng.random() < 0.15 else "\n".join(lines))
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_line_dedup_equals_alignment_with_every_earlier_document(make, seed):
+    rows = list(enumerate(mixed_lines(random.Random(seed), 250)))
+    want = all_pairs_cut(rows, 80)
+    got = {r["doc_id"]: r for r in linediff.line_dedup(make([t for _, t in rows]), partners="all").collect()}
+    assert {i: r["n_cut"] for i, r in got.items()} == {i: len(c) for i, c in want.items()}
+    assert {i: r["text"] for i, r in got.items()} == {
+        i: "\n".join(x for p, x in enumerate(t.split("\n")) if p not in want[i]) for i, t in rows}
+
+
+def test_copy_is_cut_whole_though_its_lines_were_first_seen_apart(make):
+    a, b, c = (prose(40 + k, 5) for k in range(3))
+    texts = [a, f"y\n{c}", f"{b}\nz", f"{a}\n{b}\n{c}", f"{a}\n{b}\n{c}", f"{c}\n{a}\n{b}\n{c}\nend"]
+    assert max(len(x.replace(" ", "")) for x in (a, b, c)) < 80
+    got = {r["doc_id"]: r for r in linediff.line_dedup(make(texts), partners="all").collect()}
+    assert [got[i]["n_cut"] for i in range(6)] == [0, 0, 0, 0, 3, 2]
+    assert got[4]["text"] == ""
+
+
+def test_line_dedup_with_all_partners_messy(messy, nothing):
+    got = linediff.line_dedup(messy, partners="all").collect()
+    assert len(got) == 17
+    by = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    assert by[1]["n_cut"] == 0 and by[2]["text"] == "" and by[5]["text"] is None and by[5]["n_lines"] == 0
+    assert by[3]["n_cut"] == 0 and by[4]["n_cut"] == 25 and by[6]["text"] == "" and by[7]["text"] == " \n\t "
+    assert linediff.line_dedup(nothing, partners="all").collect() == []
