@@ -7,7 +7,9 @@ pages the rules block against them (who links to a blocked host shares in its
 distrust).  A host with more distrust than trust is blocked.
 
 Everything is DataFrame expressions.  Links are reduced to distinct pairs of
-hosts before the first round; each round is one join and one sum by host.
+hosts before the first round; each round is one join and one sum by host.  As
+a verdict compares two scores of one host, however small, rounds go on until
+every host's scores stand still relative to themselves.
 """
 
 from __future__ import annotations
@@ -63,12 +65,14 @@ def host_links(pages: DataFrame, host: Column, html_col: str = "html") -> DataFr
                  .filter("src <> dst AND src <> ''").distinct())
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85,
-           tolerance: float = 1e-7) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
     """(host, trust, distrust): personalised PageRank along and against ``links``.
 
-    ``seeds`` (host, trust, distrust) are the teleport weights.  Stops after
-    ``rounds``, or once no score moves by more than ``tolerance``.
+    ``seeds`` (host, trust, distrust) are the teleport weights.  Stops once no
+    score moves by more than ``tolerance`` times itself; a host that a score
+    reaches for the first time has moved by all of it, so every chain of links
+    is followed to its end (as far as doubles are above 0), and neither the
+    number of hosts nor the scale of the weights matters.
     """
     out_n = links.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
     in_n = links.groupBy("dst").agg(F.count(F.lit(1)).alias("_in"))
@@ -79,14 +83,15 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float
     base = seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"),
                         ((1 - damping) * F.col("distrust")).alias("distrust"))
     state = materialize(base, "host-scores")
-    for _ in range(rounds):
+    while True:
         sent = flows.join(state, "host").select(F.col("to").alias("host"), (F.col("_t") * F.col("trust")).alias("trust"),
-                                                (F.col("_d") * F.col("distrust")).alias("distrust"))
+                                                (F.col("_d") * F.col("distrust")).alias("distrust")).filter(
+                                                    "trust > 0 OR distrust > 0")
         after = (base.union(sent).groupBy("host")
                      .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
         before = state.select("host", F.col("trust").alias("_t0"), F.col("distrust").alias("_d0"))
-        moved = F.greatest(F.abs(F.col("trust") - F.coalesce("_t0", F.lit(0.0))),
-                           F.abs(F.col("distrust") - F.coalesce("_d0", F.lit(0.0))))
+        moved = F.greatest(*[F.when(F.col(c) > 0, F.abs(F.col(c) - F.coalesce(c0, F.lit(0.0))) / F.col(c)).otherwise(0.0)
+                             for c, c0 in (("trust", "_t0"), ("distrust", "_d0"))])
         after = materialize(after.join(before, "host", "left").select(
             "host", "trust", "distrust", moved.alias("moved")), "host-scores")
         most = after.agg(F.max("moved")).first()[0]

@@ -308,6 +308,32 @@ def test_trust_and_distrust_spread_over_links(spark):
         assert all(abs(scores[h][side] - s[h]) < 1e-9 for h in hosts)
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    link = lambda to: f'<a href="//{to}/">x</a>'
+    rows = [(0, "http://bad.net/es/a", "")] + [
+        (k, f"http://h{k}.org/", link(f"h{k - 1}.org" if k > 1 else "bad.net")) for k in range(1, 31)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["verdict"] for r in urlgraph.filter_urls(pages, URL_RULES).collect()} == {"block"}
+
+
+def test_scores_of_rings_converge_at_any_scale(spark):
+    rng = random.Random(5)
+    links = sorted({(f"h{k}", f"h{j}") for k in range(12) for j in [(k + 1) % 12, rng.randrange(12)] if j != k})
+    hosts = [f"h{k}" for k in range(12)]
+    at = {h: k for k, h in enumerate(hosts)}
+    m = np.zeros((2, 12, 12))
+    for a, b in links:
+        m[0, at[b], at[a]] = 0.85 / sum(e[0] == a for e in links)
+        m[1, at[a], at[b]] = 0.85 / sum(e[1] == b for e in links)
+    edges = spark.createDataFrame(links, "src string, dst string")
+    weight = 1e-9  # as in a table with a billion seeds
+    seeds = spark.createDataFrame([("h0", weight, 0.0), ("h5", 0.0, weight)], "host string, trust double, distrust double")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in urlgraph.spread(edges, seeds).collect()}
+    for side, seed in ((0, 0), (1, 5)):
+        want = np.linalg.solve(np.eye(12) - m[side], 0.15 * weight * (np.arange(12) == seed))
+        assert np.allclose([got[h][side] for h in hosts], want, rtol=1e-6, atol=0)
+
+
 def test_licences_found_wherever_they_stand(make):
     rng = random.Random(21)
     texts, want = [], set()
