@@ -72,7 +72,7 @@ def _sketcher(width: int, k: int):
                 digest = [as_signed(mix(x[begin[1:]] - x[begin[:-1]])) for x in sums]
                 yield pa.record_batch(
                     [b.column(0).slice(lo, hi - lo), pa.array(size), pa.array(digest[0]), pa.array(digest[1]),
-                     list_array(as_signed(s[low]), upto, pa.int64())],
+                     list_array(as_signed(s[low] ^ np.uint64(1 << 63)), upto, pa.int64())],
                     ["doc_id", "n_shingles", "set_a", "set_b", "sketch"])
 
     return sketch

@@ -67,6 +67,17 @@ def test_near_duplicates_equal_brute_force(spark, make, seed, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_isolated_pairs_at_the_threshold_link(make):
+    """A text and its beginning, 0.8 alike, with sets larger than the sketch and up to twice its size."""
+    texts = []
+    for pair in range(3000):
+        n = (60, 50, 45)[pair % 3]
+        words_ = [f"w{pair}x{j}" for j in range(n + 3)]
+        texts += [" ".join(words_), " ".join(words_[:n * 4 // 5 + 3])]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(make(texts), width=4).collect()}
+    assert [i for i in got if got[i] != i - i % 2] == []
+
+
 def test_near_duplicates_messy(messy, nothing):
     got = minhash.near_duplicates(messy, width=4).collect()
     assert len(got) == 17
