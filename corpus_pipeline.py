@@ -60,7 +60,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Training, alignment and tokenising are beyond SQL; tests hold run() against brute force.
+#: Training, alignment and tokenising are beyond SQL; tests hold the stages against planted rows, run() by its count.
 ORACLE_SQL = None
 
 
