@@ -174,3 +174,21 @@ SELECT doc_id, len(h) // 2 AS n_bytes, n_removed::BIGINT AS n_removed, n_spans,
                      - (CASE WHEN k = 0 THEN 0 ELSE his[k] END)))), ''))) AS kept_sha256
 FROM pieces
 """
+
+
+#: Every query row against every other row.
+TOP_K = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+  FROM vectors q JOIN vectors x ON q.r <> x.r WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, digests, licenses, linediff, minhash, oracle, packing, shards, suffixes, toxicity, urlgraph
+from . import (decontam, digests, licenses, linediff, minhash, oracle, packing, runs, shards, suffixes, topk, toxicity,
+               urlgraph)
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +95,31 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.train_and_score(docs, labels)
 
 
+def op12_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best vectors by whole-number inner product for every vector whose id 50 divides."""
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.exact_top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
+
+
+def repeated_tails(doc_ids: list, counts: np.ndarray) -> np.ndarray:
+    """The word at each place of the documents, where every tenth one's tail repeats its first words (drawn by id)."""
+    out = []
+    for doc_id, n in zip(doc_ids, counts.tolist()):
+        places = np.arange(n)
+        draw, tenth = divmod(zlib.crc32(b"%d" % doc_id), 10) if doc_id is not None else (0, 1)
+        if tenth == 0 and n:
+            a = draw % n
+            places[a:] = a + np.arange(n - a) % (1 + (n - a) // (3 + draw % 8))
+        out.append(places)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, and digests of the texts without repeats."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return runs.run_digests(runs.periodic_runs(docs, shortest=6, exponent=4, rewrite=repeated_tails))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_link_graph_filter": op2_link_graph_filter,
@@ -102,6 +131,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_crf_toxicity": op10_crf_toxicity,
+    "op12_pivot_top_k": op12_pivot_top_k,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE = {
@@ -110,5 +141,6 @@ ORACLE = {
     "op3_stratified_shards": oracle.SHARDS,
     "op4_suffix_dedup": oracle.SUBSTRINGS,
     "op8_exact_dedup": oracle.EXACT_DEDUP,
+    "op12_pivot_top_k": oracle.TOP_K,
     "op9_license_scan": oracle.license_scan(licenses.TEMPLATES),
 }
