@@ -192,3 +192,53 @@ WITH vectors AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+#: Every conversation's every beginning by the digest of its turns; subtrees as pairs of beginnings of one conversation.
+TRIE = """
+WITH crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+  FROM range(256) r(i)
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                     sha256(coalesce(text, ''))) - 1 AS place,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn,
+         length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), drawn AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS own FROM turns GROUP BY conv_id), crc_table
+), known AS (
+  SELECT d.*, least(d.h, coalesce(b.own, 0)) AS taken FROM drawn d LEFT JOIN drawn b ON b.conv_id = d.base
+), rebuilt AS (
+  SELECT k.conv_id, place, turn, chars FROM known k JOIN turns t ON t.conv_id = k.base AND place < k.h
+  UNION ALL
+  SELECT k.conv_id, place - h + taken, turn, chars FROM known k JOIN turns t ON t.conv_id = k.conv_id AND place >= h
+), whole AS (
+  SELECT conv_id, coalesce(list(turn ORDER BY place) FILTER (turn IS NOT NULL), []) AS l,
+         list(chars ORDER BY place) FILTER (turn IS NOT NULL) AS c
+  FROM known LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), begun AS (
+  SELECT conv_id, d, sha256(array_to_string(l[1:d], ',')) AS node, d = len(l) AS ends, coalesce(c[d], 0) AS chars,
+         CASE WHEN d > 0 THEN sha256(array_to_string(l[1:d - 1], ',')) END AS parent
+  FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(chars) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM begun GROUP BY node
+), kids AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT DISTINCT a.node, b.node AS under FROM begun a JOIN begun b ON a.conv_id = b.conv_id AND a.d <= b.d
+), sums AS (
+  SELECT below.node, sum(n.saved) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM below JOIN nodes n ON n.node = under LEFT JOIN kids ON kids.parent = under GROUP BY below.node
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+       sums.leaves AS n_leaves, sums.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON sums.node = n.node LEFT JOIN nodes p ON p.node = n.parent
+LEFT JOIN kids ON kids.parent = n.node
+"""

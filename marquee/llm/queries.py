@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (decontam, digests, licenses, linediff, minhash, oracle, packing, runs, shards, suffixes, topk, toxicity,
-               urlgraph)
+from . import (decontam, digests, licenses, linediff, minhash, oracle, packing, prefixes, runs, shards, suffixes, topk,
+               toxicity, urlgraph)
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +95,12 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.train_and_score(docs, labels)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each on the head of the first of its hundred."""
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefixes.conversation_trie(turns, span=100, most=6)
+
+
 def op12_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best vectors by whole-number inner product for every vector whose id 50 divides."""
     vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -131,6 +137,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_crf_toxicity": op10_crf_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_pivot_top_k": op12_pivot_top_k,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -141,6 +148,7 @@ ORACLE = {
     "op3_stratified_shards": oracle.SHARDS,
     "op4_suffix_dedup": oracle.SUBSTRINGS,
     "op8_exact_dedup": oracle.EXACT_DEDUP,
-    "op12_pivot_top_k": oracle.TOP_K,
     "op9_license_scan": oracle.license_scan(licenses.TEMPLATES),
+    "op11_prefix_trie": oracle.TRIE,
+    "op12_pivot_top_k": oracle.TOP_K,
 }
