@@ -79,16 +79,75 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def move_file(spark: SparkSession, path: str, folder: str) -> str:
-    """Move a file into ``folder`` (made if needed); returns where it is now."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    at, into = hadoop.Path(path), hadoop.Path(folder)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(into)
-    target = hadoop.Path(into, at.getName())
-    if not fs.rename(at, target):
-        raise OSError(f"could not move {path} to {folder}")
-    return target.toString()
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of a path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def child_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of what lies in a folder (none if it is not there), without the writers' own marks."""
+    fs, at = _at(spark, folder)
+    if not fs.exists(at):
+        return []
+    names = [s.getPath().toString() for s in fs.listStatus(at)]
+    return sorted(n for n in names if n.rsplit("/", 1)[-1] != "_SUCCESS" and not n.endswith(".crc"))
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all that is in it."""
+    fs, at = _at(spark, path)
+    fs.delete(at, True)
+
+
+def move_to(spark: SparkSession, path: str, target: str) -> str:
+    """Move a file to ``target`` (its folder is made if needed); returns where it is now.
+
+    A target that is there already is never overwritten: the file gets the
+    next free number before its suffix.
+    """
+    fs, at = _at(spark, path)
+    _, to = _at(spark, target)
+    fs.mkdirs(to.getParent())
+    folder, name = target.rsplit("/", 1)
+    stem, dot, suffix = name.partition(".")
+    n = 1
+    while fs.exists(to):
+        n += 1
+        _, to = _at(spark, f"{folder}/{stem}-{n}{dot}{suffix}")
+    if not fs.rename(at, to):
+        raise OSError(f"could not move {path} to {target}")
+    return to.toString()
+
+
+def below(spark: SparkSession, folder: str, path: str) -> str:
+    """The part of ``path`` below ``folder`` (its name alone if it lies elsewhere)."""
+    fs, at = _at(spark, folder)
+    root, whole = at.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().getPath(), _at(spark, path)[1].toUri().getPath()
+    root = root.rstrip("/") + "/"
+    return whole[len(root):] if whole.startswith(root) else whole.rsplit("/", 1)[-1]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text, read on the driver."""
+    fs, at = _at(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def commit_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet; it appears whole or not at all."""
+    fs, at = _at(spark, path)
+    _, new = _at(spark, f"{path}.{uuid.uuid4().hex[:8]}.new")
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(at) or not fs.rename(new, at):
+        fs.delete(new, False)
+        raise RuntimeError(f"another writer has committed {path}")
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

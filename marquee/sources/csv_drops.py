@@ -18,6 +18,7 @@ drop layout (one file per quarter); uncompressed drops split by
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
-from ..session import move_file, path_exists
+from ..session import below, move_to, path_exists
+from .load_history import FAILED, LOADED, LoadHistory
 
 # The revenue drop layout (positional columns and their types).
 REVENUE_DROP_COLUMNS = (
@@ -89,27 +91,28 @@ def read_drops(spark: SparkSession, path: str | Sequence[str],
 
 def load_file(spark: SparkSession, file: str, target: str,
               columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS,
-              loaded_at: str | None = None) -> int:
-    """Append one drop to the raw table at ``target``; returns rows loaded.
+              loaded_at: str | None = None, mode: str = "append") -> int:
+    """Append one drop to the raw table at ``target`` (or, with ``mode`` overwrite, put it there alone); returns rows.
 
     Any bad row raises (ANSI cast / FAILFAST) and the append is not committed.
     The row count is observed while writing, not by a second scan.
     """
     obs = Observation("load")
     df = read_drops(spark, file, columns, loaded_at, recursive=False)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(target)
     return int(obs.get["rows"])
 
 
 def list_drops(spark: SparkSession, inbox: str, suffix: str = DROP_SUFFIX) -> DataFrame:
-    """Drops in the inbox: ``path`` to read and ``uri`` as rows carry it (metadata only).
+    """Drops in the inbox: ``path`` to read, ``uri`` as rows carry it, size and time (metadata only).
 
     Rows name their file by ``_metadata.file_path``, which encodes blanks,
     ``%`` and non-ASCII letters; the manifest compares that form.
     """
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*" + suffix)
             .option("recursiveFileLookup", True).load(inbox)
-            .select("path", F.col("_metadata.file_path").alias("uri")))
+            .select("path", F.col("_metadata.file_path").alias("uri"), F.col("length").alias("size"),
+                    F.unix_millis("modificationTime").alias("modified")))
 
 
 def pending(spark: SparkSession, inbox: str, loaded_files: DataFrame | None = None,
@@ -150,29 +153,59 @@ def export_drops(df: DataFrame, path: str, partition_by: Sequence[str],
      .option("nullValue", null_value).option("compression", compression).csv(path))
 
 
+def history_root(raw_root: str) -> str:
+    """Where the load history of a raw table lies."""
+    return raw_root.rstrip("/") + "_history"
+
+
+def load_folder(raw_root: str, file: str, size: int, modified: int) -> str:
+    """The folder of one delivery's rows: the same delivery, the same folder."""
+    name = hashlib.sha256(f"{file}|{size}|{modified}".encode()).hexdigest()[:12]
+    return f"{raw_root}/source=pickup/batch={int(name, 16)}"
+
+
 def pickup_oldest(spark: SparkSession, inbox: str, raw_root: str,
                   columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS,
                   loaded_at: str | None = None, archive_dir: str | None = None,
-                  run_date: str | None = None) -> dict | None:
+                  run_date: str | None = None, history: LoadHistory | None = None,
+                  retry_failed: bool = False) -> dict | None:
     """Load the oldest drop not loaded yet; None when nothing is pending.
 
-    The manifest of loaded files is the raw table's own ``_source_file``
-    column (an anti join), so a file is never loaded twice even if it stays
-    in the inbox.  With ``archive_dir`` the loaded file moves to its folder
-    ``run_date=<run_date>``.  Returns {"file", "rows_loaded", "archived"}.
+    The load history (by default beside the raw table) says which files are
+    done.  A drop's rows go to a folder of their own, then its record is
+    written: after a crash in between the same folder is written again.  A drop
+    with a header only is recorded with 0 rows and passed over from then on.  A
+    drop that cannot be loaded leaves no rows; it is recorded as FAILED, raises,
+    and is passed over until ``retry_failed``.  With ``archive_dir`` a loaded
+    file moves to its folder ``run_date=<run_date>``, under the path that it had
+    below the inbox.  Returns {"file", "rows_loaded", "archived"}.
     """
-    loaded = spark.read.parquet(raw_root).select("_source_file") if path_exists(spark, raw_root) else None
-    path = oldest_pending(spark, inbox, loaded)
-    if path is None:
+    history = history or LoadHistory(spark, history_root(raw_root))
+    if not path_exists(spark, inbox):
+        return None
+    files = list_drops(spark, inbox).withColumnRenamed("uri", "file")
+    oldest = history.pending(files, retry_failed).agg(F.min(F.struct("path", "file", "size", "modified")).alias("f"))
+    drop = oldest.first()["f"]
+    if drop is None:
         return None
-    rows = load_file(spark, literal_path(path), raw_root, columns, loaded_at)
-    archived = None
-    if archive_dir:
-        archived = move_file(spark, path, archive_folder(archive_dir, run_date))
-    return {"file": path, "rows_loaded": rows, "archived": archived}
+    entry = {k: drop[k] for k in ("file", "size", "modified")}
+    folder = load_folder(raw_root, **entry)
+    try:
+        rows = load_file(spark, literal_path(drop["path"]), folder, columns, loaded_at, mode="overwrite")
+    except Exception as ex:
+        history.record([{**entry, "status": FAILED, "error": str(ex)[:500]}])
+        raise
+    history.record([{**entry, "status": LOADED, "rows": rows}])
+    archived = archive_file(spark, inbox, drop["path"], archive_dir, run_date) if archive_dir else None
+    return {"file": drop["path"], "rows_loaded": rows, "archived": archived}
 
 
 def archive_folder(archive_dir: str, run_date: str | None) -> str:
     """The archive's folder of a run (by default the run of today, UTC)."""
     day = run_date or datetime.now(timezone.utc).date().isoformat()
     return f"{archive_dir}/run_date={day}"
+
+
+def archive_file(spark: SparkSession, inbox: str, path: str, archive_dir: str, run_date: str | None = None) -> str:
+    """Move a file of the inbox to the run's folder of the archive, its path below the inbox kept."""
+    return move_to(spark, path, f"{archive_folder(archive_dir, run_date)}/{below(spark, inbox, path)}")

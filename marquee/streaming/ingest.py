@@ -8,21 +8,28 @@
 * Each micro-batch is written by ``foreachBatch`` into its own folder of its
   own stream with mode overwrite: a batch replayed after a failure rewrites
   the same folder instead of appending twice.
+* Every file read, with or without rows, is recorded in the load history, which
+  other loaders ask; nobody scans the rows for their file names.
 * Late re-deliveries (same id in a newer file) are resolved on read by the
-  latest-wins de-duplication over the append-only raw table.
+  latest-wins de-duplication over the append-only raw table (``latest_rows``),
+  or merged as they come by the key partitions touched (``merge_available``).
 * The checkpoint lives below the cluster's shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import dedupe_latest
-from ..session import move_file, path_exists
+from ..session import child_files, read_text
 from ..sources import csv_drops
+from ..sources.keyed_table import KeyedTable
+from ..sources.load_history import IDENTITY, LOADED, LoadHistory, bucket_of
 
 
 def drop_stream(spark: SparkSession, inbox: str,
@@ -42,54 +49,120 @@ def drop_stream(spark: SparkSession, inbox: str,
     return csv_drops.typed(raw, columns, required=required)
 
 
-def _batch_writer(spark: SparkSession, target: str, checkpoint: str, written: list[str]):
+def _log_offset(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """The last entry of the source's file log that a micro-batch read (-1 before the first)."""
+    if batch_id < 0:
+        return -1
+    source = read_text(spark, f"{checkpoint}/offsets/{batch_id}").strip().splitlines()[-1]
+    return int(json.loads(source)["logOffset"])
+
+
+def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str]:
+    """The files that a micro-batch read, as rows name them; those without rows too.
+
+    Read from the stream's own log of files, the entries of this batch only.
+    """
+    first, last = (_log_offset(spark, checkpoint, n) for n in (batch_id - 1, batch_id))
+    log = f"{checkpoint}/sources/0"
+    names = {f"{n}{end}" for n in range(first + 1, last + 1) for end in ("", ".compact")}
+    paths = [f for f in child_files(spark, log) if f.rsplit("/", 1)[-1] in names]
+    if not paths:
+        return []
+    entries = spark.read.text(paths).where(F.col("value").startswith("{")).select(
+        F.from_json("value", "path string, batchId bigint").alias("e"))
+    own = entries.where((F.col("e.batchId") > first) & (F.col("e.batchId") <= last))
+    # The log writes an empty authority (file:///a), rows do not (file:/a).
+    return sorted({re.sub(r"^([a-zA-Z][a-zA-Z0-9+.-]*):///", r"\1:/", r[0]) for r in own.select("e.path").collect()})
+
+
+class _Run:
+    """What the micro-batches of one run wrote and loaded."""
+
+    def __init__(self, history: LoadHistory | None = None, inbox: str | None = None, suffix: str = csv_drops.DROP_SUFFIX):
+        self.history, self.inbox, self.suffix = history, inbox, suffix
+        self.folders: list[str] = []
+        self.paths: list[str] = []
+
+
+def _batch_writer(spark: SparkSession, target: str, checkpoint: str, run: _Run):
     """The function that writes a micro-batch and notes its folder.
 
     A batch is written to ``source=<id>/batch=<n>``, the id being that of the
     stream, which its checkpoint keeps: a replayed batch rewrites its own
     folder, and a stream with a fresh checkpoint cannot touch the folders of
-    another.  Files that another stream has loaded are left out, by the same
-    manifest as the batch pickup (the table's ``_source_file``).
+    another.  Files that the load history has from another loader are left out;
+    the batch's own files are recorded there once their rows are written.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
-        folder = f"{target}/source={stream}/batch={batch_id}"
-        if "_source_file" in batch.columns and path_exists(spark, target):
-            others = (spark.read.option("basePath", target).parquet(target)
-                           .where(F.col("source") != stream).select("_source_file").distinct())
-            batch = batch.join(others, "_source_file", "left_anti")
+        stream = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+        folder, files = f"{target}/source={stream}/batch={batch_id}", None
+        if run.history is not None:
+            names = batch_files(spark, checkpoint, batch_id)
+            listed = csv_drops.list_drops(spark, run.inbox, run.suffix).withColumnRenamed("uri", "file")
+            found = listed.where(F.col("file").isin(names))
+            done = run.history.latest(sorted({bucket_of(n) for n in names})).where(
+                (F.col("status") == LOADED) & (F.col("loader") != stream)).select(*IDENTITY, F.lit(True).alias("_done"))
+            files = found.join(done, list(IDENTITY), "left").collect()  # the files of one micro-batch
+            batch = batch.where(~F.col("_source_file").isin([f["file"] for f in files if f["_done"]]))
         (batch.withColumn("_loaded_at", F.localtimestamp())
               .withColumn("_batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").parquet(folder))
-        written.append(folder)
+        run.folders.append(folder)
+        if files:
+            count = {r["_source_file"]: r["n"] for r in spark.read.parquet(folder).groupBy("_source_file")
+                     .agg(F.count(F.lit(1)).alias("n")).collect()}
+            run.history.record([{**{c: f[c] for c in IDENTITY}, "status": LOADED, "rows": count.get(f["file"], 0)}
+                                for f in files if not f["_done"]], loader=stream)
+            run.paths += [f["path"] for f in files]
     return write
 
 
-def _run_to_end(rows: DataFrame, target: str, checkpoint: str) -> list[str]:
-    """Run everything pending; returns the folders of the micro-batches written."""
-    written: list[str] = []
-    q = (rows.writeStream.foreachBatch(_batch_writer(rows.sparkSession, target, checkpoint, written))
+def _run_to_end(rows: DataFrame, target: str, checkpoint: str, run: _Run) -> None:
+    """Run everything pending."""
+    q = (rows.writeStream.foreachBatch(_batch_writer(rows.sparkSession, target, checkpoint, run))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return written
 
 
 def ingest_available(spark: SparkSession, inbox: str, target: str, checkpoint: str,
                      columns: Sequence[tuple[str, str]] = csv_drops.REVENUE_DROP_COLUMNS,
                      archive_dir: str | None = None, suffix: str = csv_drops.DROP_SUFFIX,
-                     run_date: str | None = None) -> int:
+                     run_date: str | None = None, history: LoadHistory | None = None) -> int:
     """Load every drop not loaded before; returns the number of micro-batches run.
 
-    With ``archive_dir`` the files that this run loaded rows from then move
-    from the inbox to the archive's folder ``run_date=<run_date>``.
+    The load history lies beside the table unless given.  With ``archive_dir``
+    the files of this run, those without rows too, then move from the inbox to
+    the archive's folder ``run_date=<run_date>``, their path below the inbox kept.
     """
-    folders = _run_to_end(drop_stream(spark, inbox, columns, suffix=suffix), target, checkpoint)
-    if archive_dir and folders:
-        done = spark.read.parquet(*folders).select(F.col("_source_file").alias("uri")).distinct()
-        # As many rows as files in this run, which the stream has listed on the driver already.
-        for row in csv_drops.list_drops(spark, inbox, suffix).join(done, "uri").collect():
-            move_file(spark, row["path"], csv_drops.archive_folder(archive_dir, run_date))
-    return len(folders)
+    run = _Run(history or LoadHistory(spark, csv_drops.history_root(target)), inbox, suffix)
+    _run_to_end(drop_stream(spark, inbox, columns, suffix=suffix), target, checkpoint, run)
+    if archive_dir:
+        for path in run.paths:  # as many as files in this run, which the stream has listed on the driver already
+            csv_drops.archive_file(spark, inbox, path, archive_dir, run_date)
+    return len(run.folders)
+
+
+def merge_available(spark: SparkSession, inbox: str, table: KeyedTable, checkpoint: str,
+                    columns: Sequence[tuple[str, str]] = csv_drops.REVENUE_DROP_COLUMNS,
+                    suffix: str = csv_drops.DROP_SUFFIX, max_files_per_trigger: int | None = None) -> list[dict]:
+    """Merge every drop not merged before into ``table``; returns what each micro-batch rewrote.
+
+    The table keeps the latest row of each key, so readers need no de-duplication,
+    and a micro-batch rewrites the key partitions that it touches.  Rows carry
+    the number of their micro-batch as ``_batch_id``, which the table may order
+    by.  A replayed micro-batch is applied once.
+    """
+    done: list[dict] = []
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        stream = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+        rows = batch.withColumn("_loaded_at", F.localtimestamp()).withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        done.append(table.merge(rows, applied=(stream, batch_id)))
+
+    rows = drop_stream(spark, inbox, columns, max_files_per_trigger, suffix)
+    (rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+    return done
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:
@@ -129,4 +202,6 @@ def ingest_log_batches(spark: SparkSession, inbox: str, target: str, checkpoint:
               .option("recursiveFileLookup", True).text(inbox))
     rows = json_docs.unpack_log_batches(stream.withColumnRenamed("value", "batch"),
                                         ddl=ddl or json_docs.LOG_ROW_DDL)
-    return len(_run_to_end(rows, target, checkpoint))
+    run = _Run()
+    _run_to_end(rows, target, checkpoint, run)
+    return len(run.folders)
