@@ -361,7 +361,8 @@ def q_csv_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "csv-roundtrip")
     o = _orders(spark, sf_dir).withColumns({"year": F.year("o_orderdate"), "quarter": F.quarter("o_orderdate")})
     # History comes as a seed from a place of its own, the rest through the inbox.
-    for place, rows in (("seed", o.where("year <= 1994")), ("inbox", o.where("year > 1994"))):
+    old = "coalesce(year, 0) <= 1994"  # orders without a date are history
+    for place, rows in (("seed", o.where(old)), ("inbox", o.where(f"NOT ({old})"))):
         csv_drops.export_drops(rows, f"{root}/{place}", ["year", "quarter"])
         csv_drops.load_file(spark, f"{root}/{place}", f"{root}/raw", ORDERS_COLUMNS)
     return spark.read.parquet(f"{root}/raw").select(*ORDER_NAMES)
@@ -418,8 +419,8 @@ def q_incremental_ingest(spark, sf_dir):
 
 
 def _drops(spark, sf_dir) -> list[DataFrame]:
-    """The orders in three parts by year."""
-    o, year = _orders(spark, sf_dir), F.year("o_orderdate")
+    """The orders in three parts by year; those without a date are in the first."""
+    o, year = _orders(spark, sf_dir), F.coalesce(F.year("o_orderdate"), F.lit(0))
     return [o.where(year <= 1995), o.where(year.between(1996, 1997)), o.where(year >= 1998)]
 
 
@@ -463,6 +464,124 @@ def q_pickup_once(spark, sf_dir):
                                           F.url_decode(folder).alias("drop_name"))
 
 
+@query("load_history")
+def q_load_history(spark, sf_dir):
+    """A3-A5: what became of each drop: loaded, without rows, of an equal name, not loadable, delivered again mended."""
+    from ..session import scratch_path
+    from ..sources import csv_drops
+    from ..sources.load_history import LoadHistory
+    root = scratch_path(spark, "history")
+    inbox, raw = f"{root}/inbox", f"{root}/raw"
+    drops = _drops(spark, sf_dir)
+    _deliver(drops[0], f"{inbox}/1-first")
+    _deliver(drops[0].limit(0), f"{inbox}/2-header-only")
+    _deliver(drops[1].withColumn("o_totalprice", F.lit("n.a.")), f"{inbox}/3-bad")
+    _deliver(drops[1], f"{inbox}/4-mended")
+    _deliver(drops[2], f"{inbox}/5-last")
+
+    history, failed, more = LoadHistory(spark, csv_drops.history_root(raw)), 0, True
+    while more:
+        try:
+            more = csv_drops.pickup_oldest(spark, inbox, raw, ORDERS_COLUMNS, loaded_at=S.AS_OF_TS)
+        except Exception:
+            failed, before = history.latest().where("status = 'FAILED'").count(), failed
+            if failed == before:  # not a drop that could not be loaded
+                raise
+    loaded = spark.read.parquet(raw).groupBy(F.col("_source_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows_held"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"))
+    name = F.element_at(F.split("file", "/"), -2).alias("drop_name")  # a drop is a folder of files
+    return history.latest().join(loaded, "file", "left").groupBy(name, "status").agg(
+        F.sum("rows").alias("rows_loaded"), F.coalesce(F.sum("rows_held"), F.lit(0)).alias("rows_held"),
+        F.sum("total").cast("double").alias("total"))
+
+
+@query("merged_ingest")
+def q_merged_ingest(spark, sf_dir):
+    """Drops and three rounds of corrections merged by the key ranges that they touch."""
+    from ..session import scratch_path
+    from ..sources.keyed_table import KeyedTable
+    from ..streaming import ingest
+    root = scratch_path(spark, "merged")
+    inbox = f"{root}/inbox"
+    schema = ", ".join(f"{n} {t}" for n, t in ORDERS_COLUMNS) + ", _batch_id bigint"
+    table = KeyedTable(spark, f"{root}/orders", schema, "o_orderkey", ["_batch_id"],
+                       partition=F.floor(F.col("o_orderkey") / ORDER_RANGE))
+    drops = _drops(spark, sf_dir)
+    for k, drop in enumerate(drops):
+        _deliver(drop, f"{inbox}/drop{k}")
+        ingest.merge_available(spark, inbox, table, f"{root}/_checkpoint", ORDERS_COLUMNS)
+    for k, drop in enumerate(drops):
+        late = drop.where(F.col("o_orderkey") % 7 <= k).withColumns({
+            "o_orderstatus": F.lit(f"C{k}"), "o_totalprice": F.col("o_totalprice") + k})
+        _deliver(late, f"{inbox}/corrected{k}")
+        ingest.merge_available(spark, inbox, table, f"{root}/_checkpoint", ORDERS_COLUMNS)
+    return table.read().select(*ORDER_NAMES)
+
+
+#: Order keys of one partition of the merged table.
+ORDER_RANGE = 50_000
+
+
+@query("incremental_star")
+def q_incremental_star(spark, sf_dir):
+    """The star after late first-year rows and corrections, by propagating each batch to its titles."""
+    from . import incremental
+    s = star(spark, sf_dir)
+    raw = S.raw_revenues(spark, sf_dir)
+    title = F.crc32(F.trim("title").cast("binary")) % 5
+    late = (title == 0) & (F.year("revenue_date") <= LATE_YEAR)
+    wrong = F.col("id").cast("bigint") % 97 == 0
+    first = raw.where(~F.coalesce(late, F.lit(False))).withColumns({
+        "title": F.when(wrong, F.lit("Wrong title")).otherwise(F.col("title")),
+        "revenue": F.when(wrong, F.col("revenue") + 5).otherwise(F.col("revenue")).cast("decimal(12,0)"),
+        "distributor": F.when(wrong, F.lit("Nobody")).otherwise(F.col("distributor")),
+        "_loaded_at": F.when(wrong, F.col("_loaded_at") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("_loaded_at"))})
+    live = incremental.fresh(spark, s["stg_docs"], buckets=16)
+    for batch in (first, raw.where(late), raw.where(wrong)):
+        live.apply(batch)
+    t = live.tables()
+    null = F.lit(None)
+    fact = t["fact_daily_revenue"].select(
+        F.lit("fact").alias("kind"), F.col("source_row_id").alias("key"), F.col("movie_key").alias("other_key"),
+        F.col("date_key").alias("number"), F.col("revenue").cast("bigint").alias("revenue"))
+    movies = t["dim_movie"].select(F.lit("movie").alias("kind"), F.col("imdb_id").alias("key"), F.col("lookup_title").alias("other_key"),
+                                   F.col("release_year").alias("number"), F.col("lifetime_revenue").cast("bigint").alias("revenue"))
+    dists = t["dim_distributor"].select(
+        F.lit("distributor").alias("kind"), F.col("distributor_key").alias("key"), null.cast("string").alias("other_key"),
+        F.col("films_distributed_n").cast("int").alias("number"), F.col("lifetime_revenue").cast("bigint").alias("revenue"))
+    return fact.unionByName(movies).unionByName(dists)
+
+
+#: First-year rows up to this year come late, for a fifth of the titles.
+LATE_YEAR = 1996
+
+
+@query("call_log_batches")
+def q_call_log_batches(spark, sf_dir):
+    """Every call is a row, shipped in batches of up to 50; two runs of one second are two runs."""
+    from ..session import scratch_path
+    from ..sources.tables import read_table
+    from . import warehouse
+    root = scratch_path(spark, "calls")
+    e = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    kind = F.when(F.col("event_type") == "signup", "timeout")
+    status = F.when(F.col("event_type") == "click", 429).when(F.col("event_type") == "view", 503).otherwise(200)
+    calls = e.select("event_id", F.concat(F.lit("u"), F.col("user_id") % 5).alias("lookup_title"),
+                     F.lit(2003).alias("lookup_year"), kind.alias("error_kind"), status.alias("http_status"),
+                     F.lit("r").alias("reason"), F.when(F.col("event_type") == "purchase", '{"Response":"False"}').alias("body"),
+                     (F.col("value") < WRITE_FAIL_FROM).alias("write_ok"), F.lit("disk full").alias("write_error"))
+    for k in range(2):
+        run = calls.where(F.col("event_id") % 2 == k).drop("event_id")
+        for _ in range(2):  # a run that is repeated rewrites its own rows
+            warehouse.record_calls(spark, run, f"{root}/docs", f"{root}/log", "2024-01-30T09:00:00")
+    log = spark.read.parquet(f"{root}/log")
+    per_batch = log.groupBy("run", "batch_no", "outcome").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per_batch.groupBy("run", "batch_no").agg(F.sum("n").alias("rows"))
+    return per_batch.groupBy("run", "outcome").agg(F.sum("n").alias("n_calls")).join(
+        sizes.groupBy("run").agg(F.count(F.lit(1)).alias("n_batches"), F.sum("rows").alias("n_rows"),
+                                 F.max("rows").alias("largest")), "run").drop("run")
+
+
 @query("documents_once")
 def q_documents_once(spark, sf_dir):
     """Documents written twice, the second time corrected; one per record stays."""

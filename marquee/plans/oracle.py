@@ -499,3 +499,38 @@ ORACLE.update({
                             (SELECT count(*) FROM (SELECT 1 FROM stg GROUP BY revenue_date, title, distributor
                                                    HAVING count(*) > 1))]) AS failures)""", "stg"),
 })
+
+
+_PART = "CASE WHEN coalesce(year(o_orderdate), 0) <= 1995 THEN 0 WHEN year(o_orderdate) <= 1997 THEN 1 ELSE 2 END"
+ORACLE.update({
+    "load_history": f"""WITH parts AS (
+  SELECT {_PART} AS k, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+  FROM orders GROUP BY 1
+), drops(drop_name, k, status) AS (VALUES
+  ('1-first', 0, 'LOADED'), ('2-header-only', NULL, 'LOADED'), ('3-bad', NULL, 'FAILED'),
+  ('4-mended', 1, 'LOADED'), ('5-last', 2, 'LOADED'))
+SELECT drop_name, status, CASE WHEN status = 'LOADED' THEN coalesce(n, 0) END AS rows_loaded,
+       coalesce(n, 0) AS rows_held, total
+FROM drops LEFT JOIN parts USING (k)""",
+    "merged_ingest": f"""SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 7 <= k THEN 'C' || k ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 7 <= k THEN o_totalprice + k ELSE o_totalprice END AS o_totalprice,
+  o_orderdate, o_orderpriority
+FROM (SELECT *, {_PART} AS k FROM orders)""",
+    "call_log_batches": """WITH calls AS (
+  SELECT event_id % 2 AS run, CASE event_type WHEN 'signup' THEN 'error_timeout' WHEN 'click' THEN 'error_429'
+           WHEN 'view' THEN 'error_5xx' WHEN 'purchase' THEN CASE WHEN value < 450 THEN 'not_found' ELSE 'error_other' END
+           ELSE 'error_other' END AS outcome
+  FROM events
+), sizes AS (SELECT run, count(*) AS n FROM calls GROUP BY run)
+SELECT outcome, count(*) AS n_calls, any_value(n + 49) // 50 AS n_batches, any_value(n) AS n_rows,
+       least(any_value(n), 50) AS largest
+FROM calls JOIN sizes USING (run) GROUP BY run, outcome""",
+})
+
+ORACLE["incremental_star"] = sql("""
+SELECT 'fact' AS kind, source_row_id AS key, movie_key AS other_key, date_key AS number,
+       CAST(revenue AS BIGINT) AS revenue FROM fact
+UNION ALL SELECT 'movie', imdb_id, lookup_title, CAST(release_year AS INTEGER), CAST(lifetime_revenue AS BIGINT) FROM dim_movie
+UNION ALL SELECT 'distributor', distributor_key, NULL, CAST(films_distributed_n AS INTEGER),
+       CAST(lifetime_revenue AS BIGINT) FROM dim_distributor""", "fact", "dim_movie", "dim_distributor")

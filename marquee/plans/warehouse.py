@@ -58,17 +58,29 @@ def enrichment_queue(spark: SparkSession, raw_root: str, docs_root: str, log: Da
     return queue.take(q, queue.effective_limit(log, as_of, requested), "title")
 
 
+def run_name(responses: DataFrame, fetched_at: str) -> str:
+    """A run's name from its time and its calls: the same run repeated has the same name, another one has not."""
+    row = F.xxhash64(*[F.col(c) for c in sorted(responses.columns)])
+    n, total = responses.agg(F.count(F.lit(1)), F.sum(F.pmod(row, F.lit((1 << 40) - 87)))).first()
+    return f"{fetched_at.replace(':', '').replace(' ', 'T')}-{n}-{total or 0:x}"
+
+
 def record_calls(spark: SparkSession, responses: DataFrame, docs_root: str, log_root: str,
-                 fetched_at: str) -> DataFrame:
+                 fetched_at: str, run_id: str | None = None) -> DataFrame:
     """Classify one run's responses, write documents, append the log.
 
-    ``responses``: lookup_title, lookup_year, error_kind, http_status, reason,
-    body (JSON text or NULL), write_ok (did the document write succeed),
-    write_error.  Returns the log rows appended.
+    ``responses``: one row per call (equal calls are calls each): lookup_title,
+    lookup_year, error_kind, http_status, reason, body (JSON text or NULL),
+    write_ok (did the document write succeed), write_error.  The log gets one
+    row per call, shipped in batches of up to 50 (``batch_no``), in the folder of
+    the run: a run that is repeated rewrites its own rows.  ``run_id`` names the
+    run; without it, its time and calls do, so two runs of one second are two
+    unless they made the very same calls.  Returns the log rows appended.
     """
+    run = f"{log_root}/run={run_id or run_name(responses, fetched_at)}"
     outcome, status, message = O.classify()
-    r = responses.select("*", outcome.alias("outcome"), status.alias("status"),
-                         message.alias("message"))
+    r = json_docs.numbered_calls(responses.select("*", outcome.alias("outcome"), status.alias("status"),
+                                                  message.alias("message")))
     ts = F.to_timestamp_ntz(F.lit(fetched_at))
     envelope = F.to_json(F.struct(
         F.struct(F.col("lookup_title").alias("title"), F.col("lookup_year").alias("year")).alias("_lookup"),
@@ -80,16 +92,13 @@ def record_calls(spark: SparkSession, responses: DataFrame, docs_root: str, log_
                     K.record_id(J.vget(body, "$.imdbID"), "lookup_title", "lookup_year").alias("record")))
     json_docs.write_documents(docs, docs_root, key="record")
     final_outcome, final_message = O.remap_failed_write("outcome", "message", "write_ok", "write_error")
-    calls = r.select("lookup_title", "lookup_year", final_outcome.alias("outcome"),
-                     F.col("status").alias("http_status"), final_message.alias("error_message"))
-    # Batches of bounded size: calls are numbered by a hash of their lookup.
-    numbered = calls.withColumn("call_at", ts).withColumn(
-        "call_no", F.xxhash64("lookup_title", "lookup_year", "outcome", "http_status", "error_message"))
-    batches = json_docs.pack_log_batches(numbered, seq="call_no", ddl=json_docs.CALL_ROW_DDL)
-    log = (json_docs.unpack_log_batches(batches, ddl=json_docs.CALL_ROW_DDL)
-           .select("lookup_title", "lookup_year", ts.alias("call_at"), "outcome", "http_status", "error_message"))
-    # One folder for each run: a run that is repeated rewrites its own rows.
-    run = f"{log_root}/run={fetched_at.replace(':', '').replace(' ', 'T')}"
+    calls = r.select("call_no", "lookup_title", "lookup_year", final_outcome.alias("outcome"),
+                     F.col("status").alias("http_status"), final_message.alias("error_message"), ts.alias("call_at"))
+    batches = json_docs.pack_log_batches(calls, seq="call_no", ddl=json_docs.CALL_ROW_DDL)
+    log = (json_docs.unpack_log_batches(batches.withColumnRenamed("block", "batch_no"), ddl=json_docs.CALL_ROW_DDL,
+                                        keep=("batch_no",))
+           .select("lookup_title", "lookup_year", ts.alias("call_at"), "outcome", "http_status", "error_message",
+                   "batch_no"))
     log.write.mode("overwrite").parquet(run)
     return spark.read.parquet(run)
 

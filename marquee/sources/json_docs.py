@@ -12,7 +12,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import json as J
@@ -58,7 +59,8 @@ def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
     rows = new
     held = spark.read.text(path) if path_exists(spark, path) else new
     if held.columns == ["value", *days]:  # else there is nothing yet
-        old = _days_as_text(held).join(new.select(*days).distinct(), list(days), "left_semi")
+        # The days of one run, as literals: only their folders are listed and read.
+        old = _days_as_text(held.where(days_touched(new.select(*days).distinct().collect())))
         v = J.parse("value")
         rows = new.unionByName(old.select(
             J.vget(v, "$._record").alias("record"), "value", F.lit(None).cast(new.schema["at"].dataType).alias("at"),
@@ -73,6 +75,17 @@ def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
           .option("partitionOverwriteMode", "dynamic").partitionBy(*days).text(path))
 
 
+def days_touched(days: list) -> Column:
+    """Partition predicate of some days (rows of yyyy, mm, dd)."""
+    months: dict[tuple[int, int], list[int]] = {}
+    for y, m, d in days:
+        months.setdefault((int(y), int(m)), []).append(int(d))
+    out = F.lit(False)
+    for (y, m), own in sorted(months.items()):
+        out = out | ((F.col("yyyy") == y) & (F.col("mm") == m) & F.col("dd").isin(own))
+    return out
+
+
 def _days_as_text(df: DataFrame) -> DataFrame:
     """Day folders as the text they are written as (a reader may take them for numbers)."""
     return df.withColumns({"yyyy": F.col("yyyy").cast("string"),
@@ -100,6 +113,23 @@ def log_columns(ddl: str) -> list[str]:
     return [c.strip().split(" ")[0] for c in ddl.split(",")]
 
 
+def numbered_calls(calls: DataFrame, seq: str = "call_no") -> DataFrame:
+    """``calls`` with gapless numbers from 0; equal calls are numbered each.
+
+    Rows are written once with their partition and place; the partitions' counts
+    (one row each) become offsets, so no task numbers more than its partition.
+    """
+    spark, path = calls.sparkSession, scratch_path(calls.sparkSession, "calls")
+    calls.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(offsets), "_part")
+                .withColumn(seq, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1))
+                .drop("_part", "_before", "_at"))
+
+
 def pack_log_batches(log: DataFrame, ts: str = "call_at", seq: str = "event_id",
                      rows: int = LOG_BATCH_ROWS, ddl: str = LOG_ROW_DDL) -> DataFrame:
     """Log rows -> JSON array texts of at most ``rows`` rows (per day and id block).
@@ -110,8 +140,10 @@ def pack_log_batches(log: DataFrame, ts: str = "call_at", seq: str = "event_id",
             .agg(J.pack_json_array(*log_columns(ddl)).alias("batch")))
 
 
-def unpack_log_batches(batches: DataFrame, batch: str = "batch", ddl: str = LOG_ROW_DDL) -> DataFrame:
-    return batches.select(F.inline(J.unpack_json_array(batch, ddl)))
+def unpack_log_batches(batches: DataFrame, batch: str = "batch", ddl: str = LOG_ROW_DDL,
+                       keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per element of the arrays, with the columns ``keep`` of their batch."""
+    return batches.select(*keep, F.inline(J.unpack_json_array(batch, ddl)))
 
 
 def append_log_batches(batches: DataFrame, target: str, ddl: str = LOG_ROW_DDL) -> None:
