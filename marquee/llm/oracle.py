@@ -168,6 +168,7 @@ WITH docs AS (
          coalesce(los, []) AS los, coalesce(his, []) AS his FROM docs LEFT JOIN cuts USING (r)
 )
 SELECT doc_id, len(h) // 2 AS n_bytes, n_removed::BIGINT AS n_removed, n_spans,
+       len(h) // 2 - n_removed::BIGINT AS kept_bytes, n_spans > 0 AS has_repeats,
        sha256(unhex(array_to_string(list_transform(range(0, len(los) + 1), lambda k:
          substr(h, CASE WHEN k = 0 THEN 1 ELSE 2 * his[k] + 1 END,
                 2 * ((CASE WHEN k = len(los) THEN len(h) // 2 ELSE los[k + 1] END)

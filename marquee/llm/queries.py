@@ -45,9 +45,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of all documents without 400-byte strings that start elsewhere too."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     out = suffixes.substring_dedup(docs, length=400)
-    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+    left = F.octet_length("kept").cast("long")
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - left).alias("n_removed"),
                       F.size("removed").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"),
+                      left.alias("kept_bytes"), (F.size("removed") > 0).alias("has_repeats"))
 
 
 def op5_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

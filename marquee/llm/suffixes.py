@@ -16,9 +16,11 @@ Wanted are the places whose ``length``-byte string also starts elsewhere.
    shift below ``period`` brings both to sample places, whose ranks tell the
    next bytes apart without reading them; the last bytes are compared as they
    are.  Memory is that of the bucket, whatever the length of the ties.
-3. A core with more stretches than a bucket holds (a passage found all over
-   the corpus, between different neighbours) is split by place: its strings
-   are counted one by one, by two 64-bit hashes, with map-side combine.
+3. A core with more kinds of stretch than a bucket holds (a passage found all
+   over the corpus, between different neighbours) is dealt by further bytes: its
+   stretches are cut again in steps of fewer offsets, whose cores are longer,
+   and the same two stages decide these.  With steps of one offset the core is
+   the string itself, so this ends.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ from .common import (BASE_B, SLICE_BYTES, U64, as_signed, materialize, mix, pref
                      text_buffer)
 
 GRAM = 8
-#: Offsets of one stretch; bytes of one bucket; stretches of one core in a bucket.
-STEP, BUCKET_BYTES, HEAVY = 128, 2 << 20, 2048
+#: Offsets of one stretch; bytes of one bucket; kinds of stretch of one core in a bucket; steps are refined by FINER.
+STEP, BUCKET_BYTES, HEAVY, FINER = 128, 2 << 20, 2048, 8
 
 
 # --- stretches ---------------------------------------------------------------
@@ -92,7 +94,7 @@ def _chunks(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, int, i
 def _stretch_table(length: int, step: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            flat, offsets = text_buffer(b.column(1))
+            flat, offsets = text_buffer(b.column(2))
             for lo, hi, c, z in _chunks(offsets, length):
                 sizes = np.diff(offsets[lo:hi + 1])
                 ends = np.repeat(offsets[lo + 1:hi + 1], sizes)[c - offsets[lo]:z - offsets[lo]]
@@ -100,9 +102,10 @@ def _stretch_table(length: int, step: int):
                                                       ends - np.arange(c, z), length, step)
                 row = np.searchsorted(offsets, start + c, "right") - 1
                 yield pa.record_batch(
-                    [b.column(0).take(pa.array(row)), pa.array(start + c - offsets[row]),
-                     pa.array(count.astype(np.int32)), pa.array(as_signed(core)), pa.array(as_signed(whole))],
-                    ["doc_id", "start", "n", "core", "whole"])
+                    [b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
+                     pa.array(start + c - offsets[row]), pa.array(count.astype(np.int32)),
+                     pa.array(as_signed(core)), pa.array(as_signed(whole))],
+                    ["k1", "k2", "start", "n", "core", "whole"])
 
     return run
 
@@ -235,13 +238,14 @@ def _sort_bucket(length: int, period: int):
 # --- the job -------------------------------------------------------------------
 
 def _cut_bodies(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows (text, wanted stretches) to rows (core, whole, n, heavy, body)."""
+    """Rows (data, wanted stretches) to rows (core, whole, n, heavy, body)."""
     kind = pa.schema([("core", pa.int64()), ("whole", pa.int64()), ("n", pa.int32()), ("heavy", pa.bool_()),
                       ("body", pa.binary())])
     for b in batches:
         rows: list[tuple] = []
         for text, wanted in zip(b.column(0), b.column(1)):
-            data = (text.as_py() or "").encode()
+            data = text.as_py() or b""
+            data = data.encode() if isinstance(data, str) else data
             for w in wanted.as_py():
                 rows.append((w["core"], w["whole"], w["n"], w["heavy"],
                              data[w["start"]:w["start"] + w["n"] - 1 + length]))
@@ -252,53 +256,34 @@ def _cut_bodies(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], kind)
 
 
-def _place_hashes(length: int):
-    """Rows (core, whole, n, body) to a row for each place: (core, whole, at, hash_a, hash_b)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            flat, offsets = text_buffer(b.column(3))
-            n = b.column(2).to_numpy().astype(np.int64)
-            row = np.repeat(np.arange(len(n)), n)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            i = offsets[:-1][row] + at
-            ha = range_hash(prefix_sums(flat), i, i + length)
-            hb = range_hash(prefix_sums(flat, BASE_B), i, i + length, BASE_B)
-            yield pa.record_batch([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
-                                   pa.array(at.astype(np.int32)), pa.array(as_signed(ha)), pa.array(as_signed(hb))],
-                                  ["core", "whole", "at", "hash_a", "hash_b"])
-
-    return run
-
-
-def repeated_places(rows: DataFrame, length: int = 400) -> DataFrame:
-    """(doc_id, spans): byte ranges [lo, hi) covered by strings that start elsewhere too, unmerged.
+def _repeated_runs(rows: DataFrame, length: int, step: int) -> DataFrame:
+    """(k1, k2, runs): runs [lo, hi) of places whose string starts elsewhere too; a row's runs may be in several rows.
 
-    ``rows`` has doc_id and text.
+    ``rows`` has the key k1 (may be null), k2 and data (text or bytes); rows of one key have the same data.
     """
-    if length < 2 * GRAM:
-        raise ValueError(f"length must be at least {2 * GRAM}")
-    step, period = min(STEP, length // 3), 40 if length >= 80 else GRAM
+    period = 40 if length >= 80 else GRAM
     # Every place of every text is covered here; a stretch is one of about 90 places.
     found = materialize(rows.mapInArrow(_stretch_table(length, step),
-                                        "doc_id long, start long, n int, core long, whole long"), "stretches")
+                                        "k1 long, k2 long, start long, n int, core long, whole long"), "stretches")
     # (Written before it is joined: a join of two plain tables may split a hot core.)
     cores = materialize(found.groupBy("core").agg(F.count(F.lit(1)).alias("_c"))
                              .filter("_c > 1").select("core"), "cores")
     again = materialize(found.join(cores, "core"), "repeated-cores")
     kinds = materialize(again.groupBy("core", "whole").agg(
         F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "start")).alias("at")), "kinds")
+        F.min(F.struct(F.col("k1").isNull(), "k1", "k2", "start")).alias("at")), "kinds")
     several = materialize(kinds.groupBy("core").agg(F.count(F.lit(1)).alias("_kinds"))
                                .filter("_kinds > 1"), "several")
     mixed = kinds.join(several, "core")
     # One text of each kind of stretch, cut out where the kind was first seen.
-    wanted = (mixed.withColumn("heavy", F.col("_kinds") > HEAVY)
-                   .groupBy(F.col("at.doc_id").alias("_doc"))
+    heavy = F.col("_kinds") > HEAVY if step > 1 else F.lit(False)
+    wanted = (mixed.withColumn("heavy", heavy)
+                   .groupBy(F.col("at.k1").alias("_k1"), F.col("at.k2").alias("_k2"))
                    .agg(F.collect_list(F.struct("core", "whole", "n", "heavy", F.col("at.start").alias("start")))
                          .alias("wanted")))
+    same = F.col("k1").eqNullSafe(F.col("_k1")) & (F.col("k2") == F.col("_k2"))
     bodies = materialize(
-        rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("text", "wanted")
+        rows.join(wanted, same).select("data", "wanted")
             .mapInArrow(lambda it: _cut_bodies(it, length),
                         "core long, whole long, n int, heavy boolean, body binary"), "bodies")
     total = bodies.filter("NOT heavy").agg(F.sum(F.length("body"))).first()[0] or 0
@@ -306,21 +291,36 @@ def repeated_places(rows: DataFrame, length: int = 400) -> DataFrame:
     sorted_marks = (bodies.filter("NOT heavy").select("core", "whole", "n", "body")
                           .groupBy(F.pmod("core", F.lit(buckets)).alias("_bucket"))
                           .applyInArrow(_sort_bucket(length, period), _MARKS))
-    single = (bodies.filter("heavy").select("core", "whole", "n", "body")
-                    .mapInArrow(_place_hashes(length), "core long, whole long, at int, hash_a long, hash_b long"))
-    common = single.groupBy("hash_a", "hash_b").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").drop("_c")
-    heavy_marks = (single.join(common, ["hash_a", "hash_b"]).groupBy("core", "whole")
-                         .agg(F.collect_list(F.struct(F.col("at").alias("lo"), (F.col("at") + 1).alias("hi"))).alias("runs")))
-    marks = materialize(sorted_marks.unionByName(heavy_marks).filter(F.size("runs") > 0), "marks")
+    more = bodies.filter("heavy")
+    if step > 1 and more.limit(1).count():
+        finer = _repeated_runs(more.select(F.col("core").alias("k1"), F.col("whole").alias("k2"),
+                                           F.col("body").alias("data")), length, max(1, step // FINER))
+        sorted_marks = sorted_marks.unionByName(finer.select(
+            F.col("k1").alias("core"), F.col("k2").alias("whole"),
+            F.transform("runs", lambda r: F.struct(r["lo"].cast("int").alias("lo"), r["hi"].cast("int").alias("hi")))
+             .alias("runs")))
+    marks = materialize(sorted_marks.filter(F.size("runs") > 0), "marks")
     # Copies of a whole stretch: every place is repeated; else what its bucket says.
     whole_marks = kinds.filter("copies > 1").select(
         "core", "whole", F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi"))).alias("runs"))
     lone = marks.join(kinds.filter("copies = 1").select("core", "whole"), ["core", "whole"])
     every = whole_marks.unionByName(lone.select("core", "whole", "runs"))
-    spans = again.join(every, ["core", "whole"]).select("doc_id", F.transform(
+    return again.join(every, ["core", "whole"]).select("k1", "k2", F.transform(
         "runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"),
-                                   (F.col("start") + r["hi"] - 1 + length).alias("hi"))).alias("spans"))
-    return spans.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+                                   (F.col("start") + r["hi"]).alias("hi"))).alias("runs"))
+
+
+def repeated_places(rows: DataFrame, length: int = 400) -> DataFrame:
+    """(k1, k2, spans): byte ranges [lo, hi) covered by strings that start elsewhere too, sorted, unmerged.
+
+    ``rows`` has a key k1 (may be null), k2 and data; rows of one key have the same data.
+    """
+    if length < 2 * GRAM:
+        raise ValueError(f"length must be at least {2 * GRAM}")
+    runs = _repeated_runs(rows, length, min(STEP, length // 3))
+    spans = F.transform(F.flatten(F.collect_list("runs")), lambda r: F.struct(
+        r["lo"].alias("lo"), (r["hi"] - 1 + length).alias("hi")))
+    return runs.groupBy("k1", "k2").agg(F.sort_array(spans).alias("spans"))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,11 +351,15 @@ def substring_dedup(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     anywhere else in the texts, the same one included, overlaps counted.
 
     Defined cases: a null text is empty; texts shorter than ``length`` lose
-    nothing; rows that repeat an id are copies of one document: what is found
-    in one is removed from all of them; null ids are one such id; an empty
-    table gives no rows; further columns are ignored.
+    nothing; each row is judged by its own text, whatever its id: rows with a
+    null or repeated id and other texts lose only what they have repeated
+    themselves, rows that agree in both are copies; an empty table gives no
+    rows; further columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    spans = repeated_places(rows, length).select(F.col("doc_id").alias("_doc"), "spans")
-    return (rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").select("doc_id", "text", "spans")
+    # A row is known by its id and a hash of its text: rows that agree in both have the same spans.
+    rows = docs.select(F.col(id_col).cast("long").alias("k1"), F.xxhash64(text_col).alias("k2"),
+                       F.col(text_col).alias("data"))
+    spans = repeated_places(rows, length).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "spans")
+    same = F.col("k1").eqNullSafe(F.col("_k1")) & (F.col("k2") == F.col("_k2"))
+    return (rows.join(spans, same, "left").select("k1", "data", "spans")
                 .mapInArrow(_remove, "doc_id long, n_bytes long, removed array<struct<lo:bigint,hi:bigint>>, kept binary"))
