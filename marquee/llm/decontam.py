@@ -9,8 +9,11 @@ apart one block is at most ``block_radius`` apart, so an index of all block
 values that near to an item's finds every item within that radius.  What it
 finds is verified by the exact weighted similarity of the shingle sets.
 
-Items are the stated queries: they are taken in blocks of bounded size, and
-each block meets all documents in one pass without a shuffle.
+A window meets the items of its own number of words.  Weights come from how many
+of all items have a shingle, so what is found does not depend on the blocks:
+items are the stated queries, they are taken in blocks of bounded size, one
+block at a time lies on the driver, and each meets all documents in one pass
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (NOT_ALNUM, fold_case, prefix_sums, range_hash, shingle_hashes, slices, text_buffer,
-                     word_spans)
+from .common import (NOT_ALNUM, fold_case, materialize, prefix_sums, range_hash, shingle_hashes, slices,
+                     text_buffer, word_spans)
 
-#: Items of one block: bounds the index (a few hundred bytes an item and block) in each task.
-BLOCK_ITEMS = 2000
+#: Items and bytes of text of one block, on average: bound the index in each task and what the driver holds.
+BLOCK_ITEMS, BLOCK_BYTES = 2000, 8 << 20
 #: Weights are whole numbers of sixteenths, so that sums over windows are exact.
 UNIT = 16
 _BITS = np.arange(64, dtype=np.uint64)
@@ -51,9 +54,14 @@ def _fold(sums: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A block of benchmark items of one shingle width, with the multi-index of their fingerprints."""
+    """A block of benchmark items of one shingle width, with the multi-index of their fingerprints.
 
-    def __init__(self, ids: np.ndarray, texts: list[str], width: int, block_radius: int):
+    ``counts``: the block's shingles and how many of all ``total`` items have
+    them, where the block is not the whole benchmark.
+    """
+
+    def __init__(self, ids: np.ndarray, texts: list[str], width: int, block_radius: int, total: int,
+                 counts: tuple[np.ndarray, np.ndarray] | None = None):
         flat, offsets = text_buffer(pa.array(texts, pa.large_string()))
         words, _, _, first = _words(flat, offsets)
         shingles, begin = shingle_hashes(words, first, width)
@@ -61,9 +69,11 @@ class Items:
         pair = np.unique(np.stack([row.astype(np.uint64), shingles]), axis=1)
         self.width, self.ids, self.sizes = width, ids, np.diff(first)
         self.shingles, count = np.unique(pair[1], return_counts=True)
+        if counts is not None:
+            count = counts[1][np.searchsorted(counts[0], self.shingles)]
         # Shingles of few items weigh more; those of none weigh like those of one.
-        self.top = int(round(UNIT * (1 + np.log(max(len(texts), 1)))))
-        self.weights = np.round(UNIT * (1 + np.log(len(texts) / count))).astype(np.int64)
+        self.top = int(round(UNIT * (1 + np.log(max(total, 1)))))
+        self.weights = np.round(UNIT * (1 + np.log(total / count))).astype(np.int64)
         at = np.searchsorted(self.shingles, pair[1])
         item = pair[0].astype(np.int64)
         self.member = item * len(self.shingles) + at  # sorted: unique() sorts by row, then hash
@@ -150,6 +160,8 @@ def _windows(items, s, span, local, kept, shingles, at, hit, weight, percent, ro
     np.cumsum(_signs(shingles[kept[lo:hi]], weight[lo:hi]), axis=0, out=total[1:])
     a = local[s] - lo
     w, item, gap = items.lookup(_fold(total[a + span] - total[a]))
+    mine = items.sizes[item] == span + items.width - 1  # items of the window's size
+    w, item, gap = w[mine], item[mine], gap[mine]
     if not len(w):
         return
     spot = s[w][:, None] + np.arange(span)  # places of each window's shingles
@@ -175,9 +187,9 @@ def _windows(items, s, span, local, kept, shingles, at, hit, weight, percent, ro
             out[key] = found
 
 
-def _searcher(ids: list[int], texts: list[str], width: int, percent: int, block_radius: int):
+def _searcher(ids: list[int], texts: list[str], width: int, percent: int, block_radius: int, total: int, counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _blocks(np.array(ids, np.int64), texts, width, block_radius)
+        blocks = _by_width(np.array(ids, np.int64), texts, width, block_radius, total, counts)
         for b in batches:
             doc_ids = b.column(0)
             flat, offsets = text_buffer(b.column(1))
@@ -197,37 +209,91 @@ def _searcher(ids: list[int], texts: list[str], width: int, percent: int, block_
     return run
 
 
-def _blocks(ids: np.ndarray, texts: list[str], width: int, block_radius: int) -> list[Items]:
-    """Items by shingle width: shorter ones than ``width`` words are one shingle of their own length."""
+def _widths(texts: list[str], width: int) -> np.ndarray:
+    """Shingle width of each text: items shorter than ``width`` words are one shingle of their own length."""
     flat, offsets = text_buffer(pa.array(texts, pa.large_string()))
-    own = np.minimum(np.diff(_words(flat, offsets)[3]), width)
-    return [Items(ids[own == w], [t for t, n in zip(texts, own) if n == w], int(w), block_radius)
+    return np.minimum(np.diff(_words(flat, offsets)[3]), width)
+
+
+def _by_width(ids: np.ndarray, texts: list[str], width: int, block_radius: int, total: int, counts) -> list[Items]:
+    own = _widths(texts, width)
+    return [Items(ids[own == w], [t for t, n in zip(texts, own) if n == w], int(w), block_radius, total,
+                  counts and counts[int(w)])
             for w in np.unique(own) if w]
 
 
+def _item_shingles(width: int):
+    """Rows (block, text) to a row for each of an item's shingles: (block, width, shingle)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            own, blocks = _widths(texts, width), np.asarray(b.column(0))
+            for w in np.unique(own):
+                if w:
+                    at = np.flatnonzero(own == w)
+                    flat, offsets = text_buffer(pa.array([texts[i] for i in at], pa.large_string()))
+                    words, _, _, first = _words(flat, offsets)
+                    shingles, begin = shingle_hashes(words, first, int(w))
+                    row = np.repeat(np.arange(len(at)), np.diff(begin))
+                    pair = np.unique(np.stack([row.astype(np.uint64), shingles]), axis=1)
+                    yield pa.record_batch(
+                        [pa.array(blocks[at][pair[0].astype(np.int64)].astype(np.int64)),
+                         pa.array(np.full(pair.shape[1], w, np.int32)), pa.array(pair[1].view(np.int64))],
+                        names=["block", "width", "shingle"])
+    return run
+
+
+FOUND = "doc_id long, item_id long, similarity double, distance int, byte_start long, byte_end long"
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent: int = 80,
                  block_radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item found in it.
 
     Columns: doc_id, item_id, similarity (weighted Jaccard of the item and the
-    best window, at least ``percent`` / 100), distance (bits between their
-    fingerprints), byte_start and byte_end of that window in the text's UTF-8.
+    best window of as many words, at least ``percent`` / 100), distance (bits
+    between their fingerprints), byte_start and byte_end of that window in the
+    text's UTF-8.  Weights: 1 + log of all items over those with the shingle, in
+    sixteenths; a shingle of no item weighs like one of a single item.
 
     Defined cases: null and empty texts, and items without words, match
-    nothing; items shorter than ``width`` words are one shingle; a null
-    item_id is left out; items that repeat are found each under their id;
-    repeated rows and null doc_ids are searched like others; an empty table
-    on either side gives no rows; further columns are ignored.
+    nothing (they count as no items); items shorter than ``width`` words are one
+    shingle; a null item_id is left out; items that repeat are items each, found
+    each under their id; repeated rows and null doc_ids are searched like others;
+    an empty table on either side gives no rows; further columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
+        F.col("item_id").cast("long").alias("item_id"), "text")
+    items = items.filter(F.col("text").rlike(r"[^\x00-\x2F:-@\[-`{-\x7F]"))  # with a word
+    total, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if not total:
+        return rows.sparkSession.createDataFrame([], FOUND)
+    blocks = max(1, -(-total // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
+
+    def one(b: int, counts) -> DataFrame:
+        own = numbered.filter(F.col("block") == b).orderBy("item_id", "text").collect()
+        return rows.mapInArrow(_searcher([r["item_id"] for r in own], [r["text"] for r in own], width, percent,
+                                         block_radius, total, counts), FOUND)
+
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("long"))
+    if blocks == 1:
+        return one(0, None)
+    # How many of all items have a shingle; a block's own are fetched with the block.
+    listed = materialize(numbered.select("block", "text").mapInArrow(_item_shingles(width),
+                                                                     "block long, width int, shingle long"), "shingles")
+    counted = materialize(listed.groupBy("width", "shingle").agg(F.count(F.lit(1)).alias("n")), "shingle-counts")
     out = None
     for b in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        found = rows.mapInArrow(
-            _searcher([r[0] for r in block], [r[1] for r in block], width, percent, block_radius),
-            "doc_id long, item_id long, similarity double, distance int, byte_start long, byte_end long")
+        table = (listed.filter(F.col("block") == b).select("width", "shingle").distinct()
+                       .join(counted, ["width", "shingle"]).toArrow())
+        w, shingle, n = (np.asarray(table.column(c)) for c in ("width", "shingle", "n"))
+        counts = {}
+        for k in np.unique(w):
+            own = shingle[w == k].view(np.uint64)
+            order = np.argsort(own)
+            counts[int(k)] = (own[order], n[w == k][order])
+        found = materialize(one(b, counts), "found")  # so that the driver holds one block at a time
         out = found if out is None else out.unionByName(found)
     return out
 
