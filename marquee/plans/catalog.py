@@ -650,7 +650,7 @@ def q_calendar_spine(spark, sf_dir):
     return days.select("date_key", "day_name", "is_weekend").join(per_day, "date_key", "left")
 
 
-FILTER_YEARS = (1992, 1993)
+FILTER_YEARS = (1996, 1997)
 
 
 @query("filtered_film_table")
@@ -677,43 +677,55 @@ def q_distributors_of_director(spark, sf_dir):
 @query("cross_filter_pairs")
 def q_cross_filter_pairs(spark, sf_dir):
     """A value picked in one visual filters the others (seven source and target pairs)."""
+    from ..operators import context as C
+    picks = {"director": (C.MOVIE, F.col("director") == FILTER_DIRECTORS[0]),
+             "distributor": (C.DISTRIBUTOR, F.col("distributor_name") == SELECTED_DISTRIBUTOR),
+             "film": (C.MOVIE, F.col("imdb_id") == "tt0000007"),
+             "month": (C.DAY, F.expr("year = 1995 AND month = 3"))}
+    return C.interact(C.FilterContext(_model(spark, sf_dir)), picks)
+
+
+def _model(spark, sf_dir) -> dict[str, DataFrame]:
+    """The star's tables and the calendars of its date columns."""
+    from ..operators import context as C
     s = star(spark, sf_dir)
-    fact, movies, dists = s["fact_daily_revenue"], s["dim_movie"], s["dim_distributor"]
-    film = movies.where(F.col("imdb_id") == "tt0000007")
-    picks = {
-        "director": measures.restrict_fact(fact, movies=measures.filter_movies(movies, director=FILTER_DIRECTORS[0])),
-        "distributor": measures.restrict_fact(
-            fact, distributors=dists.where(F.col("distributor_name") == SELECTED_DISTRIBUTOR)),
-        "film": measures.restrict_fact(fact, movies=film),
-        "month": measures.restrict_fact(fact, calendar=s["dim_date"].where("year = 1995 AND month = 3")),
-    }
-
-    def chart(source: str, target: str) -> DataFrame:
-        rows = picks[source]
-        if target == "director":
-            out = measures.revenue_by_director(rows, movies).select(F.col("director").alias("label"), "revenue")
-        elif target == "film":
-            out = measures.film_table(rows, movies).groupBy(F.col("title").alias("label")).agg(
-                F.sum("revenue").alias("revenue"))
-        elif target == "distributor":
-            out = measures.cross_filter_dim(dists, "distributor_key", rows, "distributor_key").select(
-                F.col("distributor_name").alias("label"), F.col("lifetime_revenue").alias("revenue"))
-        else:
-            out = rows.groupBy(F.date_format("revenue_date", "yyyy-MM").alias("label")).agg(
-                F.sum("revenue").alias("revenue"))
-        return out.select(F.lit(source).alias("source"), F.lit(target).alias("target"), "label",
-                          F.col("revenue").cast("bigint").alias("revenue"))
-
-    out = None
-    for pair in PAIRS:
-        one = chart(*pair)
+    return C.star_model({n: s[n] for n in (C.FACT, C.MOVIE, C.DAY, C.DISTRIBUTOR)})
+
+
+#: Values of the page filters.
+PAGE = {"title": lambda c: F.upper(c) < "M", "year": [1996, 1997], "director": list(FILTER_DIRECTORS),
+        "distributor": ["Supplier#000000002", "Supplier#000000003", "Supplier#000000005"]}
+
+
+@query("page_filters")
+def q_page_filters(spark, sf_dir):
+    """Each of the page's four filters, all together, and none, over a fact in a partition per year."""
+    from ..operators import context as C
+    from ..session import scratch_path
+    model = _model(spark, sf_dir)
+    model[C.FACT] = C.year_partitioned(model[C.FACT], f"{scratch_path(spark, 'fact-by-year')}/fact")
+    base, out = C.FilterContext(model), None
+    for name, values in {**{n: {n: v} for n, v in PAGE.items()}, "all": PAGE, "none": {"title": []}}.items():
+        one = base.page(**values).summary().select(F.lit(name).alias("filter"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("date_roles")
+def q_date_roles(spark, sf_dir):
+    """A quarter picked in the calendar of each of the five date columns."""
+    from ..operators import context as C
+    base, out = C.FilterContext(_model(spark, sf_dir)), None
+    for role, (year, quarter) in ROLES.items():
+        picked = base.where(role, F.col("year") == year, F.col("quarter") == quarter)
+        one = picked.summary().select(F.lit(role).alias("calendar"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
 
-#: (picked in, filtered) visuals.
-PAIRS = (("director", "film"), ("director", "distributor"), ("director", "month"), ("distributor", "film"),
-         ("distributor", "director"), ("film", "month"), ("month", "director"))
+#: (year, quarter) picked in each calendar.
+ROLES = {"calendar_date": (1997, 2), "calendar_first_revenue": (1995, 1), "calendar_last_revenue": (2001, 4),
+         "calendar_fetched": (2024, 1), "calendar_revenue": (1996, 3)}
 
 
 # --- gated build ---------------------------------------------------------------------------

@@ -457,7 +457,7 @@ ORACLE.update({
     "filtered_film_table": sql(
         """SELECT title, director, genres, imdb_rating, rotten_tomatoes_score, CAST(sum(revenue) AS BIGINT) AS revenue
            FROM (SELECT m.* EXCLUDE (lifetime_revenue), f.revenue FROM dim_movie m JOIN fact f ON imdb_id = movie_key
-                 WHERE release_year IN (1992, 1993) AND contains(lookup_title, '#1')
+                 WHERE release_year IN (1996, 1997) AND contains(lookup_title, '#1')
                    AND f.distributor_key IN (SELECT md5(s_name) FROM supplier WHERE s_name <= 'Supplier#000000050'))
            GROUP BY ALL""", "fact", "dim_movie"),
     "distributors_of_director": sql(
@@ -534,3 +534,51 @@ SELECT 'fact' AS kind, source_row_id AS key, movie_key AS other_key, date_key AS
 UNION ALL SELECT 'movie', imdb_id, lookup_title, CAST(release_year AS INTEGER), CAST(lifetime_revenue AS BIGINT) FROM dim_movie
 UNION ALL SELECT 'distributor', distributor_key, NULL, CAST(films_distributed_n AS INTEGER),
        CAST(lifetime_revenue AS BIGINT) FROM dim_distributor""", "fact", "dim_movie", "dim_distributor")
+
+
+def _summary(label: str, value: str, movies: str, facts: str, dists: str) -> str:
+    """One row of a filter's effect; conditions on films (m), fact rows (f) and distributors (d)."""
+    return f"""SELECT '{value}' AS {label}, CAST(sum(f.revenue) AS BIGINT) AS revenue, count(f.revenue_date) AS n_rows,
+  count(DISTINCT f.movie_key) AS n_films, (SELECT count(*) FROM dim_movie m WHERE {movies}) AS n_movies,
+  (SELECT count(*) FROM dim_distributor d WHERE {dists}) AS n_distributors
+FROM fact f WHERE {facts}"""
+
+
+_FACT_MOVIES = "EXISTS (SELECT 1 FROM dim_movie m WHERE m.imdb_id = f.movie_key AND {})"
+_DIST_FACTS = "EXISTS (SELECT 1 FROM fact f WHERE f.distributor_key = d.distributor_key AND {})"
+
+
+def _page() -> str:
+    title, director = "upper(m.title) < 'M'", "m.director IN ('Brand#13', 'Brand#22')"
+    year, names = "year(f.revenue_date) IN (1996, 1997)", "('Supplier#000000002', 'Supplier#000000003', 'Supplier#000000005')"
+    own, fact_dist = f"d.distributor_name IN {names}", f"f.distributor_key IN (SELECT md5(s_name) FROM supplier WHERE s_name IN {names})"
+    both = f"{title} AND {director}"
+    every = f"{year} AND {fact_dist} AND {_FACT_MOVIES.format(both)}"
+    rows = [_summary("filter", n, m, f, d) for n, m, f, d in (
+        ("title", title, _FACT_MOVIES.format(title), _DIST_FACTS.format(_FACT_MOVIES.format(title))),
+        ("year", "true", year, _DIST_FACTS.format(year)),
+        ("director", director, _FACT_MOVIES.format(director), _DIST_FACTS.format(_FACT_MOVIES.format(director))),
+        ("distributor", "true", fact_dist, own),
+        ("all", both, every, f"{own} AND {_DIST_FACTS.format(every)}"),
+        ("none", "true", "true", "true"))]
+    return " UNION ALL ".join(rows)
+
+
+def _roles() -> str:
+    def quarter(c: str, y: int, q: int) -> str:
+        return f"year({c}) = {y} AND quarter({c}) = {q}"
+
+    rows = []
+    for name, y, q in (("calendar_date", 1997, 2), ("calendar_revenue", 1996, 3)):
+        own = quarter("f.revenue_date", y, q)
+        rows.append(_summary("calendar", name, "true", own, _DIST_FACTS.format(own)))
+    for name, c, y, q in (("calendar_first_revenue", "m.first_revenue_date", 1995, 1),
+                          ("calendar_last_revenue", "m.last_revenue_date", 2001, 4),
+                          ("calendar_fetched", "m.omdb_fetched_at", 2024, 1)):
+        own = quarter(c, y, q)
+        rows.append(_summary("calendar", name, own, _FACT_MOVIES.format(own), _DIST_FACTS.format(_FACT_MOVIES.format(own))))
+    return " UNION ALL ".join(rows)
+
+
+ORACLE["page_filters"] = sql(_page(), "fact", "dim_movie", "dim_distributor")
+ORACLE["date_roles"] = sql(_roles(), "fact", "dim_movie", "dim_distributor")
