@@ -239,14 +239,17 @@ def draw_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: i
     """At most so many labelled rows (draw, doc_id, text, toxic): those whose id hashes lowest, for each label.
 
     Ids are chosen from the labels alone; only the chosen ids (bounded by the
-    two limits) are broadcast to the scan of the texts.
+    two limits) are broadcast to the scan of the texts.  Of rows that repeat an
+    id the least text counts, so the sample stays within its limits.
     """
     known = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
                    .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
                    .withColumn("draw", F.md5(F.col("doc_id").cast("string"))))
     ids = (known.filter("toxic = 1").orderBy("draw", "doc_id").limit(max_toxic)
                 .unionByName(known.filter("toxic = 0").orderBy("draw", "doc_id").limit(max_clean)))
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("draw", "doc_id", "text", "toxic")
+    return (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+                .groupBy("draw", "doc_id", "toxic").agg(F.min("text").alias("text"))
+                .select("draw", "doc_id", "text", "toxic"))
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

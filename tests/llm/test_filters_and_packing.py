@@ -414,3 +414,11 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     renumber = {d: k for k, d in enumerate(kept)}
     check_packing([{**p.asDict(), "doc_id": renumber[p["doc_id"]]} for p in stage.collect()], texts_kept, 4096)
     assert corpus_pipeline.run(spark, sf).count() == stage.count()
+
+
+def test_sample_stays_within_its_limits_when_ids_repeat(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other"), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (1, 1), (3, 0)], "doc_id long, toxic int")
+    got = toxicity.draw_sample(docs, labels, max_toxic=1, max_clean=1).collect()
+    assert len(got) <= 2 and {(r["doc_id"], r["toxic"]) for r in got} <= {(1, 1), (2, 0), (3, 0)}
+    assert [r["text"] for r in got if r["doc_id"] == 1] == ["text 0"]

@@ -144,6 +144,32 @@ def test_digest_index_persists_and_appends(spark, make, tmp_path):
     assert "SortMergeJoin" in plan
 
 
+def test_later_copies_count_and_batches_meet_a_filled_index(spark, make):
+    index = digests.DigestIndex(spark, buckets=4)
+    index.add(make(["a", "b"]))
+    index.add(make(["B", "b", "c"]))
+    index.add(make(["b"]))
+    assert sorted(r["group_size"] for r in index.entries().collect()) == [1, 1, 4]
+    plan = index.entries()._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    texts = [f"t{i % 7}" for i in range(100)] + ["only"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "t3"), (None, "nobody"), (None, "nobody")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    before = {t.name for t in spark.catalog.listTables()}
+    for batches in (1, 2, 5):
+        got = digests.exact_dedup(df, batches=batches).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            same = [i for i, t in rows if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"]]
+            assert r["group_size"] == len(same)
+            assert r["keep_id"] == max((i for i in same if i is not None), default=None)
+            assert r["kept"] == (r["doc_id"] == r["keep_id"])
+    assert {t.name for t in spark.catalog.listTables()} == before  # nothing is left behind
+    late = digests.exact_dedup(make(["b", "x"]), index=index).collect()
+    assert sorted((r["group_size"], r["keep_id"]) for r in late) == [(1, 1), (5, 1)]
+    index.drop()
+
+
 # --- substrings -----------------------------------------------------------------
 
 def brute_substrings(texts, length):
