@@ -19,7 +19,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the span tagger scores below one half (rows without an id cannot be named, so stay)."""
+    """Documents that the span tagger scores below one half; each row is judged by its text, whatever its id."""
     labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.train(docs, labels.filter(~toxicity.held_out()))
     return toxicity.reject(docs, model).select(*COLUMNS)
@@ -35,16 +35,38 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
                .select(*COLUMNS))
 
 
+def named_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_name``, a number for each row: its id, or one made of id and text where the id does not tell rows apart.
+
+    Rows that agree in a repeated (or null) id and in the text are one row from here on.
+    """
+    again = materialize(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+                            .filter("_n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_again")), "repeated-ids")
+    if not again.limit(1).count():  # every id tells its row apart
+        return docs.withColumn("_name", F.col("doc_id").cast("long"))
+    known = docs.join(again, docs["doc_id"].eqNullSafe(again["_again"]), "left_anti")
+    others = docs.join(again, docs["doc_id"].eqNullSafe(again["_again"]), "left_semi")
+    made = -1 - F.xxhash64("doc_id", "text").bitwiseAND((1 << 62) - 1)
+    return (known.withColumn("_name", F.col("doc_id").cast("long"))
+                 .unionByName(others.dropDuplicates(["doc_id", "text"]).withColumn("_name", made)))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates (5-word shingles, similarity 0.8)."""
-    groups = minhash.near_duplicates(docs, width=5, percent=80)
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti").select(*COLUMNS)
+    """One document of each group of near-duplicates (5-word shingles, similarity 0.8) stays: the first.
+
+    Rows without an id, or with one that other rows have too, are compared by
+    their texts like all others; rows that agree in id and text count once.
+    """
+    rows = named_rows(docs)
+    groups = minhash.near_duplicates(rows, width=5, percent=80, id_col="_name")
+    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return rows.join(gone, rows["_name"] == gone["_gone"], "left_anti").select(*COLUMNS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark item."""
-    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text")).select(*COLUMNS)
+    """Documents without any benchmark item; rows without an id of their own are judged by their texts too."""
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontam.decontaminate(named_rows(docs), items, id_col="_name").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +82,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Training, alignment and tokenising are beyond SQL; tests hold the stages against planted rows, run() by its count.
+#: Training, alignment and tokenising are beyond SQL; tests hold the stages against planted rows and plain Python.
 ORACLE_SQL = None
 
 
