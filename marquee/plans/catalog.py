@@ -597,6 +597,44 @@ def q_documents_once(spark, sf_dir):
     return staging.stg_docs(staging.docs_table(json_docs.read_documents(spark, root)))
 
 
+@query("frozen_listing")
+def q_frozen_listing(spark, sf_dir):
+    """Documents seen through a listing that is frozen until refreshed, while days are added and corrected."""
+    from ..session import scratch_path
+    from ..sources import json_docs
+    from ..sources.frozen_docs import FrozenDocuments
+    root = f"{scratch_path(spark, 'frozen')}/omdb"
+    docs = S.doc_envelopes(spark, sf_dir, star(spark, sf_dir)["stg_revenues"])
+    docs = docs.withColumn("record", F.get_json_object("doc_json", "$.imdbID"))
+    even = F.dayofmonth("fetched_at") % 2 == 0
+    cache = FrozenDocuments(spark, root)
+    out = None
+
+    def look(stage: str) -> None:
+        nonlocal out
+        seen = staging.docs_table(cache.read()).select(F.col("response"))
+        from ..functions import json as J
+        one = seen.agg(F.count(F.lit(1)).alias("n_docs"),
+                       F.count_if(J.vget("response", "$.Type") == "corrected").alias("n_corrected")).select(
+                           F.lit(stage).alias("stage"), "*")
+        path = scratch_path(spark, "looked")
+        one.write.parquet(path)  # looked at now
+        one = spark.read.parquet(path)
+        out = one if out is None else out.unionByName(one)
+
+    json_docs.write_documents(docs.where(even), root, key="record")
+    look("written")
+    cache.refresh()
+    look("refreshed")
+    json_docs.write_documents(docs.where(~even), root, key="record")  # new days
+    fixed = F.regexp_replace("doc_json", '"Type":"movie"', '"Type":"corrected"')
+    json_docs.write_documents(docs.where(even).withColumn("doc_json", fixed), root, key="record")  # replaced days
+    look("written again")
+    cache.refresh()
+    look("refreshed again")
+    return out
+
+
 @query("log_stream")
 def q_log_stream(spark, sf_dir):
     """Batch files of the call log streamed into its table, each once."""

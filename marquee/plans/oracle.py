@@ -582,3 +582,13 @@ def _roles() -> str:
 
 ORACLE["page_filters"] = sql(_page(), "fact", "dim_movie", "dim_distributor")
 ORACLE["date_roles"] = sql(_roles(), "fact", "dim_movie", "dim_distributor")
+
+
+cte("envelopes", """
+  SELECT p.p_type, day(TIMESTAMP '2024-01-01 06:00:00' + (p.p_size - 1) * INTERVAL 1 DAY) % 2 = 0 AS even
+  FROM films f JOIN first_part p ON f.title = p.title""", ("films", "first_part"))
+ORACLE["frozen_listing"] = sql("""
+SELECT 'written' AS stage, 0 AS n_docs, 0 AS n_corrected
+UNION ALL SELECT 'refreshed', count(*) FILTER (even), 0 FROM envelopes
+UNION ALL SELECT 'written again', count(*) FILTER (even), 0 FROM envelopes
+UNION ALL SELECT 'refreshed again', count(*), count(*) FILTER (even AND p_type <> 'PROMO') FROM envelopes""", "envelopes")

@@ -4,7 +4,8 @@
   (``yyyy=/mm=/dd=``) so readers prune by day;
 * scan: documents read in place as a single VARIANT column; the day
   columns come back from the folder names;
-* refresh: a new listing is made when the reader is built again, and
+* refresh: ``frozen_docs.FrozenDocuments`` reads the files registered at its last
+  refresh; a plain reader lists anew each time it is built, and
   ``refresh_cache`` invalidates a cached listing of a path;
 * call log: rows are shipped as JSON arrays of bounded size (50 rows) and
   unpacked again with ``from_json`` + ``inline``.
@@ -17,13 +18,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import json as J
-from ..session import path_exists, scratch_path
+from ..session import below, child_files, move_to, path_exists, scratch_path
 
 # Rows per log batch, and the log row layout.
 LOG_BATCH_ROWS = 50
 LOG_ROW_DDL = ("event_id bigint, call_at timestamp_ntz, lookup_key bigint, outcome string, "
                "http_status int, error_message string")
 # The pipeline's own call log.
+DAY_COLUMNS = ("yyyy", "mm", "dd")
+# Where files that a keyed write has replaced lie until the listing is refreshed (hidden from scans).
+SUPERSEDED = "_superseded"
 CALL_ROW_DDL = ("lookup_title string, lookup_year int, outcome string, http_status int, "
                 "error_message string")
 
@@ -43,8 +47,9 @@ def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
 
     With ``key`` (a column that names the record) a day holds one document per
     record, the latest: the touched days are merged with what they hold (the
-    key is stored in the line's ``_record`` field) and rewritten as a whole,
-    so a repeated run leaves the cache as it was.  Without it, rows are
+    key is stored in the line's ``_record`` field) and written anew as a whole,
+    so a repeated run leaves the cache as it was; the files replaced move below
+    ``_superseded``, for readers of a frozen listing.  Without it, rows are
     appended.
     """
     spark = docs.sparkSession
@@ -57,10 +62,12 @@ def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
     new = docs.select(F.col(key).alias("record"), tagged.alias("value"), F.col(fetched_at).alias("at"),
                       F.lit(1).alias("run"), *day_partitions(fetched_at))
     rows = new
-    held = spark.read.text(path) if path_exists(spark, path) else new
+    held, replaced = spark.read.text(path) if path_exists(spark, path) else new, []
     if held.columns == ["value", *days]:  # else there is nothing yet
         # The days of one run, as literals: only their folders are listed and read.
-        old = _days_as_text(held.where(days_touched(new.select(*days).distinct().collect())))
+        touched = new.select(*days).distinct().collect()
+        old = _days_as_text(held.where(days_touched(touched)))
+        replaced = [f for y, m, d in touched for f in child_files(spark, f"{path}/yyyy={y}/mm={m}/dd={d}")]
         v = J.parse("value")
         rows = new.unionByName(old.select(
             J.vget(v, "$._record").alias("record"), "value", F.lit(None).cast(new.schema["at"].dataType).alias("at"),
@@ -71,8 +78,11 @@ def write_documents(docs: DataFrame, path: str, json_col: str = "doc_json",
                   .agg(F.max(F.struct("run", "at", "value")).alias("r")))
     merged = scratch_path(spark, "documents")
     latest.select(F.col("r.value").alias("value"), *days).write.parquet(merged)
-    (spark.read.parquet(merged).hint("rebalance", *days).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(*days).text(path))
+    (spark.read.parquet(merged).hint("rebalance", *days).write.mode("append").partitionBy(*days).text(path))
+    # A stop in between leaves records twice until their days are written again, never none.
+    for f in replaced:
+        move_to(spark, f, f"{path}/{SUPERSEDED}/{below(spark, path, f)}")
+    spark.catalog.refreshByPath(path)
 
 
 def days_touched(days: list) -> Column:
