@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -122,15 +122,20 @@ def date_range_text(fact: DataFrame) -> DataFrame:
                              F.date_format(F.max("revenue_date"), DATE_FMT)).alias("date_range"))
 
 
-def top_film(fact: DataFrame, movies: DataFrame, max_ties: int = 10_000) -> DataFrame:
-    """Title(s) with the highest revenue; ties concatenated without delimiter."""
+def top_films(fact: DataFrame, movies: DataFrame) -> DataFrame:
+    """The title(s) with the highest revenue, one row each: any number of ties."""
     per_title = (revenue_per_movie(fact)
                  .join(movies.select(F.col("imdb_id").alias("movie_key"), "title"), "movie_key")
                  .groupBy("title").agg(F.sum("revenue").alias("revenue")))
     best = per_title.agg(F.max("revenue").alias("revenue"))  # one row
-    winners = per_title.join(F.broadcast(best), "revenue", "left_semi")
+    return per_title.join(F.broadcast(best), "revenue", "left_semi")
+
+
+def top_film(fact: DataFrame, movies: DataFrame, max_ties: int = 10_000) -> DataFrame:
+    """Title(s) with the highest revenue; ties concatenated without delimiter."""
+    winners = top_films(fact, movies)
     # The text is one value, so its ties meet in one task; more than max_ties
-    # of them fail rather than give a cut text.
+    # of them fail rather than give a cut text (``top_films`` lists any number).
     ties = winners.limit(max_ties + 1)
     text = F.expr("listagg(title, '') WITHIN GROUP (ORDER BY title)")
     failed = F.raise_error(F.lit(f"more than {max_ties} titles tie for the top")).cast("string")
@@ -253,3 +258,62 @@ def cross_filter_dim(dim: DataFrame, dim_key: str, fact: DataFrame, fact_key: st
     key is one row of the join.
     """
     return dim.join(fact.select(F.col(fact_key).alias(dim_key)).distinct(), dim_key, "left_semi")
+
+
+# --- distinct counts that can be united ---------------------------------------------------
+
+#: Bits of a sketch's registers: 2**12 of them, a relative standard error of 1.04 / 64.
+SKETCH_BITS = 12
+
+
+def film_sketches(fact: DataFrame, *by: str) -> DataFrame:
+    """Per group of ``by`` (default day and distributor) a mergeable sketch of its films, and what adds up.
+
+    Sketches of any groups can be united, so one small table serves the distinct
+    counts under every filter of its columns; each is of bounded size.
+    """
+    by = by or ("date_key", "distributor_key")
+    return fact.groupBy(*by).agg(F.hll_sketch_agg("movie_key", F.lit(SKETCH_BITS)).alias("films"),
+                                 F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def estimated_films(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated distinct films (and exact sums) per group of ``by``, from united sketches; see ``kpi_cards`` for exact counts."""
+    return sketches.groupBy(*by).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("films")).alias("films_estimate"),
+        F.sum("revenue").alias("revenue"), F.sum("n_rows").alias("n_rows"))
+
+
+# --- bounds without reading rows ------------------------------------------------------------
+
+#: Settings under which minima, maxima and counts of whole Parquet columns come from the files' footers.
+FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+               "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_bounds(spark: SparkSession, path: str, *columns: str, plan: list | None = None) -> DataFrame:
+    """column, lo, hi, n_rows of date and whole-number columns, from file statistics: no row is read.
+
+    Other types have no exact statistics in all files and are refused.  The
+    settings hold for this one read.  ``plan`` gets the executed plan's text.
+    """
+    before = {k: spark.conf.get(k, None) for k in FOOTER_CONF}
+    try:
+        for k, v in FOOTER_CONF.items():
+            spark.conf.set(k, v)
+        table = spark.read.parquet(path)
+        kinds = dict(table.dtypes)
+        for c in columns:
+            if kinds[c] not in ("date", "tinyint", "smallint", "int", "bigint"):
+                raise TypeError(f"{c} is {kinds[c]}: no exact statistics")
+        wanted = [f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))]
+        bounds = table.agg(*wanted, F.count(F.lit(1)).alias("n"))
+        if plan is not None:
+            plan.append(bounds._jdf.queryExecution().toString())
+        row = bounds.first()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = [(c, *(None if row[f"{n}{i}"] is None else str(row[f"{n}{i}"]) for n in ("lo", "hi")), row["n"])
+            for i, c in enumerate(columns)]
+    return spark.createDataFrame(rows, "column string, lo string, hi string, n_rows bigint")

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PASS, WARN, FAIL, ERROR = "pass", "warn", "fail", "error"
 
@@ -188,6 +189,66 @@ def star_checks(marts: dict[str, DataFrame], stg: DataFrame, as_of: str) -> dict
     }
 
 
+# --- checks while writing ------------------------------------------------------------
+
+def write_checked(df: DataFrame, path: str, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write ``df`` to ``path`` and check its rows in the same job: (good rows, quarantined rows, summary).
+
+    ``rules`` maps check name -> a predicate that is true for a failing row
+    (NULL counts as passing).  The counts are observed by the write itself, so
+    nothing is read again; failing rows are quarantined in a partition of
+    their own, with the names of the checks that they failed (``_failed``).
+    """
+    spark, seen = df.sparkSession, Observation("checks")
+    hits = [F.coalesce(c, F.lit(False)) for c in rules.values()]
+    failed = F.array_compact(F.array(*[F.when(h, F.lit(n)) for n, h in zip(rules, hits)])).cast("array<string>")
+    flagged = df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                         *[F.count_if(h).alias(f"c{i}") for i, h in enumerate(hits)])
+    (flagged.withColumn("_failed", failed).withColumn("_bad", F.size("_failed") > 0)
+            .write.partitionBy("_bad").parquet(path))
+    marks = [T.StructField("_failed", T.ArrayType(T.StringType())), T.StructField("_bad", T.BooleanType())]
+    written = spark.read.schema(T.StructType([*df.schema.fields, *marks])).parquet(path)
+    counts = seen.get
+    summary_rows = [(n, int(counts[f"c{i}"]), PASS if not counts[f"c{i}"] else FAIL) for i, n in enumerate(rules)]
+    out = spark.createDataFrame(summary_rows, "check_name string, failures bigint, status string")
+    return (written.where("NOT _bad").drop("_failed", "_bad"), written.where("_bad").drop("_bad"), out)
+
+
+def key_checks(unique_keys: dict[str, tuple[str, DataFrame, str]],
+               references: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """Unique and referential checks of many tables: one scan of each table, one shuffle, one row per check.
+
+    ``unique_keys`` maps check name -> (key space, table, column): the column
+    holds each key of its space once.  ``references`` maps check name -> (key
+    space, table, column): the column's keys must be in the space.  All keys of
+    a table come from one scan (give the same DataFrame for its checks), are
+    counted by space and key with map-side combine, and a count of owners and
+    of references decides both kinds.  NULL keys are ignored.
+    """
+    names = [*unique_keys, *references]
+    by_table: dict[int, tuple[DataFrame, list]] = {}
+    for i, name in enumerate(names):
+        owner = name in unique_keys
+        space, table, column = (unique_keys if owner else references)[name]
+        key = F.struct(F.lit(space).alias("space"), F.col(column).cast("string").alias("key"),
+                       F.lit(i if not owner else -1).alias("ref"))
+        by_table.setdefault(id(table), (table, []))[1].append(key)
+    rows = None
+    for table, keys in by_table.values():
+        one = table.select(F.inline(F.array(*keys)))
+        rows = one if rows is None else rows.unionByName(one)
+    refs = range(len(unique_keys), len(names))
+    counted = rows.where("key IS NOT NULL").groupBy("space", "key").agg(
+        F.count_if(F.col("ref") == -1).alias("owners"), *[F.count_if(F.col("ref") == i).alias(f"r{i}") for i in refs])
+    checks = [F.count_if((F.col("space") == unique_keys[n][0]) & (F.col("owners") > 1)).alias(f"c{i}")
+              for i, n in enumerate(unique_keys)]
+    checks += [F.coalesce(F.sum(F.when((F.col("space") == references[names[i]][0]) & (F.col("owners") == 0), F.col(f"r{i}"))),
+                          F.lit(0)).cast("long").alias(f"c{i}") for i in refs]
+    out = counted.agg(*checks).select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failures")) for i, n in enumerate(names)])))
+    return out.withColumn("status", F.when(F.col("failures") == 0, F.lit(PASS)).otherwise(F.lit(FAIL)))
+
+
 # Freshness thresholds in hours (warn, error) per source.
 FRESHNESS_HOURS = {"raw.revenues": (36, 72), "raw.omdb": (7 * 24, 14 * 24)}
 
@@ -211,4 +272,4 @@ def freshness(source: str, df: DataFrame, loaded_at: str, as_of_ts: str,
 
 __all__ = ["not_null", "unique", "unique_combination", "accepted_range", "expression_is_true",
            "relationships", "future_dates", "failures", "summary", "gate", "star_checks",
-           "row_check_counts", "star_summary", "freshness"]
+           "row_check_counts", "star_summary", "freshness", "write_checked", "key_checks"]

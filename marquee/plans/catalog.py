@@ -766,6 +766,94 @@ ROLES = {"calendar_date": (1997, 2), "calendar_first_revenue": (1995, 1), "calen
          "calendar_fetched": (2024, 1), "calendar_revenue": (1996, 3)}
 
 
+@query("checks_while_writing")
+def q_checks_while_writing(spark, sf_dir):
+    """A faulty fact checked by the job that writes it, its bad rows quarantined; all key checks in one pass."""
+    from ..operators import quality
+    from ..session import scratch_path
+    s = star(spark, sf_dir)
+    fact, fault = s["fact_daily_revenue"], F.crc32(F.col("source_row_id").cast("binary")) % 100
+    faulty = fact.select(
+        "source_row_id", F.when(fault == 0, F.lit(None)).when(fault == 1, F.lit("tt-none")).otherwise(F.col("movie_key")).alias("movie_key"),
+        "date_key", F.when(fault == 2, F.lit("no such")).otherwise(F.col("distributor_key")).alias("distributor_key"),
+        F.when(fault == 3, -F.col("revenue")).otherwise(F.col("revenue")).alias("revenue"),
+        F.when(fault == 4, F.date_add("revenue_date", 20_000)).otherwise(F.col("revenue_date")).alias("revenue_date"))
+    faulty = faulty.unionByName(faulty.where(fault == 5))  # twice
+    c = F.col
+    good, bad, rows = quality.write_checked(faulty, f"{scratch_path(spark, 'checked')}/fact", {
+        "not_null_fact_movie_key": c("movie_key").isNull(), "not_null_fact_date_key": c("date_key").isNull(),
+        "expression_is_true_fact_revenue": ~(c("revenue") >= 0),
+        "no_future_revenue_dates": c("revenue_date") > F.to_date(F.lit(S.AS_OF))})
+    keys = quality.key_checks(
+        {"unique_fact_source_row_id": ("row", good, "source_row_id"), "unique_dim_movie_imdb_id": ("movie", s["dim_movie"], "imdb_id"),
+         "unique_dim_date_date_key": ("date", s["dim_date"], "date_key"),
+         "unique_dim_distributor_distributor_key": ("distributor", s["dim_distributor"], "distributor_key")},
+        {"relationships_fact_movie_key": ("movie", good, "movie_key"), "relationships_fact_date_key": ("date", good, "date_key"),
+         "relationships_fact_distributor_key": ("distributor", good, "distributor_key")})
+    return rows.unionByName(keys).unionByName(quality.failures(bad, "quarantined"))
+
+
+@query("sketched_films")
+def q_sketched_films(spark, sf_dir):
+    """Distinct films of each distributor and year from united daily sketches, held against the exact counts."""
+    fact = star(spark, sf_dir)["fact_daily_revenue"].withColumn("year", F.expr("date_key div 10000").cast("int"))
+    kept = measures.film_sketches(fact, "date_key", "distributor_key", "year")
+    out = None
+    for level, column in (("distributor", "distributor_key"), ("year", "year")):
+        exact = fact.groupBy(column).agg(F.count_distinct("movie_key").alias("n_films"))
+        both = measures.estimated_films(kept, column).join(exact, column)
+        off = F.abs(F.col("films_estimate") - F.col("n_films"))
+        one = both.select(F.lit(level).alias("level"), F.col(column).cast("string").alias("key"), "n_films", "n_rows",
+                          F.col("revenue").cast("bigint").alias("revenue"),
+                          (off <= 3 * 1.04 / 64 * F.col("n_films") + 1).alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("footer_bounds")
+def q_footer_bounds(spark, sf_dir):
+    """First and last days and row counts of the star's tables from file statistics."""
+    out, s = None, star(spark, sf_dir)
+    for name, columns in (("fact_daily_revenue", ("revenue_date", "date_key")), ("stg_revenues", ("revenue_date", "release_year")),
+                          ("dim_date", ("date", "year"))):
+        folder = s[name].inputFiles()[0].rsplit("/", 1)[0]
+        one = measures.footer_bounds(spark, folder, *columns).select(F.lit(name).alias("table"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("quota_stream")
+def q_quota_stream(spark, sf_dir):
+    """Calls per day counted by a stateful stream over shuffled log files and restarts, and what quota remains."""
+    from ..operators import queue as Q
+    from ..session import scratch_path
+    from ..sources import json_docs
+    from ..streaming import ingest
+    root = scratch_path(spark, "quota")
+    table = ingest.day_calls(spark, f"{root}/days")
+    batches = json_docs.pack_log_batches(S.call_log(spark, sf_dir).drop("value"))
+    for k in range(3):  # each third has calls of all days
+        batches.where(F.col("block") % 3 == k).select("batch").write.text(f"{root}/inbox/{k}")
+        ingest.count_calls(spark, f"{root}/inbox", table, f"{root}/_checkpoint", lateness="400 days", suffix=".txt")
+    left = F.greatest(F.lit(0), F.lit(Q.DAILY_QUOTA - Q.QUOTA_BUFFER) - F.col("n_calls"))
+    return table.read().select("day", "n_calls", left.alias("remaining"))
+
+
+@query("quoted_records")
+def q_quoted_records(spark, sf_dir):
+    """A1: documents as plain CSV, line feeds and quotes in their texts, read back over splits."""
+    from ..session import scratch_path
+    from ..sources import csv_drops
+    from ..sources.tables import read_table
+    path = scratch_path(spark, "quoted")
+    d = read_table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text", "n_chars")
+    (d.write.option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "")
+      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    columns = (("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("text", "string"), ("n_chars", "bigint"))
+    back = csv_drops.read_quoted(spark, path, columns)
+    return back.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"), "n_chars")
+
+
 # --- gated build ---------------------------------------------------------------------------
 
 @query("staging_gate")

@@ -592,3 +592,59 @@ SELECT 'written' AS stage, 0 AS n_docs, 0 AS n_corrected
 UNION ALL SELECT 'refreshed', count(*) FILTER (even), 0 FROM envelopes
 UNION ALL SELECT 'written again', count(*) FILTER (even), 0 FROM envelopes
 UNION ALL SELECT 'refreshed again', count(*), count(*) FILTER (even AND p_type <> 'PROMO') FROM envelopes""", "envelopes")
+
+
+#: CRC-32 of a short text, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+  regexp_extract_all(hex(encode({})), '..'), lambda x: ('0x' || x)::BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+cte("crc_table", """
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+  FROM range(256) r(i)""")
+cte("drawn", f"""
+  SELECT source_row_id, date_key, k, CASE k WHEN 0 THEN NULL WHEN 1 THEN 'tt-none' ELSE movie_key END AS movie_key,
+         CASE k WHEN 2 THEN 'no such' ELSE distributor_key END AS distributor_key,
+         CASE k WHEN 3 THEN -revenue ELSE revenue END AS revenue,
+         CASE k WHEN 4 THEN revenue_date + 20000 ELSE revenue_date END AS revenue_date
+  FROM (SELECT fact.*, {_CRC.format('source_row_id')} % 100 AS k FROM fact, crc_table)""", ("fact", "crc_table"))
+cte("faulty", "SELECT * FROM drawn UNION ALL SELECT * FROM drawn WHERE k = 5", ("drawn",))
+cte("flagged", """
+  SELECT *, movie_key IS NULL AS a, date_key IS NULL AS b, coalesce(NOT revenue >= 0, false) AS c,
+         coalesce(revenue_date > DATE '2024-01-30', false) AS d FROM faulty""", ("faulty",))
+cte("passed", "SELECT * FROM flagged WHERE NOT (a OR b OR c OR d)", ("flagged",))
+ORACLE["checks_while_writing"] = sql("""
+SELECT check_name, CAST(failures AS BIGINT) AS failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
+  SELECT 'not_null_fact_movie_key' AS check_name, count(*) FILTER (a) AS failures FROM flagged
+  UNION ALL SELECT 'not_null_fact_date_key', count(*) FILTER (b) FROM flagged
+  UNION ALL SELECT 'expression_is_true_fact_revenue', count(*) FILTER (c) FROM flagged
+  UNION ALL SELECT 'no_future_revenue_dates', count(*) FILTER (d) FROM flagged
+  UNION ALL SELECT 'quarantined', count(*) FILTER (a OR b OR c OR d) FROM flagged
+  UNION ALL SELECT 'unique_fact_source_row_id', (SELECT count(*) FROM (
+    SELECT 1 FROM passed GROUP BY source_row_id HAVING count(*) > 1))
+  UNION ALL SELECT 'unique_dim_movie_imdb_id', (SELECT count(*) - count(DISTINCT imdb_id) FROM dim_movie)
+  UNION ALL SELECT 'unique_dim_date_date_key', (SELECT count(*) - count(DISTINCT date_key) FROM dim_date_rev)
+  UNION ALL SELECT 'unique_dim_distributor_distributor_key',
+                   (SELECT count(*) - count(DISTINCT distributor_key) FROM dim_distributor)
+  UNION ALL SELECT 'relationships_fact_movie_key', (SELECT count(*) FROM passed WHERE movie_key NOT IN (SELECT imdb_id FROM dim_movie))
+  UNION ALL SELECT 'relationships_fact_date_key', (SELECT count(*) FROM passed WHERE date_key NOT IN (SELECT date_key FROM dim_date_rev))
+  UNION ALL SELECT 'relationships_fact_distributor_key',
+                   (SELECT count(*) FROM passed WHERE distributor_key NOT IN (SELECT distributor_key FROM dim_distributor)))""",
+    "flagged", "passed", "dim_movie", "dim_date_rev", "dim_distributor")
+ORACLE.update({
+    "sketched_films": sql("""
+SELECT 'distributor' AS level, distributor_key AS key, count(DISTINCT movie_key) AS n_films, count(*) AS n_rows,
+       CAST(sum(revenue) AS BIGINT) AS revenue, true AS within_bound FROM fact GROUP BY distributor_key
+UNION ALL SELECT 'year', CAST(year(revenue_date) AS VARCHAR), count(DISTINCT movie_key), count(*),
+       CAST(sum(revenue) AS BIGINT), true FROM fact GROUP BY ALL""", "fact"),
+    "footer_bounds": sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", CAST(min({c}) AS VARCHAR) AS lo, CAST(max({c}) AS VARCHAR) AS hi, "
+        f"count(*) AS n_rows FROM {source}"
+        for t, source, columns in (("fact_daily_revenue", "fact", ("revenue_date", "date_key")),
+                                   ("stg_revenues", "stg", ("revenue_date", "release_year")),
+                                   ("dim_date", "dim_date_rev", ("date", "year"))) for c in columns),
+        "fact", "stg", "dim_date_rev"),
+    "quota_stream": """SELECT CAST(ts AS DATE) AS day, count(*) AS n_calls, greatest(0, 950 - count(*)) AS remaining
+FROM events GROUP BY 1""",
+    "quoted_records": """SELECT doc_id, lang, source, md5(nullif(nullif(text, ''), '-')) AS text_md5, n_chars FROM documents""",
+})

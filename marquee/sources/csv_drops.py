@@ -24,11 +24,12 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
-from ..session import below, move_to, path_exists
+from ..session import below, move_to, path_exists, scratch_path
 from .load_history import FAILED, LOADED, LoadHistory
 
 # The revenue drop layout (positional columns and their types).
@@ -89,6 +90,66 @@ def read_drops(spark: SparkSession, path: str | Sequence[str],
     return typed(raw, columns, required=required).withColumn("_loaded_at", ts)
 
 
+def records(spark: SparkSession, path: str | Sequence[str], quote: str = '"') -> DataFrame:
+    """(file, record) of plain CSV files whose quoted fields may hold line feeds; every split is read by its own task.
+
+    A line feed ends a record where the quotes before it, from the file's start,
+    are even in number (a doubled quote keeps the parity).  So each split counts
+    the quotes of its lines, the counts of a file's splits are summed up in their
+    order (one row a split), and with that start each split knows which of its
+    lines begin a record; the lines of a record are joined again by its number,
+    also where it crosses splits.  A file's first record is its header and is
+    left out; a carriage return before a record's end is dropped.
+    """
+    text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(
+        path if isinstance(path, str) else list(path))
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                        F.monotonically_increasing_id().alias("at"), "value",
+                        (F.length("value") - F.length(F.replace("value", F.lit(quote)))).alias("quotes"))
+    kept = scratch_path(spark, "lines")
+    lines.write.parquet(kept)  # the order of lines is that of this one read
+    lines = spark.read.schema(lines.schema).parquet(kept)
+    # One row for each split: the quotes before it, then the records that begin before it.
+    splits = lines.groupBy("file", "split").agg(F.sum("quotes").alias("_q"))
+    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    start = splits.select("file", "split", F.coalesce(F.sum("_q").over(before), F.lit(0)).alias("_q0"))
+    within = W.partitionBy("file", "split").orderBy("at")  # the lines of one split
+    earlier = within.rowsBetween(W.unboundedPreceding, -1)
+    known = lines.join(F.broadcast(start), ["file", "split"]).withColumn(
+        "_odd", (F.col("_q0") + F.coalesce(F.sum("quotes").over(earlier), F.lit(0))) % 2)
+    begun = known.select("file", "split", "at", "value", (F.col("_odd") == 0).cast("int").alias("_begins"))
+    counted = scratch_path(spark, "begun")
+    begun.write.parquet(counted)
+    begun = spark.read.schema(begun.schema).parquet(counted)
+    offsets = begun.groupBy("file", "split").agg(F.sum("_begins").alias("_b")).select(
+        "file", "split", F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b0"))
+    number = F.col("_b0") + F.sum("_begins").over(within.rowsBetween(W.unboundedPreceding, 0))
+    numbered = begun.join(F.broadcast(offsets), ["file", "split"]).withColumn("_n", number)
+    joined = numbered.where("_n > 1").groupBy("file", "_n").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("split", "at", "value"))), lambda x: x["value"]),
+                     "\n").alias("record"))
+    return joined.select("file", F.regexp_replace("record", "\r$", "").alias("record")).where("record <> ''")
+
+
+def read_quoted(spark: SparkSession, path: str | Sequence[str],
+                columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS, loaded_at: str | None = None,
+                required: Sequence[str] | None = None) -> DataFrame:
+    """Typed rows of plain drops whose quoted fields may hold line feeds (see ``records``), like ``read_drops``.
+
+    Compressed drops cannot be split: read them with ``read_drops`` where no
+    field holds a line feed.
+    """
+    if required is None:
+        required = REVENUE_REQUIRED if tuple(columns) == REVENUE_DROP_COLUMNS else ()
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true", "emptyValue": "",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    parsed = records(spark, path).select(
+        F.from_csv("record", ", ".join(f"`{n}` string" for n, _ in columns), options).alias("r"), "file")
+    raw = parsed.select(*[F.col(f"r.{n}").alias(n) for n, _ in columns], F.col("file").alias("_source_file"))
+    ts = F.to_timestamp_ntz(F.lit(loaded_at)) if loaded_at else F.localtimestamp()
+    return typed(raw, columns, required=required).withColumn("_loaded_at", ts)
+
+
 def load_file(spark: SparkSession, file: str, target: str,
               columns: Sequence[tuple[str, str]] = REVENUE_DROP_COLUMNS,
               loaded_at: str | None = None, mode: str = "append") -> int:

@@ -205,3 +205,48 @@ def ingest_log_batches(spark: SparkSession, inbox: str, target: str, checkpoint:
     run = _Run()
     _run_to_end(rows, target, checkpoint, run)
     return len(run.folders)
+
+
+DAY_CALLS = "day date, n_calls bigint, _v bigint"
+
+
+def day_calls(spark: SparkSession, root: str) -> KeyedTable:
+    """The table of calls per day that ``count_calls`` keeps (``queue.DAILY_QUOTA`` less these is what remains)."""
+    return KeyedTable(spark, root, DAY_CALLS, "day", ["_v"], partition=F.year("day"))
+
+
+def count_calls(spark: SparkSession, inbox: str, table: KeyedTable, checkpoint: str, lateness: str = "7 days",
+                suffix: str = ".json", ddl: str | None = None, state_partitions: int = 8) -> int:
+    """Count the calls of log batch files by day as they come; returns the number of micro-batches run.
+
+    A stateful aggregate over days of event time: the state store holds one
+    number a day until the watermark (the latest call less ``lateness``) has
+    passed it, so a late call is counted into its own day, and a restart goes on
+    from the checkpoint.  A call later than that is not counted.  Each
+    micro-batch merges the days that it changed; ``state_partitions`` is small
+    as the state is.
+    """
+    from ..sources import json_docs
+    stream = (spark.readStream.option("pathGlobFilter", "*" + suffix)
+              .option("recursiveFileLookup", True).text(inbox))
+    rows = json_docs.unpack_log_batches(stream.withColumnRenamed("value", "batch"), ddl=ddl or json_docs.LOG_ROW_DDL)
+    day = F.window(F.col("call_at").cast("timestamp"), "1 day")  # the session's time zone is UTC
+    counts = (rows.withColumn("call_at", F.col("call_at").cast("timestamp")).withWatermark("call_at", lateness)
+                  .groupBy(day.alias("w")).agg(F.count(F.lit(1)).alias("n_calls")))
+    run = _Run()
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        name = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+        days = batch.select(F.to_date("w.start").alias("day"), "n_calls", F.lit(batch_id).cast("long").alias("_v"))
+        table.merge(days, applied=(name, batch_id))
+        run.folders.append(str(batch_id))
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        (counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start().awaitTermination())
+    finally:
+        spark.conf.set(key, before)
+    return len(run.folders)
