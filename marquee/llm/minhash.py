@@ -159,8 +159,9 @@ def _postings(reps: DataFrame, percent: int, k: int) -> DataFrame:
     """(value, doc, n, weight): the rarest values by which a document must meet its partners."""
     values = reps.select(F.col("rep").alias("doc"), "n", F.size("sketch").alias("kept_values"),
                          F.explode("sketch").alias("value"))
-    common = (reps.select(F.explode("sketch").alias("value")).groupBy("value")
-                  .agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
+    # Written before it is joined: a join of two plain tables may split a value of very many documents.
+    common = materialize(reps.select(F.explode("sketch").alias("value")).groupBy("value")
+                             .agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "value-counts")
     t = need(k, percent / 100)
     # Smaller sets are whole in their sketch: percent of the larger set must be shared.
     least = F.least(F.lit(t), F.ceil(F.col("n") * percent / 100)).cast("int")

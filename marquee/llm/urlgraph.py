@@ -7,7 +7,7 @@ pages the rules block against them (who links to a blocked host shares in its
 distrust).  A host with more distrust than trust is blocked.
 
 Everything is DataFrame expressions.  Links are reduced to distinct pairs of
-hosts before the first round; each round is one join and one sum by host.  As
+hosts and written before the first round; each round is one join and one sum by host.  As
 a verdict compares two scores of one host, however small, rounds go on until
 every host's scores stand still relative to themselves.
 """
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, discard, materialize
 
-#: Rules become one expression; longer lists than this belong in a table.
+#: Up to so many rules become one expression; longer lists are joined as a table.  The outcome is the same.
 MAX_RULES = 1000
+#: Rounds of the propagation that one job makes.
+ROUNDS = 4
 
 
 @dataclass(frozen=True)
@@ -47,8 +49,6 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:
     """(rule text, verdict) of the longest rule that fits, else nulls; of equally long ones the longer host."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
     text = verdict = F.lit(None).cast("string")
     for r in sorted(rules, key=lambda r: (len(r.text), len(r.host))):
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
@@ -57,6 +57,28 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return text, verdict
 
 
+def judge(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``rows`` (host, path, ...) with ``rule`` and ``_own``, text and verdict of the longest rule that fits."""
+    if len(rules) <= MAX_RULES:
+        rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
+        return rows.withColumn("rule", rule).withColumn("_own", verdict)
+    # A host's own name and those of its parent domains meet the rules of that host.
+    table = rows.sparkSession.createDataFrame([(r.host, r.path, r.verdict, i) for i, r in enumerate(rules)],
+                                              "r_host string, r_path string, r_verdict string, r_place int")
+    places = rows.select("host", "path").distinct()
+    labels = F.split("host", r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.size(labels)),
+                        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    met = (places.select("host", "path", F.explode(names).alias("r_host")).join(table, "r_host")
+                 .filter(F.col("path").startswith(F.col("r_path"))))
+    length = F.length(F.concat("r_host", "r_path"))
+    best = met.groupBy("host", "path").agg(F.max(F.struct(
+        length.alias("n"), F.length("r_host").alias("h"), F.col("r_place").alias("i"), "r_host", "r_path", "r_verdict")).alias("b"))
+    best = materialize(best.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.concat("b.r_host", "b.r_path").alias("rule"),
+                                   F.col("b.r_verdict").alias("_own")), "rules-met")
+    return rows.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left").drop("_h", "_p")
+
+
 def host_links(pages: DataFrame, host: Column, html_col: str = "html") -> DataFrame:
     """Distinct links (src, dst) between two hosts, from absolute addresses in href attributes."""
     refs = F.regexp_extract_all(F.col(html_col), F.lit(r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^"'\s>/?#]+)"""), 1)
@@ -69,33 +91,45 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance:
     """(host, trust, distrust): personalised PageRank along and against ``links``.
 
     ``seeds`` (host, trust, distrust) are the teleport weights.  Stops once no
-    score moves by more than ``tolerance`` times itself; a host that a score
+    score has moved by more than ``tolerance`` times itself over the last
+    ``ROUNDS`` rounds, which one job makes.  After k rounds what is still to come
+    to a host that all its paths have reached is at most ``damping`` ** k of the
+    whole weight (0.85 ** 130 is below 1e-9).  A host that a score
     reaches for the first time has moved by all of it, so every chain of links
     is followed to its end (as far as doubles are above 0), and neither the
     number of hosts nor the scale of the weights matters.
     """
-    out_n = links.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
-    in_n = links.groupBy("dst").agg(F.count(F.lit(1)).alias("_in"))
-    edges = materialize(links.join(out_n, "src").join(in_n, "dst"), "host-links")
-    flows = (edges.select(F.col("src").alias("host"), F.col("dst").alias("to"),
-                          (damping / F.col("_out")).alias("_t"), F.lit(0.0).alias("_d"))
-                  .union(edges.select("dst", "src", F.lit(0.0), damping / F.col("_in"))))
-    base = seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"),
-                        ((1 - damping) * F.col("distrust")).alias("distrust"))
-    state = materialize(base, "host-scores")
-    while True:
+    links = materialize(links, "link-pairs")
+    # Written before they are joined: a join of two plain tables may split a hub.
+    out_n = materialize(links.groupBy("src").agg(F.count(F.lit(1)).alias("_out")), "out-degrees")
+    in_n = materialize(links.groupBy("dst").agg(F.count(F.lit(1)).alias("_in")), "in-degrees")
+    edges = links.join(out_n, "src").join(in_n, "dst")
+    flows = materialize(edges.select(F.col("src").alias("host"), F.col("dst").alias("to"),
+                                     (damping / F.col("_out")).alias("_t"), F.lit(0.0).alias("_d"))
+                             .union(edges.select("dst", "src", F.lit(0.0), damping / F.col("_in"))), "flows")
+    base = materialize(seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"),
+                                    ((1 - damping) * F.col("distrust")).alias("distrust")), "teleport")
+
+    def once(state: DataFrame) -> DataFrame:
         sent = flows.join(state, "host").select(F.col("to").alias("host"), (F.col("_t") * F.col("trust")).alias("trust"),
                                                 (F.col("_d") * F.col("distrust")).alias("distrust")).filter(
                                                     "trust > 0 OR distrust > 0")
-        after = (base.union(sent).groupBy("host")
-                     .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
+        return (base.union(sent).groupBy("host")
+                    .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
+
+    state = base
+    while True:
+        after = state
+        for _ in range(ROUNDS):
+            after = once(after)
         before = state.select("host", F.col("trust").alias("_t0"), F.col("distrust").alias("_d0"))
         moved = F.greatest(*[F.when(F.col(c) > 0, F.abs(F.col(c) - F.coalesce(c0, F.lit(0.0))) / F.col(c)).otherwise(0.0)
                              for c, c0 in (("trust", "_t0"), ("distrust", "_d0"))])
         after = materialize(after.join(before, "host", "left").select(
             "host", "trust", "distrust", moved.alias("moved")), "host-scores")
         most = after.agg(F.max("moved")).first()[0]
-        discard(state)
+        if state is not base:
+            discard(state)
         state = after.drop("moved")
         if most is None or most <= tolerance:
             break
@@ -116,8 +150,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], ratio: float = 1.0, id_col:
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    judged = rows.withColumn("rule", rule).withColumn("_own", verdict)
+    judged = judge(rows, rules)
     per_host = judged.groupBy("host").agg(F.count_if(F.col("_own") == "allow").alias("_a"),
                                           F.count_if(F.col("_own") == "block").alias("_b"))
     per_host = materialize(per_host, "hosts")
