@@ -117,6 +117,13 @@ def q_top_film(spark, sf_dir):
     return measures.top_film(s["fact_daily_revenue"], s["dim_movie"])
 
 
+@query("top_films")
+def q_top_films(spark, sf_dir):
+    """The titles tied for the highest revenue, one row each."""
+    s = star(spark, sf_dir)
+    return measures.top_films(s["fact_daily_revenue"], s["dim_movie"]).select("title", F.col("revenue").cast("bigint").alias("revenue"))
+
+
 @query("last_refresh")
 def q_last_refresh(spark, sf_dir):
     """D17 over the call times (stand-in for the refresh history)."""

@@ -110,12 +110,22 @@ cte("film_first", r"""
            sum(revenue) OVER (PARTITION BY title, release_year) AS lifetime_revenue
     FROM stg WINDOW film AS (PARTITION BY title, release_year ORDER BY id)) WHERE k = 1""", ("stg",))
 
+# A document and its film stand next to each other in one list; the film's totals are taken over.
 cte("dim_movie", r"""
-  SELECT docs_flat.* EXCLUDE (title, lookup_year, _fetched_at),
-         ifnull(docs_flat.title, lookup_title) AS title, lookup_year AS release_year,
-         first_revenue_date, last_revenue_date, lifetime_revenue, _fetched_at AS omdb_fetched_at
-  FROM docs_flat, film_first
-  WHERE (lookup_title, lookup_year) = (film_first.title, film_first.release_year)""",
+  SELECT * EXCLUDE (is_doc, n, name, lookup_year, _fetched_at), lookup_year AS release_year, _fetched_at AS omdb_fetched_at,
+         CASE WHEN name IS NULL THEN lookup_title ELSE name END AS title
+  FROM (
+    SELECT d.* EXCLUDE (first_revenue_date, last_revenue_date, lifetime_revenue),
+           max(first_revenue_date) OVER film AS first_revenue_date, max(last_revenue_date) OVER film AS last_revenue_date,
+           max(lifetime_revenue) OVER film AS lifetime_revenue, count(*) FILTER (NOT is_doc) OVER film AS n
+    FROM (
+      SELECT true AS is_doc, * RENAME (title AS name), NULL::DATE AS first_revenue_date, NULL::DATE AS last_revenue_date,
+             NULL::DECIMAL(38,0) AS lifetime_revenue FROM docs_flat
+      UNION ALL BY NAME
+      SELECT false AS is_doc, title AS lookup_title, release_year AS lookup_year, first_revenue_date, last_revenue_date,
+             lifetime_revenue FROM film_first) d
+    WINDOW film AS (PARTITION BY lookup_title, lookup_year))
+  WHERE is_doc AND n > 0""",
     ("film_first", "docs_flat"))
 
 cte("dim_distributor", r"""
@@ -123,7 +133,7 @@ cte("dim_distributor", r"""
          count(*) FILTER (WHERE k = 1) AS films_distributed_n, sum(revenue) AS lifetime_revenue
   FROM (SELECT distributor AS name, revenue,
                row_number() OVER (PARTITION BY distributor, title ORDER BY id) AS k FROM stg)
-  WHERE name <> '' GROUP BY ALL""", ("stg",))
+  WHERE name IS NOT NULL GROUP BY ALL""", ("stg",))
 
 cte("fact", r"""
   SELECT id AS source_row_id,
@@ -648,3 +658,7 @@ UNION ALL SELECT 'year', CAST(year(revenue_date) AS VARCHAR), count(DISTINCT mov
 FROM events GROUP BY 1""",
     "quoted_records": """SELECT doc_id, lang, source, md5(nullif(nullif(text, ''), '-')) AS text_md5, n_chars FROM documents""",
 })
+ORACLE["top_films"] = sql("""
+SELECT title, CAST(revenue AS BIGINT) AS revenue FROM (
+  SELECT m.title, sum(f.revenue) AS revenue, rank() OVER (ORDER BY sum(f.revenue) DESC) AS place
+  FROM fact f JOIN dim_movie m ON m.imdb_id = f.movie_key GROUP BY m.title) WHERE place = 1""", "fact", "dim_movie")
