@@ -7,7 +7,7 @@ import pytest
 from marquee.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings", "conversations")
 
 
 def plain(rows, names):
