@@ -13,9 +13,10 @@ neighbouring window of 2**k places.  The block's occurrences are an interval
 of the suffix array; a wavelet matrix over the array answers the range
 successor query.  Candidates are then extended both ways by common extensions.
 
-Most blocks need no query: in a run every word comes again within q words, so
-blocks with a word that does not come again within 2**k words are passed over,
-and only documents with a block left get a suffix array.
+Most blocks need no query: in a run every word, but for those of its last period,
+comes again within q words.  Blocks are passed over unless all their words come
+again within 2**k words and the stretch of such words is as long as a run's
+must be; only documents with a block left get a suffix array.
 
 Documents are rows and no row meets another, so nothing is shuffled.
 """
@@ -139,8 +140,9 @@ def _gaps(words: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks(words: np.ndarray, row: np.ndarray, last: np.ndarray, exponent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(level, starts) of the blocks in which every word comes again within the block's length."""
+def _blocks(words: np.ndarray, row: np.ndarray, last: np.ndarray, shortest: int,
+            exponent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(level, starts) of the blocks in which, and in enough places around, every word comes again within the block's length."""
     half = gap = _gaps(words, row)
     longest = int(np.bincount(row).max(initial=0))
     level = 0
@@ -155,6 +157,13 @@ def _blocks(words: np.ndarray, row: np.ndarray, last: np.ndarray, exponent: int)
             starts = np.flatnonzero(np.maximum(half[:-1], half[1:]) <= size) * (size >> 1)
             starts = starts[starts + size <= len(words)]
         starts = starts[starts + size <= last[starts]]  # whole blocks of one document
+        if len(starts):
+            # All words of a run but those of its last period come again so near, and they follow each other.
+            near = np.concatenate([[False], gap <= size, [False]])
+            edges = np.flatnonzero(near[1:] != near[:-1])
+            begin, most = edges[::2], np.diff(edges)[::2]
+            least = max(shortest - size, (exponent - 1) * (size // 2 + 1))
+            starts = starts[most[np.searchsorted(begin, starts, "right") - 1] >= least]
         if len(starts):
             yield level, starts
         level += 1
@@ -172,7 +181,7 @@ def find_runs(words: np.ndarray, first: np.ndarray, shortest: int = 6,
     count = np.diff(first)
     row = np.repeat(np.arange(len(count)), count)
     last = first[1:][row]
-    queries = list(_blocks(words, row, last, exponent))
+    queries = list(_blocks(words, row, last, shortest, exponent))
     if not queries:
         return none, none, none
     # The documents with a block left, each followed by a separator of its own.
