@@ -28,7 +28,7 @@ from .common import ascii_lower
 WIDTH = 5
 #: Shingles of a window, stride, and bands, from the widest.
 WINDOWS = ((16, 8, 4), (4, 2, 2), (1, 1, 1))
-#: Bounds the index that goes with every task as a literal.
+#: Bounds the index that goes with every task as a literal; more templates are searched for in several passes.
 MAX_KEYS = 50_000
 
 # Names and texts of public licence notices.
@@ -130,8 +130,6 @@ class Index:
             width = next(w for w, s, _ in WINDOWS if n >= w + s - 1)
             for k in set(row[f"k{width}"]):
                 keys.setdefault(k, []).append(row["name"])
-        if len(keys) > MAX_KEYS:
-            raise ValueError("too many templates for one pass: split them")
         return cls(keys, shingles)
 
 
@@ -148,8 +146,26 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
     null id are taken together; an empty table gives no rows; further columns
     are ignored.
     """
+    out = None
+    for index in _indexes(docs.sparkSession, TEMPLATES if templates is None else templates):
+        found = _scan(docs, index, percent, id_col, text_col)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _indexes(spark, templates: dict[str, str]) -> list[Index]:
+    """Indexes of at most ``MAX_KEYS`` keys that hold all templates (a larger template has one of its own)."""
+    index = Index.build(spark, templates)
+    if len(index.keys) <= MAX_KEYS or len(templates) < 2:
+        return [index]
+    names = sorted(templates)
+    half = len(names) // 2
+    return [i for part in (names[:half], names[half:]) for i in _indexes(spark, {n: templates[n] for n in part})]
+
+
+def _scan(docs: DataFrame, index: Index, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The notices of one index; those of different templates do not depend on each other."""
     spark = docs.sparkSession
-    index = Index.build(spark, TEMPLATES if templates is None else templates)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     known = F.lit(sorted(index.keys)) if index.keys else F.expr("array()").cast("array<bigint>")
     made = let(word_hashes(F.col("_text")), lambda w: let(shingle_hashes(w), lambda s: F.struct(
@@ -161,7 +177,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
     by_key = spark.createDataFrame(
         [(k, n, index.shingles[n]) for k, names in index.keys.items() for n in names],
         "_key long, license string, _template array<bigint>")
-    # The table of keys is bounded by MAX_KEYS.
+    # The table of keys is bounded by MAX_KEYS (or by one template).
     found = hits.select("doc_id", "_s", F.explode("_hits").alias("_key")).join(F.broadcast(by_key), "_key")
     shared = F.array_intersect("_s", "_template")
     exact = found.withColumn("_shared", shared).filter(100 * F.size("_shared") >= percent * F.size("_template"))

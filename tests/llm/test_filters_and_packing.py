@@ -422,3 +422,11 @@ def test_sample_stays_within_its_limits_when_ids_repeat(spark):
     got = toxicity.draw_sample(docs, labels, max_toxic=1, max_clean=1).collect()
     assert len(got) <= 2 and {(r["doc_id"], r["toxic"]) for r in got} <= {(1, 1), (2, 0), (3, 0)}
     assert [r["text"] for r in got if r["doc_id"] == 1] == ["text 0"]
+
+
+def test_more_templates_than_one_pass_takes(make, monkeypatch):
+    texts = [prose(40, 20) + " " + licenses.TEMPLATES[n] + " " + prose(41, 20) for n in sorted(licenses.TEMPLATES)]
+    docs = make(texts)
+    one = sorted(map(tuple, licenses.scan(docs).collect()))
+    monkeypatch.setattr(licenses, "MAX_KEYS", 30)
+    assert sorted(map(tuple, licenses.scan(docs).collect())) == one and len(one) >= len(texts)
