@@ -230,14 +230,16 @@ def count_calls(spark: SparkSession, inbox: str, table: KeyedTable, checkpoint:
     stream = (spark.readStream.option("pathGlobFilter", "*" + suffix)
               .option("recursiveFileLookup", True).text(inbox))
     rows = json_docs.unpack_log_batches(stream.withColumnRenamed("value", "batch"), ddl=ddl or json_docs.LOG_ROW_DDL)
-    day = F.window(F.col("call_at").cast("timestamp"), "1 day")  # the session's time zone is UTC
-    counts = (rows.withColumn("call_at", F.col("call_at").cast("timestamp")).withWatermark("call_at", lateness)
-                  .groupBy(day.alias("w")).agg(F.count(F.lit(1)).alias("n_calls")))
+    # Call times have no zone: as instants of UTC, in which windows of a day begin.
+    instant = F.to_timestamp(F.concat(F.col("call_at").cast("string"), F.lit("Z")))
+    counts = (rows.withColumn("call_at", instant).withWatermark("call_at", lateness)
+                  .groupBy(F.window("call_at", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n_calls")))
     run = _Run()
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         name = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
-        days = batch.select(F.to_date("w.start").alias("day"), "n_calls", F.lit(batch_id).cast("long").alias("_v"))
+        day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86_400).cast("int"))
+        days = batch.select(day.alias("day"), "n_calls", F.lit(batch_id).cast("long").alias("_v"))
         table.merge(days, applied=(name, batch_id))
         run.folders.append(str(batch_id))
 
