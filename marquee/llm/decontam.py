@@ -302,5 +302,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; a null id cannot be rejected."""
     found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    bad = found.select(F.col("doc_id").alias("bad")).distinct()
+    # Written, so that its size is known when the join is planned: a short list is broadcast and no text is shuffled.
+    bad = materialize(found.select(F.col("doc_id").alias("bad")).distinct(), "bad-ids")
     return docs.join(bad, docs[id_col].cast("long") == bad["bad"], "left_anti")
