@@ -59,7 +59,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     rows = named_rows(docs)
     groups = minhash.near_duplicates(rows, width=5, percent=80, id_col="_name")
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    # Written, so that its size is known when the join is planned: a short list is broadcast and no text is shuffled.
+    gone = materialize(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
     return rows.join(gone, rows["_name"] == gone["_gone"], "left_anti").select(*COLUMNS)
 
 
