@@ -164,13 +164,14 @@ class FilterContext:
 
     def summary(self) -> DataFrame:
         """One row: revenue, rows and films of the fact, films and distributors that the filters leave."""
-        fact = self.rows(FACT).agg(F.sum("revenue").cast("bigint").alias("revenue"), F.count(F.lit(1)).alias("n_rows"),
-                                   F.count_distinct("movie_key").alias("n_films"))
-        movies = self.rows(MOVIE).agg(F.count(F.lit(1)).alias("n_movies"))
-        dists = self.rows(DISTRIBUTOR).agg(F.count(F.lit(1)).alias("n_distributors"))
-        one = F.lit(1).alias("_one")  # single rows, joined on a constant
-        return (fact.select(one, "*").join(movies.select(one, "*"), "_one").join(dists.select(one, "*"), "_one")
-                    .drop("_one"))
+        parts = (self.rows(FACT).agg(F.sum("revenue").cast("bigint").alias("revenue"), F.count(F.lit(1)).alias("n_rows"),
+                                     F.count_distinct("movie_key").alias("n_films")),
+                 self.rows(MOVIE).agg(F.count(F.lit(1)).alias("n_movies")),
+                 self.rows(DISTRIBUTOR).agg(F.count(F.lit(1)).alias("n_distributors")))
+        out = parts[0]
+        for one in parts[1:]:  # three rows, each with its own columns
+            out = out.unionByName(one, allowMissingColumns=True)
+        return out.agg(*[F.max(c).alias(c) for c in out.columns])
 
 
 def interact(context: FilterContext, picks: Mapping[str, tuple[str, Column]],

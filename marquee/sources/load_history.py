@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from ..session import child_files, delete_file, move_to, path_exists, write_text
 
 BUCKETS = 16
+#: Files of a bucket from which on they are joined, so that a lookup's cost does not grow with the number of loads.
+COMPACT_AT = 64
 # The states of a load.
 LOADED, FAILED = "LOADED", "FAILED"
 RECORD_DDL = ("file string, size bigint, modified bigint, rows bigint, status string, error string, "
@@ -53,14 +55,19 @@ class LoadHistory:
             full = {"error": None, "rows": None, **e, "loader": loader, "recorded_at": now}
             lines.setdefault(bucket_of(e["file"]), []).append(json.dumps(full))
         for b, own in lines.items():
-            write_text(self.spark, f"{self.root}/bucket={b}/{uuid.uuid4().hex}.json", "\n".join(own) + "\n")
+            folder = f"{self.root}/bucket={b}"
+            write_text(self.spark, f"{folder}/{uuid.uuid4().hex}.json", "\n".join(own) + "\n")
+            if len(child_files(self.spark, folder)) > COMPACT_AT:
+                self._join(folder)
 
     def records(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """All records (of some buckets); none when nothing was loaded yet."""
-        if not path_exists(self.spark, self.root):
+        wanted = sorted({int(b) for b in (range(BUCKETS) if buckets is None else buckets)})
+        folders = [f for f in (f"{self.root}/bucket={b}" for b in wanted) if path_exists(self.spark, f)]
+        if not folders:
             return self.spark.createDataFrame([], f"{RECORD_DDL}, bucket int")
-        rows = self.spark.read.schema(f"{RECORD_DDL}, bucket int").json(self.root)
-        return rows if buckets is None else rows.where(F.col("bucket").isin([int(b) for b in buckets]))
+        rows = self.spark.read.schema(f"{RECORD_DDL}, bucket int").option("basePath", self.root).json(folders)
+        return rows if buckets is None else rows.where(F.col("bucket").isin(wanted))
 
     def latest(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The last record of each delivery; a load that went well is not undone by a later failure."""
@@ -79,16 +86,18 @@ class LoadHistory:
         return files.join(known.select(*IDENTITY), list(IDENTITY), "left_anti")
 
     def compact(self) -> None:
-        """One file per bucket.  Records are joined before the old files go, so a crash leaves them twice, never fewer."""
+        """One file per bucket."""
         for b in range(BUCKETS):
             folder = f"{self.root}/bucket={b}"
-            old = child_files(self.spark, folder)
-            if len(old) > 1:
-                lines = self.spark.read.text(old).coalesce(1)
-                joined = f"{self.root}/_joined-{uuid.uuid4().hex}"
-                lines.write.text(joined)
-                for part in child_files(self.spark, joined):
-                    move_to(self.spark, part, f"{folder}/{uuid.uuid4().hex}.json")
-                delete_file(self.spark, joined)
-                for path in old:
-                    delete_file(self.spark, path)
+            if len(child_files(self.spark, folder)) > 1:
+                self._join(folder)
+
+    def _join(self, folder: str) -> None:
+        """Join the files of a bucket.  The joined one is there before the old ones go, so a crash leaves records twice, never fewer."""
+        old = child_files(self.spark, folder)
+        joined = f"{self.root}/_joined-{uuid.uuid4().hex}"
+        self.spark.read.text(old).coalesce(1).write.text(joined)
+        for part in child_files(self.spark, joined):
+            move_to(self.spark, part, f"{folder}/{uuid.uuid4().hex}.json")
+        for path in (joined, *old):
+            delete_file(self.spark, path)
