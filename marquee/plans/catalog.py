@@ -695,7 +695,7 @@ def q_calendar_spine(spark, sf_dir):
     return days.select("date_key", "day_name", "is_weekend").join(per_day, "date_key", "left")
 
 
-FILTER_YEARS = (1996, 1997)
+FILTER_YEARS = (1995, 1997)
 
 
 @query("filtered_film_table")

@@ -467,7 +467,7 @@ ORACLE.update({
     "filtered_film_table": sql(
         """SELECT title, director, genres, imdb_rating, rotten_tomatoes_score, CAST(sum(revenue) AS BIGINT) AS revenue
            FROM (SELECT m.* EXCLUDE (lifetime_revenue), f.revenue FROM dim_movie m JOIN fact f ON imdb_id = movie_key
-                 WHERE release_year IN (1996, 1997) AND contains(lookup_title, '#1')
+                 WHERE release_year IN (1995, 1997) AND contains(lookup_title, '#1')
                    AND f.distributor_key IN (SELECT md5(s_name) FROM supplier WHERE s_name <= 'Supplier#000000050'))
            GROUP BY ALL""", "fact", "dim_movie"),
     "distributors_of_director": sql(
