@@ -56,12 +56,13 @@ def _fold(sums: np.ndarray) -> np.ndarray:
 class Items:
     """A block of benchmark items of one shingle width, with the multi-index of their fingerprints.
 
-    ``counts``: the block's shingles and how many of all ``total`` items have
-    them, where the block is not the whole benchmark.
+    Where the block is not the whole benchmark, ``total`` is the number of all
+    items and ``counts`` has the block's shingles and how many of all items have them.
     """
 
-    def __init__(self, ids: np.ndarray, texts: list[str], width: int, block_radius: int, total: int,
+    def __init__(self, ids: np.ndarray, texts: list[str], width: int, block_radius: int, total: int | None = None,
                  counts: tuple[np.ndarray, np.ndarray] | None = None):
+        total = len(texts) if total is None else total
         flat, offsets = text_buffer(pa.array(texts, pa.large_string()))
         words, _, _, first = _words(flat, offsets)
         shingles, begin = shingle_hashes(words, first, width)
