@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json as J
@@ -23,6 +23,11 @@ from .keyed_table import KeyedTable
 LISTING = "file string, day int, size bigint, modified bigint, gone boolean, seen bigint"
 
 
+def _day_of(file: str) -> Column:
+    """The day (yyyymmdd) of a file's path below the cache."""
+    return F.regexp_replace(F.regexp_extract(file, r"yyyy=\d+/mm=\d+/dd=\d+", 0), r"\D", "").cast("int")
+
+
 class FrozenDocuments:
     """The cache at ``docs_root`` as registered in ``listing_root`` (by default beside it)."""
 
@@ -30,16 +35,14 @@ class FrozenDocuments:
         self.spark, self.root = spark, docs_root.rstrip("/")
         # The day is part of a file's path, so a partition of the day is one of the key.
         self.listing = KeyedTable(spark, listing_root or f"{self.root}_listing", LISTING, "file", ["seen"],
-                                  partition=F.regexp_replace(F.regexp_extract(
-                                      "file", r"yyyy=(\d+)/mm=(\d+)/dd=(\d+)", 0), r"\D", "").cast("int"), gone="gone")
+                                  partition=_day_of("file"), gone="gone")
 
     def _present(self) -> DataFrame:
         """Files that lie in the day folders now (a listing, no document is read)."""
         if not path_exists(self.spark, self.root):
             return self.spark.createDataFrame([], "file string, size bigint, modified bigint")
         names = (self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.root)
-                     .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"),
-                             F.col("length").alias("size"), F.unix_millis("modificationTime").alias("modified")))
+                     .select("path", F.col("length").alias("size"), F.unix_millis("modificationTime").alias("modified")))
         # The path below the cache's root, from its first day folder on.
         file = F.regexp_extract("path", r"yyyy=\d+/mm=\d+/dd=\d+/[^/]+$", 0)
         return names.select(file.alias("file"), "size", "modified").where("file <> ''")
@@ -47,9 +50,8 @@ class FrozenDocuments:
     def refresh(self) -> dict:
         """Register what is there now; returns {"added", "removed", "days"} (days whose part of the listing changed)."""
         now, held = self._present(), self.listing.read()
-        day = F.regexp_replace(F.regexp_extract("file", r"yyyy=(\d+)/mm=(\d+)/dd=(\d+)", 0), r"\D", "").cast("int")
         same = ["file", "size", "modified"]
-        new = now.join(held.select(*same), same, "left_anti").withColumns({"day": day, "gone": F.lit(False)})
+        new = now.join(held.select(*same), same, "left_anti").withColumns({"day": _day_of("file"), "gone": F.lit(False)})
         lost = held.join(now.select("file"), "file", "left_anti").withColumn("gone", F.lit(True))
         seen = F.lit(self.listing.state()["version"] + 1).cast("long")
         change = new.unionByName(lost.select(*new.columns)).withColumn("seen", seen)
