@@ -16,8 +16,10 @@ def components(links: DataFrame) -> DataFrame:
     A node with very many links is a join key whose rows the engine may split,
     and its minimum is combined on the map side.
     """
-    both = materialize(links.select("a", "b").union(links.select("b", "a"))
-                            .filter("a <> b").distinct(), "links")
+    # Both directions from one evaluation: links that are chosen among equals may come out otherwise a second time,
+    # and a link known from one side only would not join its ends.
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("_w")
+    both = materialize(links.filter("a <> b").select(ways).select("_w.a", "_w.b").distinct(), "links")
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a"))
                                                                    .alias("component")), "labels")
     while True:
