@@ -6,19 +6,18 @@ from pyspark.sql import functions as F
 from marquee.llm.graph import components
 
 
-def _either(batches):
-    """One of two links between equal ends, drawn anew whenever the rows are computed."""
-    import os
-
-    for b in batches:
-        x = np.asarray(b.column(0))
-        swap = np.frombuffer(os.urandom(len(x)), np.uint8) < 128
-        yield pa.record_batch([pa.array(np.where(swap, x + 1, x)), pa.array(np.where(swap, x, x + 1))], names=["a", "b"])
+def test_links_are_evaluated_once(spark):
+    def either(batches):
+        """One of two links between equal ends, drawn anew whenever the rows are computed."""
+        import os
 
+        for b in batches:
+            x = np.asarray(b.column(0))
+            swap = np.frombuffer(os.urandom(len(x)), np.uint8) < 128
+            yield pa.record_batch([pa.array(np.where(swap, x + 1, x)), pa.array(np.where(swap, x, x + 1))], names=["a", "b"])
 
-def test_links_are_evaluated_once(spark):
     ends = spark.range(0, 4000, 4).select(F.explode(F.sequence("id", F.col("id") + 2)).alias("x"))
-    got = {r["node"]: r["component"] for r in components(ends.mapInArrow(_either, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in components(ends.mapInArrow(either, "a long, b long")).collect()}
     assert got == {i: i - i % 4 for i in range(4000)}
 
 
