@@ -84,8 +84,12 @@ def dim_movie(stg: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.select(*[cols.get(c, F.col("o." + c)).alias(c) for c in DIM_MOVIE_COLUMNS])
 
 
-def fact_daily_revenue(stg: DataFrame, movies: DataFrame, distributors: DataFrame) -> DataFrame:
-    """Revenue rows of enriched films with a known distributor, keyed to the dims."""
+def fact_daily_revenue(stg: DataFrame, movies: DataFrame, distributors: DataFrame,
+                       carry: dict[str, str] | None = None) -> DataFrame:
+    """Revenue rows of enriched films with a known distributor, keyed to the dims.
+
+    ``carry``: further columns {name: staged column} that are put first.
+    """
     m = movies.select(F.col("imdb_id").alias("movie_key"),
                       F.col("lookup_title").alias("_m_title"),
                       F.col("release_year").alias("_m_year"))
@@ -94,7 +98,8 @@ def fact_daily_revenue(stg: DataFrame, movies: DataFrame, distributors: DataFram
     j = (r.join(m, (F.col("r.title") == F.col("_m_title"))
                 & (F.col("r.release_year") == F.col("_m_year")), "inner")
           .join(d, F.col("r.distributor") == F.col("_d_name"), "inner"))
-    return j.select(F.col("r.id").alias("source_row_id"), "movie_key",
+    return j.select(*[F.col(f"r.{c}").alias(n) for n, c in (carry or {}).items()],
+                    F.col("r.id").alias("source_row_id"), "movie_key",
                     D.date_key("r.revenue_date").alias("date_key"),
                     "distributor_key", F.col("r.revenue"), F.col("r.theaters"),
                     F.col("r.revenue_date"))
@@ -124,8 +129,10 @@ def materialize(spark, tables: dict[str, DataFrame], root: str | None = None) ->
     Cuts the lineage: checks and reports that read several marts scan the
     written tables instead of re-running the whole build per consumer, and a
     lost executor re-reads files instead of recomputing the star.  Fact-like
-    tables are sorted by date inside each task (no extra shuffle) and files
-    are capped at ``MAX_RECORDS_PER_FILE`` rows.
+    tables are dealt by month and sorted by date inside each task: a task has
+    one partition of the advisory size however large its input split was, so
+    the sort stays in memory, and a file holds few months.  Files are capped
+    at ``MAX_RECORDS_PER_FILE`` rows.
     """
     from ..session import scratch_path
     base = root or scratch_path(spark, "marts")
@@ -133,7 +140,8 @@ def materialize(spark, tables: dict[str, DataFrame], root: str | None = None) ->
     for name, df in tables.items():
         path = f"{base}/{name}"
         if CLUSTER_BY.get(name) in df.columns:
-            df = df.sortWithinPartitions(CLUSTER_BY[name])
+            by = CLUSTER_BY[name]
+            df = df.withColumn("_month", F.trunc(by, "month")).hint("rebalance", "_month").sortWithinPartitions(by).drop("_month")
         df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
         out[name] = spark.read.parquet(path)
     return out

@@ -2,11 +2,13 @@
 
 Plan shape (what Catalyst is given)
 -----------------------------------
-* latest-wins de-dup is ``groupBy(id).agg(max(struct(order..., row...)))``
-  - an aggregate with a map-side partial step (sort-based, since the struct
-  buffer is not fixed-width), so an id repeated a billion times is folded to
-  one row per map task before the shuffle; no window sorts a hot key's rows
-  in one task.
+* latest-wins de-dup shuffles the rows by key first and then takes
+  ``groupBy(id).agg(max(struct(order..., row...)))`` in each partition: the
+  struct buffer is not fixed-width, so the aggregate sorts, and a sort before
+  the shuffle would hold a whole input split.  Keys that would fill more than
+  a partition (counted by a hash of the key) go another way: they are folded
+  to one row per map task before their shuffle, so an id repeated a billion
+  times never meets in one task.
 * the per-title first year is ``groupBy(title).min`` joined back on title.
   The aggregate side has one row per title; AQE turns the join into a
   broadcast when that side is measured small after its shuffle, and splits a
@@ -38,14 +40,34 @@ def dedupe_latest(df: DataFrame, key: str | Sequence[str], order_desc: Sequence[
     ``order_desc`` is compared left to right (latest load first).  The row
     is picked as ``max(struct(order..., remaining kept columns...))``: the
     remaining columns break any tie left by ``order_desc``, so the pick is
-    deterministic (a retried task picks the same row), and the aggregate
-    keeps its map-side partial step.
+    deterministic (a retried task picks the same row).
     """
     keys = [key] if isinstance(key, str) else list(key)
     keep = [c for c in (keep or df.columns) if c not in keys]
     fields = list(dict.fromkeys([*order_desc, *keep]))
-    picked = F.max(F.struct(*fields)).alias("_row")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("_row." + c).alias(c) for c in keep])
+
+    def pick(rows: DataFrame) -> DataFrame:
+        picked = F.max(F.struct(*fields)).alias("_row")
+        return rows.groupBy(*keys).agg(picked).select(*keys, *[F.col("_row." + c).alias(c) for c in keep])
+
+    slot = F.pmod(F.xxhash64(*keys), F.lit(KEY_SLOTS))
+    full = full_slots(df, slot)
+    if not full:
+        return pick(df.repartition(*keys))
+    hot = slot.isin(full)
+    return pick(df.where(~hot).repartition(*keys)).unionByName(pick(df.where(hot)))
+
+
+#: Slots that keys are counted in; a slot is full with more rows than an average partition has and than a task sorts at ease.
+KEY_SLOTS, FULL_ROWS = 4096, 1 << 18
+
+
+def full_slots(df: DataFrame, slot) -> list[int]:
+    """Slots with too many rows for one task (fewer than there are partitions); counts of all slots reach the driver."""
+    from .skew import shuffle_partitions
+    counts = {r[0]: r[1] for r in df.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1))).collect()}
+    most = max(FULL_ROWS, sum(counts.values()) / shuffle_partitions(df))
+    return sorted(s for s, n in counts.items() if n > most)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -60,13 +82,15 @@ def first_year_by(df: DataFrame, group: str | Sequence[str], date_col: str,
     """``df`` plus ``out`` = min(year(date_col)) over rows sharing ``group``.
 
     The per-group side is one aggregate (map-side partials) that also counts
-    rows; groups larger than an average partition are joined back salted
-    (``skew.salted_join``), so a hot title never lands in a single task.
+    rows; it is written, as the join and the list of hot groups read it, and
+    so that its size is known when the join is planned.  Groups larger than an
+    average partition are joined back salted (``skew.salted_join``), so a hot
+    title never lands in a single task.
     """
     from .skew import hot_keys, salted_join
     groups = [group] if isinstance(group, str) else list(group)
-    per_group = df.groupBy(*groups).agg(F.min(F.year(date_col)).cast("int").alias(out),
-                                        F.count(F.lit(1)).alias("_n"))
+    per_group = _written(df.groupBy(*groups).agg(F.min(F.year(date_col)).cast("int").alias(out),
+                                                 F.count(F.lit(1)).alias("_n")), "first-years")
     hot = hot_keys(per_group, groups, "_n")
     salt = list(salt_cols) if salt_cols else [c for c in df.columns if c not in groups]
     return salted_join(df, per_group.drop("_n"), groups, hot, salt)
