@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import marts, staging
 from marquee.session import scratch_path
+from marquee.sources.keyed_table import KeyedTable
 
 
 def newest(rows):
@@ -47,3 +48,17 @@ def test_a_month_of_the_fact_is_in_one_file(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
     assert out.columns == ["revenue_date", "id"] and out.count() == 600
+
+
+def test_rows_of_some_titles_are_replaced_without_a_comparison(spark):
+    schema = "title string, id int, v int"
+    table = KeyedTable(spark, scratch_path(spark, "t-instead"), schema, ["title", "id"], ["v"],
+                       F.pmod(F.xxhash64("title"), F.lit(4)))
+    table.merge(spark.createDataFrame([("a", 1, 9), ("a", 2, 9), ("b", 1, 9), (None, 1, 9), ("c", 1, 9)], schema))
+    titles = spark.createDataFrame([("a",), (None,), ("c",)], "title string")
+    new = spark.createDataFrame([("a", 2, 1), ("a", 3, 1), (None, 5, 1)], schema)
+    table.merge(new, ("s", 0), instead_of=(titles, "title"))
+    want = [("None", 5, 1), ("a", 2, 1), ("a", 3, 1), ("b", 1, 9)]
+    assert sorted((str(r.title), r.id, r.v) for r in table.read().collect()) == want
+    assert table.merge(new, ("s", 0), instead_of=(titles, "title"))["rewritten"] == []  # applied once
+    assert sorted((str(r.title), r.id, r.v) for r in table.read().collect()) == want
