@@ -61,9 +61,10 @@ class Chains:
         ending = np.bincount(count, minlength=longest + 1)[:longest + 1]
         self.active = len(count) - np.cumsum(ending)[:longest]  # rows longer than t
         self.begin = np.concatenate([[0], np.cumsum(self.active)]).astype(np.int64)
-        row = np.repeat(np.arange(len(count), dtype=np.int32), count)
-        pos = (np.arange(len(row)) - first[:-1][row]).astype(np.int32) if len(row) else row
-        self.at = (self.begin[pos] + rank[row]).astype(np.int32)
+        self.at = np.arange(int(first[-1] - first[0]), dtype=np.int32)
+        self.at -= np.repeat(first[:-1].astype(np.int32), count)  # the position of each token
+        self.at = self.begin.astype(np.int32)[self.at]
+        self.at += np.repeat(rank.astype(np.int32), count)
 
     def marginals(self, odds: np.ndarray, trans: np.ndarray, start: float):
         """(P(state 1), expected transitions [2, 2], expected first states) from emission odds.
@@ -87,7 +88,8 @@ class Chains:
             q = odds[k] * v[k]
             v[b[t]:b[t] + n[t + 1]] = (w10 + w11 * q) / (w00 + w01 * q)
         both = u * v
-        return both / (1 + both), u, v
+        both /= 1 + both
+        return both, u, v
 
     def pair_counts(self, odds: np.ndarray, trans: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         """Expected number of each transition, [2, 2]."""
@@ -99,9 +101,11 @@ class Chains:
             hi = min(lo + 256, len(n))
             p = np.concatenate([u[b[t - 1]:b[t - 1] + n[t]] for t in range(lo, hi)]).astype(float)
             q = (odds[b[lo]:b[hi]] * v[b[lo]:b[hi]]).astype(float)
-            cells = (np.full_like(p, trans[0, 0]), trans[0, 1] * q, trans[1, 0] * p, trans[1, 1] * p * q)
-            whole = sum(cells)
-            out += [(c / whole).sum() for c in cells]
+            cells = (lambda: trans[0, 0], lambda: trans[0, 1] * q, lambda: trans[1, 0] * p, lambda: trans[1, 1] * p * q)
+            whole = np.full_like(p, trans[0, 0])
+            for c in cells[1:]:  # one at a time: they are as long as the tokens
+                whole += c()
+            out += [(c() / whole).sum() for c in cells]
         return out.reshape(2, 2)
 
 
@@ -119,7 +123,8 @@ class Model:
         e = np.full(features.shape[1], self.bias, np.float32)
         for k in range(FIELDS):
             e += self.weights[k][features[k]]
-        return np.exp(np.clip(e, -25, 25))
+        np.clip(e, -25, 25, out=e)
+        return np.exp(e, out=e)
 
     def marginals(self, odds: np.ndarray, first: np.ndarray) -> np.ndarray:
         chains = Chains(first)
@@ -144,7 +149,7 @@ class Model:
 
 
 def label_tokens(features: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """1 for tokens of toxic documents with a feature that marks toxic documents.
+    """True for tokens of toxic documents with a feature that marks toxic documents.
 
     A feature marks them if it is found in so many toxic documents, and (but
     for one in fifty) in no clean one, that chance would not give one such
@@ -152,29 +157,40 @@ def label_tokens(features: np.ndarray, first: np.ndarray, toxic: np.ndarray) ->
     Edited copies of one document are no independent finds: what counts is the
     number of documents or of different words before the feature, if smaller.
     """
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    row = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
     n1, n0 = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
     rarity = np.log((n1 + n0) / n1)
     before = np.concatenate([[-1], features[0][:-1]])
     before[first[:-1][np.diff(first) > 0]] = -1
 
     def found(feature: np.ndarray, where: np.ndarray, side: np.ndarray) -> np.ndarray:
-        pair = np.unique((where[side].astype(np.int64) + 1) << BITS | feature[side])
-        return np.bincount(pair & ((1 << BITS) - 1), minlength=1 << BITS)
+        pair = where[side].astype(np.int64)
+        pair += 1
+        pair <<= BITS
+        pair |= feature[side]
+        pair.sort()
+        pair = pair[np.diff(pair, prepend=-1) != 0]
+        pair &= (1 << BITS) - 1
+        return np.bincount(pair, minlength=1 << BITS)
 
     marked = np.zeros(features.shape[1], bool)
     side = toxic[row]
     for f in features:
         in1 = np.minimum(found(f, row, side), found(f, before, side))
         in0 = found(f, row, ~side)
-        marks = (in1 * rarity >= np.log(max(len(np.unique(f)), 1)) + 4) & (in0 / n0 <= 0.02 * in1 / n1)
+        kinds = np.count_nonzero(np.bincount(f, minlength=1 << BITS))
+        marks = (in1 * rarity >= np.log(max(kinds, 1)) + 4) & (in0 / n0 <= 0.02 * in1 / n1)
         marked |= marks[f]
-    return (marked & side).astype(np.float64)
+    return marked & side
 
 
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 40, rate: float = 0.5,
         decay: float = 1e-6) -> Model:
-    """CRF and document score from whole labelled texts (a bounded sample)."""
+    """CRF and document score from whole labelled texts (a bounded sample).
+
+    Beside the features (16 bytes a token) a token holds a few numbers; what
+    is made of all tokens is freed before the next of its kind is made.
+    """
     model = Model()
     toxic = np.asarray(toxic, bool)
     if not len(texts) or toxic.all() or not toxic.any():
@@ -187,43 +203,53 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 40, rate: float = 0.5
     for a, b in slices(offsets):
         f, _, _, own = token_features(flat[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
         parts.append((f, np.diff(own)))
-    features = np.concatenate([p[0] for p in parts], 1)
     first = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))])
-    del parts
+    features = np.empty((FIELDS, first[-1]), np.int32)
+    at = first[-1]
+    while parts:
+        f, _ = parts.pop()
+        features[:, at - f.shape[1]:at] = f
+        at -= f.shape[1]
+    del column, flat, f
     y = label_tokens(features, first, toxic)
     chains = Chains(first)
-    pairs = np.zeros((2, 2))
-    left = np.repeat(first[1:] - 1, np.diff(first))[:len(y)] != np.arange(len(y))  # not last of its row
-    i = np.flatnonzero(left)
-    np.add.at(pairs, (y[i].astype(int), y[i + 1].astype(int)), 1)
     heads = first[:-1][np.diff(first) > 0]
-    # Only buckets that occur have a gradient; steps are Adagrad's.
-    used = [(u, i.astype(np.int32)) for u, i in (np.unique(f, return_inverse=True) for f in features)]
-    seen = [np.full(len(u), 1e-8) for u, _ in used]
+    follows = np.ones(len(y), bool)  # not the first of its row
+    follows[heads] = False
+    step = (2 * y[:-1].astype(np.int8) + y[1:])[follows[1:]]
+    pairs = np.array([[np.count_nonzero(step == 2 * a + b) for b in (0, 1)] for a in (0, 1)], float)
+    del step, follows
+    # Buckets that do not occur have no gradient; steps are Adagrad's.
+    seen = [np.full(1 << BITS, 1e-8) for _ in features]
     g2 = {"bias": 1e-8, "trans": np.full((2, 2), 1e-8), "start": 1e-8}
     n = max(len(y), 1)
-    scale = 1.0 / max(y.sum(), 1.0)
+    scale = 1.0 / max(float(y.sum()), 1.0)
     for _ in range(rounds):
-        odds = model.odds(features)
-        placed = np.empty_like(odds)
-        placed[chains.at] = odds
+        placed = np.empty(len(y), np.float32)
+        placed[chains.at] = model.odds(features)
         w = np.exp(model.trans)
         m, u, v = chains.marginals(placed, w, float(np.exp(model.start)))
-        gap = (y - m[chains.at]) * scale
-        for k, (buckets, which) in enumerate(used):
-            g = np.bincount(which, gap, len(buckets)) - decay * model.weights[k][buckets]
+        counts = chains.pair_counts(placed, w, u, v)
+        del placed, u, v
+        m = m[chains.at]
+        gap = np.subtract(y, m, dtype=float)
+        gap *= scale
+        del m
+        for k, f in enumerate(features):
+            g = np.bincount(f, gap, 1 << BITS) - decay * model.weights[k]
             seen[k] += g * g
-            model.weights[k][buckets] += (rate * g / np.sqrt(seen[k])).astype(np.float32)
+            model.weights[k] += (rate * g / np.sqrt(seen[k])).astype(np.float32)
         g = gap.sum()
         g2["bias"] += g * g
         model.bias += rate * g / np.sqrt(g2["bias"])
-        g = (pairs - chains.pair_counts(placed, w, u, v)) * scale
+        g = (pairs - counts) * scale
         g[0, 0] = 0.0  # the reference cell
         g2["trans"] += g * g
         model.trans += rate * g / np.sqrt(g2["trans"])
         g = gap[heads].sum()
         g2["start"] += g * g
         model.start += rate * g / np.sqrt(g2["start"])
+        del gap
     m = model.marginals(model.odds(features), first)
     x, t = model.pooled(m, first), toxic.astype(float)
     c = np.zeros(3)
@@ -259,6 +285,7 @@ def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: dict[str, bool] = {}
     for _, _, text, toxic in rows:  # equal texts count once
         seen.setdefault(text or "", toxic == 1)
+    del rows
     model = fit(list(seen), np.array(list(seen.values()), bool))
     yield pa.record_batch([pa.array([zlib.compress(pickle.dumps(model), 1)], pa.binary())], ["model"])
 
@@ -275,7 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1000, max_clean:
 
 
 #: Bytes of text whose chains are run together in a task.
-CHAIN_BYTES = 8 << 20
+CHAIN_BYTES = 4 << 20
 
 
 def _marginals(model: Model, flat: np.ndarray, offsets: np.ndarray, spans: bool):

@@ -424,6 +424,30 @@ def test_sample_stays_within_its_limits_when_ids_repeat(spark):
     assert [r["text"] for r in got if r["doc_id"] == 1] == ["text 0"]
 
 
+def most_bytes(work):
+    """The most that numpy and Python hold at a time while ``work`` runs."""
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_tagger_fit_and_scores_need_little_memory_a_token():
+    import pyarrow as pa
+    words = [f"word{i:03d}" for i in range(997)]
+    texts = [" ".join(words[(k * 31 + j * j) % 997] for j in range(400)) for k in range(1500)]  # 600,000 tokens, 4.8 MB
+    toxic = np.arange(len(texts)) % 3 == 0
+    tables = 24 << 20  # weights and their steps
+    assert most_bytes(lambda: toxicity.fit(texts, toxic, rounds=2)) <= tables + 96 * 600_000
+    column = pa.array(texts * 4)
+    batch = pa.record_batch([pa.array(range(len(column))), column], ["doc_id", "text"])
+    scores = toxicity._scorer(toxicity.Model(), False)
+    assert most_bytes(lambda: sum(b.num_rows for b in scores([batch]))) <= 28 << 20
+
+
 def test_more_templates_than_one_pass_takes(make, monkeypatch):
     texts = [prose(40, 20) + " " + licenses.TEMPLATES[n] + " " + prose(41, 20) for n in sorted(licenses.TEMPLATES)]
     docs = make(texts)
