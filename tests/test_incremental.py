@@ -1,10 +1,13 @@
 """The incremental star equals a full rebuild after late rows, corrections and a stop half way."""
 import datetime as dt
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from marquee import session
 from marquee.operators import marts, staging
 from marquee.plans import incremental
 from marquee.session import child_files, scratch_path
@@ -99,3 +102,63 @@ def test_changed_documents_touch_their_titles(spark):
     out = live.apply(first.limit(0), documents_of=spark.createDataFrame([("T5",)], "title string"))
     assert out["titles"] == 1
     same_as_rebuild(live, first, docs)
+
+
+@pytest.mark.parametrize("round_bytes", [1, 64 << 20])
+def test_only_the_current_star_stays_on_disk(spark, monkeypatch, round_bytes):
+    """Old versions, what a batch wrote between its steps and tables of the operators go; in rounds or not, the star is the same."""
+    monkeypatch.setattr(session, "ROUND_BYTES", round_bytes)
+    docs = documents(spark, 40)
+    root = session.checkpoint_root(spark)
+    before = set(child_files(spark, root))
+    live = incremental.fresh(spark, docs, buckets=3, keep_old=False)
+    first, late, fixed = batches(spark, 120)
+    live.apply(first)
+    live.apply(late)
+    with monkeypatch.context() as m:  # stopped before the last merge
+        m.setattr(live.fact, "merge", lambda *a, **b: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            live.apply(fixed)
+    assert live.apply(fixed, number=2)["titles"] == 3
+    left = set(child_files(spark, root)) - before
+    assert [f.rsplit("/", 1)[-1].rsplit("-", 1)[0] for f in left] == ["incremental"], left
+    same_as_rebuild(live, first.unionByName(late).unionByName(fixed), docs)
+    for table in (live.latest, live.staged, live.movies, live.shares, live.distributors, live.fact):
+        held = [p for v in child_files(spark, f"{table.root}/data") for p in child_files(spark, v) if "/_part=" in p]
+        assert len(held) == len(table.state()["parts"]), held
+    assert child_files(spark, f"{live.root}/_work") == []
+
+
+def test_old_versions_stay_for_readers_unless_told(spark):
+    docs = documents(spark, 40)
+    live = incremental.IncrementalStar(spark, session.scratch_path(spark, "t-inc-old"), docs, buckets=3)
+    first, late, _ = batches(spark, 120)
+    live.apply(first)
+    read = live.tables()["fact_daily_revenue"]
+    n = read.count()
+    live.apply(late)
+    assert read.count() == n
+
+
+def test_staging_passes_its_tables_on_and_frees_its_shuffles(spark, monkeypatch):
+    raw = batches(spark, 300)[0].unionByName(batches(spark, 120)[0])
+    want = plain(staging.stg_revenues(raw))
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {f for d in dirs for _, _, fs in os.walk(d) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+
+    monkeypatch.setattr(session, "ROUND_BYTES", 1)
+    root, had = session.checkpoint_root(spark), shuffles()
+    before = set(child_files(spark, root))
+    out = session.scratch_path(spark, "t-staged")
+    with session.shuffles_freed(spark):
+        with staging.passing_tables(spark):
+            staging.stg_revenues(raw).write.parquet(out)
+        until = time.time() + 30
+        while shuffles() - had and time.time() < until:
+            time.sleep(0.2)
+    assert not shuffles() - had
+    assert spark.conf.get(session.FREE_SHUFFLES, None) is None
+    assert [f.rsplit("/", 1)[-1] for f in set(child_files(spark, root)) - before] == [out.rsplit("/", 1)[-1]]
+    assert plain(spark.read.parquet(out)) == want
